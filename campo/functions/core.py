@@ -41,17 +41,19 @@ def bell(x, opt: float, sd: float) -> Column:
 
 
 def relu(x) -> Column:
-    """max(0, x) with NULL kept NULL."""
+    """max(0, x) with NULL kept NULL (``greatest`` alone skips NULLs).
+
+    ``x`` appears twice in the expression; pass a column reference when x is
+    an expensive expression (see ``targets.engineer_targets``)."""
     x = as_col(x).cast("double")
-    return F.when(x > 0, x).when(x.isNotNull(), F.lit(0.0))
+    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(x, F.lit(0.0)))
 
 
 def clip(x, lo: float, hi: float) -> Column:
     """Clip to [lo, hi] with NULL kept NULL."""
     x = as_col(x).cast("double")
-    return (F.when(x < lo, F.lit(float(lo)))
-            .when(x > hi, F.lit(float(hi)))
-            .otherwise(x))
+    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
+        F.least(F.greatest(x, F.lit(float(lo))), F.lit(float(hi))))
 
 
 def mean_of(*cols) -> Column:

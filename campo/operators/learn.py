@@ -1,21 +1,53 @@
-"""Sampling, training, selection and scoring (L01–L16) with Spark MLlib."""
+"""Sampling, training, selection and scoring (L01–L16) with Spark MLlib.
+
+* Split and folds come from a hash of the row key (stable under
+  repartitioning, same for every target) — no ``randomSplit``.
+* Every fit is an MLlib job over the cluster (normal-equation aggregates for
+  linear models, distributed tree induction for forests); only parameters and
+  metrics come back to the driver.
+* Cross-validation scores all folds of a candidate in one union and one
+  grouped aggregate, instead of one evaluation job per fold.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as _dt
+import json
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from itertools import product
+
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campo.functions import as_col, hash_bucket
+from campo.operators.features import assert_no_leakage, model_features
+from campo.operators.stats import regression_metrics
 from campo.schema import KEY, TARGETS
 
 SEED = 42
+CV_FOLDS = 5
+TEST_PCT = 20
+FOREST_MAX_DEPTH = 30          # MLlib's limit; stands for "unlimited depth"
+FAMILIES = ("linear_regression", "ridge", "random_forest")
 
+# Candidate grids of the original application.
+RIDGE_ALPHAS = (0.1, 1.0, 10.0)
+FOREST_GRID = {"numTrees": (200, 400), "maxDepth": (None, 12)}
+FOREST_GRID_EXTENDED = {"numTrees": (100, 200, 300), "maxDepth": (None, 10, 20),
+                        "minInstancesPerNode": (1, 3)}
 
-def assign_split(df: DataFrame, key: str = KEY, test_pct: int = 20, folds: int = 5,
-                 seed: int = SEED) -> DataFrame:
+
+# ------------------------------------------------------------------ L01, L15, L10
+def assign_split(df: DataFrame, key: str = KEY, test_pct: int = TEST_PCT,
+                 folds: int = CV_FOLDS, seed: int = SEED) -> DataFrame:
     """L01 + L05 folds: 'treino' / 'teste' by a stable hash bucket of the key,
-    and a CV fold (0..folds-1) for training rows.  Same split for every
-    target and unchanged under repartitioning."""
+    and a CV fold (0..folds-1) for training rows."""
     b = hash_bucket(key, 100, seed)
     train = b < (100 - test_pct)
     return df.withColumns({
@@ -35,3 +67,354 @@ def stub_predictions(df: DataFrame, targets=TARGETS) -> DataFrame:
     """Neutral 0.0 predictions tagged 'stub' when no model is available."""
     return df.withColumns({**{f"pred_{t}": F.lit(0.0) for t in targets},
                            "fonte_modelo": F.lit("stub")})
+
+
+# ------------------------------------------------------------------ estimators
+def _assembler(target, features):
+    return VectorAssembler(inputCols=list(features), outputCol=f"features_{target}",
+                           handleInvalid="keep")
+
+
+def linear(target: str, features, **_) -> Pipeline:
+    """Ordinary least squares (normal equations; collinear one-hot falls
+    back to the quasi-Newton solver inside MLlib)."""
+    lr = LinearRegression(featuresCol=f"features_{target}", labelCol=target,
+                          predictionCol=f"pred_{target}", regParam=0.0, solver="normal",
+                          standardization=False)
+    return Pipeline(stages=[_assembler(target, features), lr])
+
+
+def ridge_reg_param(alpha: float, label_sd_pop: float, n: int) -> float:
+    """MLlib regParam equal to a ridge penalty alpha·||w||² on the sum of
+    squared errors.  MLlib minimises SSE/(2n) + (regParam/σ_y)·||w||²/2
+    (label standardised, features not), so regParam = alpha·σ_y/n with σ_y the
+    population standard deviation of the training labels."""
+    if n <= 0 or label_sd_pop <= 0:
+        return 0.0
+    return float(alpha) * float(label_sd_pop) / float(n)
+
+
+def ridge(target: str, features, alpha: float = 1.0, label_sd: float = 1.0,
+          n: int = 1, **_) -> Pipeline:
+    lr = LinearRegression(featuresCol=f"features_{target}", labelCol=target,
+                          predictionCol=f"pred_{target}", elasticNetParam=0.0,
+                          regParam=ridge_reg_param(alpha, label_sd, n), solver="normal",
+                          standardization=False)
+    return Pipeline(stages=[_assembler(target, features), lr])
+
+
+def forest(target: str, features, numTrees: int = 200, maxDepth: int | None = None,
+           minInstancesPerNode: int = 1, seed: int = SEED, **_) -> Pipeline:
+    """Random forest using every feature at every split (bootstrap rows)."""
+    rf = RandomForestRegressor(featuresCol=f"features_{target}", labelCol=target,
+                               predictionCol=f"pred_{target}", numTrees=int(numTrees),
+                               maxDepth=FOREST_MAX_DEPTH if maxDepth is None else int(maxDepth),
+                               minInstancesPerNode=int(minInstancesPerNode),
+                               featureSubsetStrategy="all", subsamplingRate=1.0,
+                               bootstrap=True, seed=seed)
+    return Pipeline(stages=[_assembler(target, features), rf])
+
+
+def grid(spec: dict) -> list[dict]:
+    keys = list(spec)
+    return [dict(zip(keys, vals)) for vals in product(*[spec[k] for k in keys])]
+
+
+def default_candidates(forest_grid=FOREST_GRID, alphas=RIDGE_ALPHAS) -> dict[str, list[dict]]:
+    return {"linear_regression": [{}],
+            "ridge": [{"alpha": a} for a in alphas],
+            "random_forest": grid(forest_grid)}
+
+
+_BUILDERS = {"linear_regression": linear, "ridge": ridge, "random_forest": forest}
+
+
+# ------------------------------------------------------------------ data prep
+def training_frame(df: DataFrame, target: str, features=None) -> DataFrame:
+    """Rows of one target: key, split, fold, features (double), label, and a
+    ``_valido`` flag (every feature and the label present — MLlib cannot fit
+    on missing values; ``train_target`` reports how many rows it skipped)."""
+    from campo.operators.clean import onehot_fixed
+    features = list(features or model_features(target))
+    assert_no_leakage(target, features)
+    if "conjunto" not in df.columns:
+        df = assign_split(df)
+    if "id_pivo" in df.columns:
+        df = onehot_fixed(df)
+    cols = [F.col(c).cast("double").alias(c) for c in features]
+    x = df.select(KEY, "conjunto", "fold", *cols, F.col(target).cast("double").alias(target))
+    ok = F.lit(True)
+    for c in features + [target]:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(c)
+    return x.withColumn("_valido", ok)
+
+
+def _label_stats_per_fold(train: DataFrame, target: str) -> dict:
+    """n, Σy, Σy² per fold in one small aggregate -> (n, σ_pop) of every
+    'all folds but f' training set and of the full training set."""
+    rows = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(target).alias("s"),
+                                     F.sum(F.col(target) * F.col(target)).alias("ss")).collect()
+    tot = [sum(r[i] for r in rows) for i in ("n", "s", "ss")]
+
+    def sd(n, s, ss):
+        if n <= 0:
+            return 0.0
+        m = s / n
+        return max(ss / n - m * m, 0.0) ** 0.5
+
+    out = {"all": (tot[0], sd(*tot))}
+    for r in rows:
+        n, s, ss = tot[0] - r["n"], tot[1] - r["s"], tot[2] - r["ss"]
+        out[r["fold"]] = (n, sd(n, s, ss))
+    return out
+
+
+@dataclass
+class CandidateResult:
+    family: str
+    params: dict
+    cv_r2: float
+
+
+@dataclass
+class TargetResult:
+    target: str
+    best_model: str
+    best_params: dict
+    best_cv_r2: float
+    candidates: list[CandidateResult]
+    test_metrics: dict
+    n_train: int
+    n_test: int
+    n_dropped: int
+    features: list[str]
+    model: PipelineModel = field(repr=False, default=None)
+
+
+def _fit(family, target, features, params, data, stats_key, label_stats):
+    kw = dict(params)
+    if family == "ridge":
+        n, sd = label_stats[stats_key]
+        kw.update(label_sd=sd, n=n)
+    return _BUILDERS[family](target, features, **kw).fit(data)
+
+
+def cross_validate(train: DataFrame, target: str, features, family: str, params: dict,
+                   folds: int = CV_FOLDS, label_stats=None, parallelism: int = 1) -> float:
+    """Mean R² over the hash folds (unweighted mean of per-fold R²).
+
+    Fits run concurrently when ``parallelism`` > 1 (Spark schedules the
+    jobs of all threads on the same cluster); predictions of every fold are
+    scored together by one grouped aggregate."""
+    label_stats = label_stats or _label_stats_per_fold(train, target)
+
+    def one(f):
+        m = _fit(family, target, features, params, train.where(F.col("fold") != f), f,
+                 label_stats)
+        return m.transform(train.where(F.col("fold") == f)).select(
+            "fold", target, f"pred_{target}")
+
+    fold_ids = list(range(folds))
+    if parallelism > 1:
+        with ThreadPoolExecutor(parallelism) as ex:
+            parts = list(ex.map(one, fold_ids))
+    else:
+        parts = [one(f) for f in fold_ids]
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    r2 = regression_metrics(scored, target, f"pred_{target}", by=["fold"]) \
+        .agg(F.avg("r2").alias("r2")).first()["r2"]
+    return float(r2) if r2 is not None else float("nan")
+
+
+def train_target(df: DataFrame, target: str, candidates=None, folds: int = CV_FOLDS,
+                 parallelism: int = 1, features=None) -> TargetResult:
+    """L05–L07 for one target: CV every candidate, select the best mean R²
+    (first family wins ties: linear, ridge, forest), refit it on all training
+    rows and evaluate it on the hold-out rows."""
+    candidates = candidates or default_candidates()
+    features = list(features or model_features(target))
+    # Persist before filtering: the validity filter then runs on stored rows
+    # instead of being pushed into (and re-evaluating) the feature formulas.
+    frame = training_frame(df, target, features).persist(StorageLevel.MEMORY_AND_DISK)
+    data = frame.where("_valido").drop("_valido")
+    try:
+        counts = {(r["conjunto"], r["_valido"]): r["n"] for r in
+                  frame.groupBy("conjunto", "_valido").agg(F.count(F.lit(1)).alias("n")).collect()}
+        train = data.where(F.col("conjunto") == "treino")
+        test = data.where(F.col("conjunto") == "teste")
+        label_stats = _label_stats_per_fold(train, target)
+        results: list[CandidateResult] = []
+        best = None
+        for family in FAMILIES:
+            fam_best = None
+            for params in candidates.get(family, []):
+                r2 = cross_validate(train, target, features, family, params, folds,
+                                    label_stats, parallelism)
+                cand = CandidateResult(family, params, r2)
+                if fam_best is None or r2 > fam_best.cv_r2:
+                    fam_best = cand
+            if fam_best is None:
+                continue
+            results.append(fam_best)
+            if best is None or fam_best.cv_r2 > best.cv_r2:
+                best = fam_best
+        model = _fit(best.family, target, features, best.params, train, "all", label_stats)
+        m = regression_metrics(model.transform(test), target, f"pred_{target}").first()
+        n_train, n_test = counts.get(("treino", True), 0), counts.get(("teste", True), 0)
+        dropped = sum(v for (_, ok), v in counts.items() if not ok)
+        return TargetResult(target, best.family, best.params, best.cv_r2, results,
+                            {k: float(m[k]) if m[k] is not None else None
+                             for k in ("mae", "mse", "rmse", "r2")},
+                            n_train, n_test, dropped, features, model)
+    finally:
+        frame.unpersist()
+
+
+def train_all(df: DataFrame, targets=TARGETS, candidates=None, folds: int = CV_FOLDS,
+              parallelism: int = 1) -> dict[str, TargetResult]:
+    """Every available target on one persisted feature frame."""
+    df = assign_split(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        present = [t for t in targets if t in df.columns]
+        return {t: train_target(df, t, candidates, folds, parallelism) for t in present}
+    finally:
+        df.unpersist()
+
+
+# ------------------------------------------------------------------ L08/L12/L16 documents
+METRICS_SCHEMA = T.StructType([
+    T.StructField("alvo", T.StringType()),
+    T.StructField("modelo", T.StringType()),
+    T.StructField("cv_r2", T.DoubleType()),
+    T.StructField("parametros", T.StringType()),
+    T.StructField("escolhido", T.BooleanType()),
+    T.StructField("mae", T.DoubleType()),
+    T.StructField("mse", T.DoubleType()),
+    T.StructField("rmse", T.DoubleType()),
+    T.StructField("r2", T.DoubleType()),
+    T.StructField("n_train", T.LongType()),
+    T.StructField("n_test", T.LongType()),
+    T.StructField("features", T.ArrayType(T.StringType())),
+])
+
+
+def metrics_frame(spark: SparkSession, results: dict[str, TargetResult]) -> DataFrame:
+    """One row per (target, family): CV R², parameters, chosen flag; the chosen
+    row carries the hold-out metrics.  Small by construction (targets x 3)."""
+    rows = []
+    for t, r in results.items():
+        for c in r.candidates:
+            chosen = c.family == r.best_model
+            tm = r.test_metrics if chosen else {}
+            rows.append((t, c.family, c.cv_r2, json.dumps(c.params, sort_keys=True), chosen,
+                         tm.get("mae"), tm.get("mse"), tm.get("rmse"), tm.get("r2"),
+                         r.n_train, r.n_test, r.features))
+    return spark.createDataFrame(rows, METRICS_SCHEMA)
+
+
+def metrics_document(results: dict[str, TargetResult], folds: int = CV_FOLDS) -> dict:
+    """The nested metrics document (generated_at, settings, per-target block)."""
+    from campo.schema import BASE_FEATURES, CONTEXT_FEATURES
+    doc = {"generated_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
+           "random_state": SEED, "test_size": TEST_PCT / 100.0, "cv_folds": folds,
+           "base_features": BASE_FEATURES, "context_features": CONTEXT_FEATURES,
+           "targets": {}}
+    for t, r in results.items():
+        doc["targets"][t] = {
+            "best_model": r.best_model, "best_cv_r2": r.best_cv_r2,
+            "candidates": {c.family: {"cv_r2": c.cv_r2, "best_params": c.params}
+                           for c in r.candidates},
+            "test_metrics": r.test_metrics, "n_train": r.n_train, "n_test": r.n_test,
+            "model_path": f"modelo_{t}", "feature_columns": r.features,
+        }
+    return doc
+
+
+def comparison_table(metrics: DataFrame) -> DataFrame:
+    """Model comparison ordered by CV R² (descending) per target."""
+    return metrics.select("alvo", "modelo", "cv_r2", "parametros", "escolhido") \
+        .orderBy("alvo", F.desc("cv_r2"))
+
+
+def quality_gate(doc: dict, min_r2: dict | None = None, n_targets: int = 5) -> list[str]:
+    """Problems with a metrics document (empty list = passes)."""
+    min_r2 = {"rendimento": 0.7} if min_r2 is None else min_r2
+    probs = []
+    targets = doc.get("targets", {})
+    if len(targets) != n_targets:
+        probs.append(f"expected {n_targets} targets, found {len(targets)}")
+    for t, blk in targets.items():
+        tm = blk.get("test_metrics", {})
+        if set(tm) != {"mae", "mse", "rmse", "r2"}:
+            probs.append(f"{t}: metrics {sorted(tm)}")
+        if t in blk.get("feature_columns", []):
+            probs.append(f"{t}: leakage")
+        if t in min_r2 and (tm.get("r2") is None or tm["r2"] <= min_r2[t]):
+            probs.append(f"{t}: r2 {tm.get('r2')} <= {min_r2[t]}")
+    return probs
+
+
+# ------------------------------------------------------------------ L09, L11, L13
+def score(df: DataFrame, models: dict[str, PipelineModel], keep_features: bool = False) -> DataFrame:
+    """One prediction column per available model, one scan.
+
+    Each model reads its own feature list (missing inputs become 0.0, P10);
+    a reading with a missing input gets a NULL prediction, never a guess.
+    Absent models are simply skipped."""
+    from campo.operators.clean import onehot_fixed
+    from campo.operators.features import align_features
+    out = onehot_fixed(df) if "id_pivo" in df.columns else df
+    original = list(df.columns)
+    for t, m in models.items():
+        feats = m.stages[0].getInputCols()
+        missing_input = F.lit(False)
+        for c in feats:
+            if c in out.columns:
+                missing_input = missing_input | F.col(c).isNull()
+        out = out.withColumn(f"_miss_{t}", missing_input)
+        out = align_features(out, feats)
+        out = m.transform(out).drop(f"features_{t}")
+        out = out.withColumn(f"pred_{t}", F.when(~F.col(f"_miss_{t}"), F.col(f"pred_{t}")))
+        out = out.drop(f"_miss_{t}")
+    if not keep_features:
+        preds = [f"pred_{t}" for t in models]
+        out = out.select(*original, *preds)
+    return out.withColumn("fonte_modelo", F.lit("modelo" if models else "stub"))
+
+
+def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(feature, importance) of a forest, descending (sums to 1)."""
+    feats = model.stages[0].getInputCols()
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    return spark.createDataFrame(list(zip(feats, [float(v) for v in imp])),
+                                 "feature string, importancia double") \
+        .orderBy(F.desc("importancia"), "feature")
+
+
+def predicted_vs_actual(scored: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
+    """(y, ŷ, residual) points and the common axis limits."""
+    pts = scored.select(KEY, F.col(target).alias("real"), F.col(f"pred_{target}").alias("previsto"),
+                        (F.col(target) - F.col(f"pred_{target}")).alias("residuo"))
+    lim = pts.agg(F.least(F.min("real"), F.min("previsto")).alias("minimo"),
+                  F.greatest(F.max("real"), F.max("previsto")).alias("maximo"))
+    return pts, lim
+
+
+def fit_evaluate(df: DataFrame, target: str, family: str, params: dict | None = None,
+                 features=None) -> tuple[PipelineModel, dict]:
+    """Fit one candidate on the training split, evaluate on the hold-out split
+    (L02/L03/L04 + L07 without the grid search)."""
+    features = list(features or model_features(target))
+    frame = training_frame(df, target, features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        data = frame.where("_valido").drop("_valido")
+        train = data.where(F.col("conjunto") == "treino")
+        test = data.where(F.col("conjunto") == "teste")
+        stats = _label_stats_per_fold(train, target) if family == "ridge" else None
+        model = _fit(family, target, features, params or {}, train, "all", stats)
+        m = regression_metrics(model.transform(test), target, f"pred_{target}").first().asDict()
+        return model, m
+    finally:
+        frame.unpersist()

@@ -12,7 +12,8 @@ from campo.schema import (FERTILIZACAO_MAX, K_IDEAL, KEY, N_IDEAL, NOISE_SD, NPK
                           UMIDADE_ALVO_IRRIGACAO, UMIDADE_OPT, UMIDADE_SD, VOLUME_MAX)
 
 
-def target_expressions(noise: bool = False, key: str = KEY, seed: int = 42) -> dict:
+def target_expressions(noise: bool = False, key: str = KEY, seed: int = 42,
+                       clipped: bool = True) -> dict:
     """Column expressions of the three simulated targets.
 
     ``noise=True`` adds reproducible Gaussian noise keyed by the row key
@@ -31,18 +32,31 @@ def target_expressions(noise: bool = False, key: str = KEY, seed: int = 42) -> d
            + F.lit(0.15) * relu(t - F.lit(20.0)))
     fert = ((relu(F.lit(N_IDEAL) - n) + relu(F.lit(P_IDEAL) - p) + relu(F.lit(K_IDEAL) - k))
             / F.lit(N_IDEAL + P_IDEAL + K_IDEAL) * F.lit(100.0))
-    return {
-        "rendimento": clip(rend + eps("rendimento"), 0.0, RENDIMENTO_MAX),
-        "volume_irrigacao": clip(vol + eps("volume_irrigacao"), 0.0, VOLUME_MAX),
-        "necessidade_fertilizacao": clip(fert + eps("necessidade_fertilizacao"), 0.0,
-                                         FERTILIZACAO_MAX),
-    }
+    raw = {"rendimento": rend + eps("rendimento"),
+           "volume_irrigacao": vol + eps("volume_irrigacao"),
+           "necessidade_fertilizacao": fert + eps("necessidade_fertilizacao")}
+    if not clipped:
+        return raw
+    return {t: clip(e, 0.0, _MAX[t]) for t, e in raw.items()}
+
+
+_MAX = {"rendimento": RENDIMENTO_MAX, "volume_irrigacao": VOLUME_MAX,
+        "necessidade_fertilizacao": FERTILIZACAO_MAX}
 
 
 def engineer_targets(df: DataFrame, noise: bool = False, key: str = KEY,
                      seed: int = 42) -> DataFrame:
-    """G01–G03 as one projection."""
-    return df.withColumns(target_expressions(noise, key, seed))
+    """Unclipped values in one projection, clipped in the next.
+
+    The clip reads a column reference, so the (expensive) formula is computed
+    once per row; Catalyst keeps the two projections apart because the raw
+    value is non-trivial and referenced twice, and both run in the same
+    whole-stage-codegen function."""
+    raw = target_expressions(noise, key, seed, clipped=False)
+    tmp = {t: f"_{t}_bruto" for t in raw}
+    return (df.withColumns({tmp[t]: e for t, e in raw.items()})
+            .withColumns({t: clip(F.col(tmp[t]), 0.0, _MAX[t]) for t in raw})
+            .drop(*tmp.values()))
 
 
 def prepare(df: DataFrame, noise: bool = False, key: str = KEY, seed: int = 42) -> DataFrame:

@@ -357,3 +357,107 @@ def q_nutrient_argmax(spark, sf_dir):
         relative_deficit("p", P_IDEAL).alias("deficit_p"),
         relative_deficit("k", K_IDEAL).alias("deficit_k"),
         adv.most_deficient_nutrient().alias("nutriente")))
+
+
+# ------------------------------------------------------------------ L (rows-only)
+DEMO_FOREST = {"numTrees": 20, "maxDepth": 8}
+
+
+def _fit_all(spark, sf_dir, family, params):
+    from campo.operators.learn import fit_evaluate
+    from campo.schema import TARGETS
+    df = processed(spark, sf_dir, noise=True)
+    rows, models = [], {}
+    for t in TARGETS:
+        model, m = fit_evaluate(df, t, family, params)
+        models[t] = model
+        rows.append((t, family, int(m["n"]), m["mae"], m["mse"], m["rmse"], m["r2"]))
+    out = spark.createDataFrame(rows, "alvo string, modelo string, n_teste long, mae double, "
+                                      "mse double, rmse double, r2 double")
+    return out, models
+
+
+@query("train_linear")
+def q_train_linear(spark, sf_dir):
+    return _fit_all(spark, sf_dir, "linear_regression", {})[0]
+
+
+@query("train_ridge")
+def q_train_ridge(spark, sf_dir):
+    return _fit_all(spark, sf_dir, "ridge", {"alpha": 1.0})[0]
+
+
+@query("train_forest")
+def q_train_forest(spark, sf_dir):
+    return _fit_all(spark, sf_dir, "random_forest", DEMO_FOREST)[0]
+
+
+@query("cv_select")
+def q_cv_select(spark, sf_dir):
+    """Grid search with 5 hash folds and selection for every target; the
+    forest family uses one small configuration here (the full grid is
+    ``learn.default_candidates()``)."""
+    from campo.operators.learn import RIDGE_ALPHAS, metrics_frame, train_all
+    cands = {"linear_regression": [{}], "ridge": [{"alpha": a} for a in RIDGE_ALPHAS],
+             "random_forest": [DEMO_FOREST]}
+    res = train_all(processed(spark, sf_dir, noise=True), candidates=cands)
+    return metrics_frame(spark, res).drop("features")
+
+
+@query("score_multi")
+def q_score_multi(spark, sf_dir):
+    """Five models (one per target) scored on every reading, plus advice."""
+    from campo.streaming.score import score_readings
+    _, models = _fit_all(spark, sf_dir, "linear_regression", {})
+    df = score_readings(readings(spark, sf_dir), models)
+    return df.select("id_leitura", *[f"pred_{t}" for t in models], "fonte_modelo",
+                     F.size("sugestoes").alias("n_sugestoes"))
+
+
+@query("importances")
+def q_importances(spark, sf_dir):
+    from campo.operators.learn import fit_evaluate, importances
+    model, _ = fit_evaluate(processed(spark, sf_dir, noise=True), "rendimento",
+                            "random_forest", DEMO_FOREST)
+    return importances(spark, model)
+
+
+# ------------------------------------------------------------------ ST (rows-only)
+def _events_stream(spark, sf_dir):
+    ev = load_table(spark, sf_dir, "events")
+    return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+            .parquet(f"{sf_dir.rstrip('/')}/events*.parquet"))
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """events arriving as files -> readings -> idempotent per-batch table."""
+    import uuid
+    from campo.session import scratch_path
+    from campo.sources.fixtures import readings_from_events
+    from campo.streaming.ingest import ingest_stream
+    run = scratch_path(spark, f"stream_ingest-{uuid.uuid4().hex}")
+    q = ingest_stream(readings_from_events(_events_stream(spark, sf_dir)),
+                      f"{run}/table", f"{run}/ckpt", log_path=f"{run}/log")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/table").select(
+        "id_leitura", "id_pivo", ts_text("capturado_em").alias("capturado_em"), "batch_id")
+
+
+@query("stream_score")
+def q_stream_score(spark, sf_dir):
+    """Models trained on the table, applied to the same readings arriving as
+    a stream (append sink)."""
+    import uuid
+    from campo.session import scratch_path
+    from campo.sources.fixtures import readings_from_events
+    from campo.streaming.score import score_readings
+    _, models = _fit_all(spark, sf_dir, "linear_regression", {})
+    run = scratch_path(spark, f"stream_score-{uuid.uuid4().hex}")
+    scored = score_readings(readings_from_events(_events_stream(spark, sf_dir)), models)
+    out = scored.select("id_leitura", *[f"pred_{t}" for t in models],
+                        F.to_json("sugestoes").alias("sugestoes"))
+    q = (out.writeStream.format("parquet").option("path", f"{run}/out")
+         .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/out")
