@@ -119,7 +119,10 @@ def save_processed(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     if fmt == "parquet":
         w.parquet(path)
     elif fmt == "csv":
-        w.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+        # keep padded text as is (the writer trims by default)
+        (w.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(path))
     else:
         raise ValueError(f"unknown format {fmt!r}")
     return path
