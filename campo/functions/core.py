@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_col", "nan_to_null", "bell", "relu", "clip", "mean_of", "hash_uniforms",
     "hash_bucket", "gaussian_noise", "round_to", "relative_deficit",
-    "argmax_label", "fmt", "parse_wallclock", "norm_text",
+    "argmax_label", "fmt", "parse_wallclock", "norm_text", "flag_list",
 ]
 
 _TWO_POW_32 = 4294967296.0
@@ -134,3 +134,17 @@ def norm_text(s, case: str = "upper") -> Column:
     """Strip + upper/lower."""
     t = F.trim(as_col(s))
     return F.upper(t) if case == "upper" else F.lower(t)
+
+
+def flag_list(flags) -> Column:
+    """Array of the labels whose condition holds, in the given order.
+
+    ``flags`` is a list of (label, condition).  Built with ``concat`` of
+    0/1-element arrays: code-generated, unlike ``array_compact`` / ``filter``
+    (lambda functions are evaluated row by row outside whole-stage codegen).
+    A NULL condition counts as false."""
+    empty = F.array().cast("array<string>")
+    parts = [F.when(cond, F.array(F.lit(label))).otherwise(empty) for label, cond in flags]
+    if not parts:
+        return empty
+    return F.concat(*parts) if len(parts) > 1 else parts[0]

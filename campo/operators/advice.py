@@ -1,8 +1,12 @@
 """Management-advice rules (R01–R08) as column expressions.
 
-Each rule yields one ``struct(code, value, detail, text)`` or NULL; a reading's
-advice is ``array_compact(array(rule1, rule2, ...))`` in rule order, so the
-whole rule set is one narrow projection that also runs on a stream.
+Each rule yields an array of zero or one ``struct(code, value, detail, text)``;
+a reading's advice is ``concat(rule1, rule2, ...)`` in rule order, so the
+whole rule set is one narrow, code-generated projection (no lambda
+functions) that also runs on a stream.  Exploding uses the *outer* form plus
+a null filter: a plain ``explode`` of the column makes Catalyst infer
+``size(list) > 0`` and push it, with the whole rule expression inlined, below
+every projection down to the scan.
 
 Rules are applied to unrounded values; rounding is an output step.
 Text is produced with the JVM formatter, which rounds exact binary ties
@@ -86,6 +90,18 @@ def _text(code: str, value: Column | None = None, detail: Column | None = None)
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+ITEMS = "array<struct<code:string,value:double,detail:string,text:string>>"
+
+
+def _none() -> Column:
+    return F.array().cast(ITEMS)
+
+
+def _one(code: str, value: Column | None = None, detail: Column | None = None,
+         text: Column | None = None) -> Column:
+    return F.array(_item(code, value, detail, text))
+
+
 def _item(code: str, value: Column | None = None, detail: Column | None = None,
           text: Column | None = None) -> Column:
     return F.struct(
@@ -110,9 +126,10 @@ def most_deficient_nutrient(n="n", p="p", k="k") -> Column:
 def rule_irrigation(volume) -> Column:
     """> 5 mm irrigate; <= 1 mm adequate; otherwise light; NULL silent."""
     v = as_col(volume)
-    return (F.when(v > LIMIAR_IRRIGAR_MM, _item("IRRIGAR", v))
-            .when(v <= LIMIAR_SOLO_ADEQUADO_MM, _item("SOLO_ADEQUADO", v))
-            .when(v.isNotNull(), _item("IRRIGACAO_LEVE", v)))
+    return (F.when(v > LIMIAR_IRRIGAR_MM, _one("IRRIGAR", v))
+            .when(v <= LIMIAR_SOLO_ADEQUADO_MM, _one("SOLO_ADEQUADO", v))
+            .when(v.isNotNull(), _one("IRRIGACAO_LEVE", v))
+            .otherwise(_none()))
 
 
 def rule_fertilise(necessity, n="n", p="p", k="k") -> Column:
@@ -122,21 +139,22 @@ def rule_fertilise(necessity, n="n", p="p", k="k") -> Column:
     text = F.concat(_text("ADUBAR", v),
                     F.when(nut != "", _text("ADUBAR_SUFIXO", detail=nut)).otherwise(F.lit("")))
     return F.when(v > LIMIAR_FERTILIZAR,
-                  _item("ADUBAR", v, F.when(nut != "", nut), text))
+                  _one("ADUBAR", v, F.when(nut != "", nut), text)).otherwise(_none())
 
 
 def rule_low_yield(yield_) -> Column:
     """Predicted yield < 40."""
     v = as_col(yield_)
-    return F.when(v < LIMIAR_RENDIMENTO_BAIXO, _item("RENDIMENTO_BAIXO", v))
+    return F.when(v < LIMIAR_RENDIMENTO_BAIXO, _one("RENDIMENTO_BAIXO", v)).otherwise(_none())
 
 
 def rule_ph(ph_pred=None, ph_reading="ph") -> Column:
     """Acid < 6.0, alkaline > 7.0; predicted pH first, else the reading."""
     cands = [c for c in (_opt(ph_pred), _opt(ph_reading)) if c is not None]
     v = F.coalesce(*cands) if len(cands) > 1 else cands[0]
-    return (F.when(v < PH_BOM_MIN, _item("PH_ACIDO", v))
-            .when(v > PH_BOM_MAX, _item("PH_ALCALINO", v)))
+    return (F.when(v < PH_BOM_MIN, _one("PH_ACIDO", v))
+            .when(v > PH_BOM_MAX, _one("PH_ALCALINO", v))
+            .otherwise(_none()))
 
 
 def advice(volume="volume_irrigacao", necessity="necessidade_fertilizacao",
@@ -157,20 +175,20 @@ def advice(volume="volume_irrigacao", necessity="necessidade_fertilizacao",
     if ph_pred is not None or ph_reading is not None:
         rules.append(rule_ph(ph_pred, ph_reading))
     if not rules:
-        return F.array().cast("array<struct<code:string,value:double,detail:string,text:string>>")
-    return F.array_compact(F.array(*rules))
+        return _none()
+    return F.concat(*rules) if len(rules) > 1 else rules[0]
 
 
 def advice_service(volume="volume_irrigacao", necessity="necessidade_fertilizacao",
                    umidade="umidade", ph="ph") -> Column:
     """The service's fallback rule set; 'keep' when nothing fires."""
     vol, fert, um, p = (as_col(volume), as_col(necessity), as_col(umidade), as_col(ph))
-    fired = F.array_compact(F.array(
-        F.when(vol > LIMIAR_IRRIGAR_MM, _item("SERV_IRRIGAR", vol)),
-        F.when(fert > LIMIAR_FERTILIZAR, _item("SERV_ADUBAR", fert)),
-        F.when(um < LIMIAR_UMIDADE_BAIXA, _item("SERV_UMIDADE_BAIXA", um)),
-        F.when((p < PH_BOM_MIN) | (p > PH_BOM_MAX), _item("SERV_PH_FORA", p)),
-    ))
+    fired = F.concat(
+        F.when(vol > LIMIAR_IRRIGAR_MM, _one("SERV_IRRIGAR", vol)).otherwise(_none()),
+        F.when(fert > LIMIAR_FERTILIZAR, _one("SERV_ADUBAR", fert)).otherwise(_none()),
+        F.when(um < LIMIAR_UMIDADE_BAIXA, _one("SERV_UMIDADE_BAIXA", um)).otherwise(_none()),
+        F.when((p < PH_BOM_MIN) | (p > PH_BOM_MAX), _one("SERV_PH_FORA", p)).otherwise(_none()),
+    )
     return F.when(F.size(fired) == 0, F.array(_item("SERV_MANTER"))).otherwise(fired)
 
 
@@ -179,14 +197,14 @@ def advice_dashboard_fallback(volume="volume_irrigacao",
                               yield_="rendimento") -> Column:
     """R07 rule set on its own."""
     vol, fert, y = as_col(volume), as_col(necessity), as_col(yield_)
-    fired = F.array_compact(F.array(
-        F.when(vol > LIMIAR_IRRIGAR_MM, _item("PAINEL_IRRIGAR", vol))
-         .when(vol.isNotNull(), _item("PAINEL_UMIDADE_OK")),
-        F.when(fert > LIMIAR_FERTILIZAR, _item("PAINEL_FERT_ALTA", fert))
-         .when(fert > LIMIAR_FERTILIZAR_MODERADO, _item("PAINEL_FERT_MODERADA", fert))
-         .when(fert.isNotNull(), _item("PAINEL_NUTRICAO_OK")),
-        F.when(y.isNotNull(), _item("PAINEL_RENDIMENTO", y)),
-    ))
+    fired = F.concat(
+        F.when(vol > LIMIAR_IRRIGAR_MM, _one("PAINEL_IRRIGAR", vol))
+         .when(vol.isNotNull(), _one("PAINEL_UMIDADE_OK")).otherwise(_none()),
+        F.when(fert > LIMIAR_FERTILIZAR, _one("PAINEL_FERT_ALTA", fert))
+         .when(fert > LIMIAR_FERTILIZAR_MODERADO, _one("PAINEL_FERT_MODERADA", fert))
+         .when(fert.isNotNull(), _one("PAINEL_NUTRICAO_OK")).otherwise(_none()),
+        F.when(y.isNotNull(), _one("PAINEL_RENDIMENTO", y)).otherwise(_none()),
+    )
     return F.when(F.size(fired) == 0, F.array(_item("PAINEL_SEM_PREVISAO"))).otherwise(fired)
 
 
@@ -206,7 +224,8 @@ def with_advice(df: DataFrame, out: str = "sugestoes", **kw) -> DataFrame:
 
 def advice_long(df: DataFrame, keys=("id_leitura",), col: str = "sugestoes") -> DataFrame:
     """Exploded form: one row per (reading, position) with the item fields."""
-    return (df.select(*keys, F.posexplode(col).alias("posicao", "item"))
+    return (df.select(*keys, F.posexplode_outer(col).alias("posicao", "item"))
+            .where(F.col("item").isNotNull())
             .select(*keys, "posicao", "item.code", "item.value", "item.detail", "item.text"))
 
 
@@ -219,6 +238,7 @@ def advice_volume(df: DataFrame, by=("id_pivo",), col: str = "sugestoes",
     groups = [F.col(b) for b in by]
     if day:
         groups.append(F.to_date(day).alias("dia"))
-    return (df.select(*groups, F.explode(col).alias("item"))
+    return (df.select(*groups, F.explode_outer(col).alias("item"))
+            .where(F.col("item").isNotNull())
             .groupBy(*([b for b in by] + (["dia"] if day else [])), F.col("item.code").alias("code"))
             .agg(F.count(F.lit(1)).alias("ocorrencias")))

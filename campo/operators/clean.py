@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campo.functions import as_col, nan_to_null, norm_text, parse_wallclock
+from campo.functions import as_col, flag_list, nan_to_null, norm_text, parse_wallclock
 from campo.schema import (BOMBA_LIGADA, DEFAULTS, ID_PIVOS, LIMITES, PIVOT_COLUMN,
                           SOLO_BOM, SOLO_RUIM)
 
@@ -113,19 +113,19 @@ def quality_reasons(df: DataFrame, required=("temperatura", "n", "p", "k"),
     checks = []
     for c in required:
         if c in df.columns:
-            checks.append(F.when(F.col(c).isNull(), F.lit(f"{c}_ausente")))
+            checks.append((f"{c}_ausente", F.col(c).isNull()))
     for c, (lo, hi) in LIMITES.items():
         if c in df.columns:
             x = F.col(c).cast("double")
-            checks.append(F.when(F.isnan(x) | (x < lo) | (x > hi), F.lit(f"{c}_fora_da_faixa")))
+            checks.append((f"{c}_fora_da_faixa", F.isnan(x) | (x < lo) | (x > hi)))
     if PIVOT_COLUMN in df.columns:
-        checks.append(F.when(~F.coalesce(F.lower(F.trim(F.col(PIVOT_COLUMN))).isin(*ID_PIVOS),
-                                         F.lit(False)), F.lit("id_pivo_invalido")))
+        checks.append(("id_pivo_invalido",
+                       ~F.coalesce(F.lower(F.trim(F.col(PIVOT_COLUMN))).isin(*ID_PIVOS),
+                                   F.lit(False))))
     if "capturado_em" in df.columns and isinstance(df.schema["capturado_em"].dataType, T.StringType):
-        checks.append(F.when(F.col("capturado_em").isNotNull()
-                             & parse_wallclock("capturado_em").isNull(),
-                             F.lit("capturado_em_invalido")))
-    return df.withColumn(out, F.array_compact(F.array(*checks)))
+        checks.append(("capturado_em_invalido", F.col("capturado_em").isNotNull()
+                       & parse_wallclock("capturado_em").isNull()))
+    return df.withColumn(out, flag_list(checks))
 
 
 def quality_split(df: DataFrame, out: str = "motivos") -> tuple[DataFrame, DataFrame]:
@@ -138,7 +138,8 @@ def quality_split(df: DataFrame, out: str = "motivos") -> tuple[DataFrame, DataF
 def quality_counts(df: DataFrame, out: str = "motivos") -> DataFrame:
     """Number of readings per reason (a reading may have several)."""
     tagged = quality_reasons(df, out=out)
-    return (tagged.select(F.explode(out).alias("motivo"))
+    return (tagged.select(F.explode_outer(out).alias("motivo"))
+            .where(F.col("motivo").isNotNull())
             .groupBy("motivo").agg(F.count(F.lit(1)).alias("leituras")))
 
 

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from campo.functions import as_col
 
-DEFAULT_RANGE_PARTITIONS = 64
 
 
 def _long(df: DataFrame, cols: Sequence[str], name: str = "coluna",
@@ -77,7 +76,7 @@ def ph_band_share(df: DataFrame, col: str = "ph", lo: float = 6.0, hi: float = 7
 
 # ---------------------------------------------------------------- quantiles
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    range_partitions: int = DEFAULT_RANGE_PARTITIONS) -> DataFrame:
+                    range_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (the 'linear' / ``quantile_cont``
     definition): h = (n-1)q, value = x[floor h] + (h - floor h)(x[ceil h] - x[floor h]).
 
@@ -88,6 +87,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     3. prefix sums of the partition totals give each value its rank interval;
     4. keep only values whose interval holds a wanted rank (2 per quantile).
     """
+    # As many range partitions as the job's shuffle width: the distinct-value
+    # table grows with the data, so must the number of ranges.
+    range_partitions = range_partitions or int(
+        df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     vc = (_long(df, cols).groupBy("coluna", "x").agg(F.count(F.lit(1)).alias("c")))
     ranged = (vc.repartitionByRange(range_partitions, "coluna", "x")
               .withColumn("pid", F.spark_partition_id()))

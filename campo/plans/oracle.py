@@ -326,6 +326,14 @@ def _build() -> dict[str, str]:
     o["time_span"] = with_readings(
         f"SELECT strftime(min(capturado_em), {TS}) AS inicio, strftime(max(capturado_em), {TS}) AS fim FROM feat")
 
+    o["shape_readings"] = with_readings(
+        "SELECT count(*) AS linhas, 10 AS colunas, 'id_leitura:bigint,id_pivo:string,umidade:double,"
+        "temperatura:double,ph:double,n:int,p:int,k:int,estado_bomba:string,capturado_em:string' AS tipos "
+        "FROM readings")
+    o["series_buckets"] = with_readings("\nUNION ALL\n".join(
+        f"SELECT strftime(date_trunc('hour', capturado_em), {TS}) AS periodo, '{c}' AS variavel, "
+        f"{r6(f'avg({c})')} AS valor FROM feat WHERE capturado_em IS NOT NULL GROUP BY 1"
+        for c in ("umidade", "temperatura")))
     o["corr_readings"] = with_readings(corr_sql("prepared", Q.PROCESSED_NUMERIC))
     o["corr_lineitem"] = corr_sql("lineitem", Q.LINEITEM_NUMERIC)
 

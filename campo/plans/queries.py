@@ -223,6 +223,17 @@ def q_time_span(spark, sf_dir):
     return df.select(ts_text("inicio").alias("inicio"), ts_text("fim").alias("fim"))
 
 
+@query("shape_readings")
+def q_shape_readings(spark, sf_dir):
+    return stats.shape(readings(spark, sf_dir))
+
+
+@query("series_buckets")
+def q_series_buckets(spark, sf_dir):
+    df = stats.series_buckets(_table(spark, sf_dir), unit="hour")
+    return round_doubles(df.select(ts_text("periodo").alias("periodo"), "variavel", "valor"))
+
+
 @query("corr_readings")
 def q_corr_readings(spark, sf_dir):
     return round_doubles(stats.correlation_matrix(processed(spark, sf_dir), PROCESSED_NUMERIC))
@@ -414,6 +425,19 @@ def q_score_multi(spark, sf_dir):
                      F.size("sugestoes").alias("n_sugestoes"))
 
 
+@query("predicted_vs_actual")
+def q_predicted_vs_actual(spark, sf_dir):
+    """Hold-out points (real, predicted, residual) of an OLS model of the
+    irrigation volume, with the common axis limits on every row."""
+    from campo.operators.learn import fit_evaluate, predicted_vs_actual, training_frame
+    df = processed(spark, sf_dir, noise=True)
+    model, _ = fit_evaluate(df, "volume_irrigacao", "linear_regression")
+    test = training_frame(df, "volume_irrigacao").where("_valido").where(
+        F.col("conjunto") == "teste")
+    pts, lim = predicted_vs_actual(model.transform(test), "volume_irrigacao")
+    return pts.crossJoin(F.broadcast(lim))
+
+
 @query("importances")
 def q_importances(spark, sf_dir):
     from campo.operators.learn import fit_evaluate, importances

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campo.functions import flag_list
 from campo.operators.clean import normalize_columns
 from campo.schema import READINGS_RAW
 
@@ -98,7 +99,7 @@ def read_csv_quarantine(spark: SparkSession, path: str,
     the tagged frame when materialising both)."""
     raw = _text_csv(spark, path)
     typed_cols, bad = _typed(raw, schema)
-    errs = F.array_compact(F.array(*[F.when(b, F.lit(n)) for n, b in bad]))
+    errs = flag_list(bad)
     typed_exprs = [F.col(f.name) if isinstance(f.dataType, T.StringType)
                    else F.trim(F.col(f.name)).try_cast(f.dataType) for f in schema.fields]
     tagged = raw.select(F.struct(*[F.col(c) for c in raw.columns]).alias("_raw"),

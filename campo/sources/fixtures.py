@@ -20,8 +20,18 @@ from campo.schema import KEY
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Row keys of the test tables, used to spread single-file inputs.
+TABLE_KEYS = {"events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One test table; with ``spread`` a single-split file is hash-spread over
+    the default parallelism (no-op when the scan already has enough splits)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        from campo.session import ensure_parallelism
+        df = ensure_parallelism(df, TABLE_KEYS.get(name))
+    return df
 
 
 def readings_from_events(events: DataFrame, dirty: bool = True) -> DataFrame:

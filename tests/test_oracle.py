@@ -35,12 +35,31 @@ def _rows(pdf):
                         key=repr)
 
 
+def _same(a, b):
+    """Equal rows; floats may differ by one unit in the 6th decimal (a mean of
+    grid-valued data can sit exactly on a rounding tie, and the two engines
+    sum in different orders)."""
+    if len(a) != len(b):
+        return False
+    for x, y in zip(a, b):
+        if isinstance(x, float) and isinstance(y, float):
+            if not math.isclose(x, y, rel_tol=1e-12, abs_tol=1.5e-6):
+                return False
+        elif x != y:
+            return False
+    return True
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     s = queries()[name](spark, SF_SMALL).toPandas()
     d = con.execute(oracle_sql()[name]).df()
-    assert _rows(s) == _rows(d)
-    assert not math.isnan(0.0)
+    sc, sr = _rows(s)
+    dc, dr = _rows(d)
+    assert sc == dc
+    assert len(sr) == len(dr)
+    bad = [(x, y) for x, y in zip(sr, dr) if not _same(x, y)]
+    assert not bad, bad[:3]
 
 
 def test_entry_smoke(spark):
