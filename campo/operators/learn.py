@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from campo.functions import as_col, hash_bucket
 from campo.operators.features import assert_no_leakage, model_features
 from campo.operators.stats import regression_metrics
-from campo.schema import KEY, TARGETS
+from campo.schema import KEY, PIVOT_DUMMIES, TARGETS
 
 SEED = 42
 CV_FOLDS = 5
@@ -75,9 +75,21 @@ def _assembler(target, features):
                            handleInvalid="keep")
 
 
+def full_rank(features) -> list[str]:
+    """Reference-category encoding for OLS: with an intercept the three pivot
+    dummies are collinear, which makes MLlib's Cholesky step fail and fall
+    back to an iterative quasi-Newton solve (many passes over the data).
+    Dropping the last dummy spans the same column space, so the least-squares
+    predictions are unchanged and the fit is a single pass."""
+    feats = list(features)
+    if all(d in feats for d in PIVOT_DUMMIES):
+        feats.remove(PIVOT_DUMMIES[-1])
+    return feats
+
+
 def linear(target: str, features, **_) -> Pipeline:
-    """Ordinary least squares (normal equations; collinear one-hot falls
-    back to the quasi-Newton solver inside MLlib)."""
+    """Ordinary least squares by the normal equations (one aggregate pass)."""
+    features = full_rank(features)
     lr = LinearRegression(featuresCol=f"features_{target}", labelCol=target,
                           predictionCol=f"pred_{target}", regParam=0.0, solver="normal",
                           standardization=False)
@@ -277,7 +289,7 @@ def train_all(df: DataFrame, targets=TARGETS, candidates=None, folds: int = CV_F
     """Every available target on one persisted feature frame."""
     df = assign_split(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        present = [t for t in targets if t in df.columns]
+        present = [t for t in targets if t in df.columns]  # same rows for every target
         return {t: train_target(df, t, candidates, folds, parallelism) for t in present}
     finally:
         df.unpersist()

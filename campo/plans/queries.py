@@ -377,12 +377,18 @@ DEMO_FOREST = {"numTrees": 20, "maxDepth": 8}
 def _fit_all(spark, sf_dir, family, params):
     from campo.operators.learn import fit_evaluate
     from campo.schema import TARGETS
-    df = processed(spark, sf_dir, noise=True)
+    from pyspark import StorageLevel
+    from campo.operators.learn import assign_split
+    # one persisted frame for the five targets (targets computed once)
+    df = assign_split(processed(spark, sf_dir, noise=True)).persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], {}
-    for t in TARGETS:
-        model, m = fit_evaluate(df, t, family, params)
-        models[t] = model
-        rows.append((t, family, int(m["n"]), m["mae"], m["mse"], m["rmse"], m["r2"]))
+    try:
+        for t in TARGETS:
+            model, m = fit_evaluate(df, t, family, params)
+            models[t] = model
+            rows.append((t, family, int(m["n"]), m["mae"], m["mse"], m["rmse"], m["r2"]))
+    finally:
+        df.unpersist()
     out = spark.createDataFrame(rows, "alvo string, modelo string, n_teste long, mae double, "
                                       "mse double, rmse double, r2 double")
     return out, models

@@ -82,3 +82,16 @@ def test_cohort_yield_orders_soils(spark):
     assert r["n_solo_bom"] > 0 and r["n_solo_ruim"] > 0
     assert r["media_solo_bom"] > r["media_solo_ruim"]
     assert F is not None
+
+
+def test_restamp_and_text(spark):
+    import datetime as dt
+    from campo.functions import norm_text, round_to
+    df = spark.createDataFrame([("2020-01-01 00:00:00", " On ", 1.0005)],
+                               "capturado_em string, s string, x double")
+    r = clean.restamp(df).select("capturado_em", norm_text("s").alias("u"),
+                                 norm_text("s", "lower").alias("l"),
+                                 round_to("x", 3).alias("r")).first()
+    assert isinstance(r["capturado_em"], dt.datetime) and r["capturado_em"].year >= 2024
+    assert r["capturado_em"].microsecond == 0
+    assert (r["u"], r["l"], r["r"]) == ("ON", "on", 1.001)
