@@ -211,6 +211,25 @@ def _fit(family, target, features, params, data, stats_key, label_stats):
     return _BUILDERS[family](target, features, **kw).fit(data)
 
 
+def _fold_scores(train: DataFrame, target: str, features, family: str, params: dict,
+                 fold: int, label_stats) -> DataFrame:
+    """Fit on every fold but ``fold`` (an action), return the lazy scores of ``fold``."""
+    m = _fit(family, target, features, params, train.where(F.col("fold") != fold), fold,
+             label_stats)
+    return m.transform(train.where(F.col("fold") == fold)).select(
+        "fold", target, f"pred_{target}")
+
+
+def _mean_fold_r2(parts: list[DataFrame], target: str) -> float:
+    """Unweighted mean of the per-fold R², all folds in one grouped aggregate."""
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    r2 = regression_metrics(scored, target, f"pred_{target}", by=["fold"]) \
+        .agg(F.avg("r2").alias("r2")).first()["r2"]
+    return float(r2) if r2 is not None else float("nan")
+
+
 def cross_validate(train: DataFrame, target: str, features, family: str, params: dict,
                    folds: int = CV_FOLDS, label_stats=None, parallelism: int = 1) -> float:
     """Mean R² over the hash folds (unweighted mean of per-fold R²).
@@ -219,25 +238,26 @@ def cross_validate(train: DataFrame, target: str, features, family: str, params:
     jobs of all threads on the same cluster); predictions of every fold are
     scored together by one grouped aggregate."""
     label_stats = label_stats or _label_stats_per_fold(train, target)
-
-    def one(f):
-        m = _fit(family, target, features, params, train.where(F.col("fold") != f), f,
-                 label_stats)
-        return m.transform(train.where(F.col("fold") == f)).select(
-            "fold", target, f"pred_{target}")
-
-    fold_ids = list(range(folds))
+    args = (train, target, features, family, params)
     if parallelism > 1:
         with ThreadPoolExecutor(parallelism) as ex:
-            parts = list(ex.map(one, fold_ids))
+            parts = list(ex.map(lambda f: _fold_scores(*args, f, label_stats), range(folds)))
     else:
-        parts = [one(f) for f in fold_ids]
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    r2 = regression_metrics(scored, target, f"pred_{target}", by=["fold"]) \
-        .agg(F.avg("r2").alias("r2")).first()["r2"]
-    return float(r2) if r2 is not None else float("nan")
+        parts = [_fold_scores(*args, f, label_stats) for f in range(folds)]
+    return _mean_fold_r2(parts, target)
+
+
+def _cv_all(train, target, features, cand_list, folds, label_stats, parallelism) -> list[float]:
+    """Mean CV R² of every candidate; with parallelism > 1 all (candidate,
+    fold) fits of the target share one thread pool."""
+    if parallelism <= 1:
+        return [cross_validate(train, target, features, fam, params, folds, label_stats)
+                for fam, params in cand_list]
+    with ThreadPoolExecutor(parallelism) as ex:
+        futs = [[ex.submit(_fold_scores, train, target, features, fam, params, f, label_stats)
+                 for f in range(folds)] for fam, params in cand_list]
+        parts = [[x.result() for x in row] for row in futs]
+        return list(ex.map(lambda p: _mean_fold_r2(p, target), parts))
 
 
 def train_target(df: DataFrame, target: str, candidates=None, folds: int = CV_FOLDS,
@@ -257,13 +277,15 @@ def train_target(df: DataFrame, target: str, candidates=None, folds: int = CV_FO
         train = data.where(F.col("conjunto") == "treino")
         test = data.where(F.col("conjunto") == "teste")
         label_stats = _label_stats_per_fold(train, target)
+        cand_list = [(fam, params) for fam in FAMILIES for params in candidates.get(fam, [])]
+        scores = _cv_all(train, target, features, cand_list, folds, label_stats, parallelism)
         results: list[CandidateResult] = []
         best = None
         for family in FAMILIES:
             fam_best = None
-            for params in candidates.get(family, []):
-                r2 = cross_validate(train, target, features, family, params, folds,
-                                    label_stats, parallelism)
+            for (fam, params), r2 in zip(cand_list, scores):
+                if fam != family:
+                    continue
                 cand = CandidateResult(family, params, r2)
                 if fam_best is None or r2 > fam_best.cv_r2:
                     fam_best = cand

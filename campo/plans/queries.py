@@ -417,7 +417,7 @@ def q_cv_select(spark, sf_dir):
     from campo.operators.learn import RIDGE_ALPHAS, metrics_frame, train_all
     cands = {"linear_regression": [{}], "ridge": [{"alpha": a} for a in RIDGE_ALPHAS],
              "random_forest": [DEMO_FOREST]}
-    res = train_all(processed(spark, sf_dir, noise=True), candidates=cands)
+    res = train_all(processed(spark, sf_dir, noise=True), candidates=cands, parallelism=5)
     return metrics_frame(spark, res).drop("features")
 
 
