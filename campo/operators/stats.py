@@ -18,7 +18,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campo.functions import as_col
+from campo.functions import as_col, exact_mean
 
 
 
@@ -42,9 +42,9 @@ def kpis(df: DataFrame, col: str = "estado_bomba") -> DataFrame:
         on = F.upper(c) == F.lit("ON")
     else:
         on = c == F.lit(1)
-    return df.agg(F.avg("umidade").alias("umidade_media"),
-                  F.avg("temperatura").alias("temperatura_media"),
-                  F.avg("ph").alias("ph_medio"),
+    return df.agg(exact_mean("umidade").alias("umidade_media"),
+                  exact_mean("temperatura").alias("temperatura_media"),
+                  exact_mean("ph").alias("ph_medio"),
                   F.avg(F.coalesce(on, F.lit(False)).cast("double")).alias("bomba_ligada"))
 
 
@@ -145,12 +145,13 @@ def quantiles(df, cols, probs, exact: bool = True, **kw) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (linear), max per column.
 
-    Long form: one row per column.
+    Long form: one row per column.  The mean uses an exact decimal sum
+    (``functions.exact_mean``), so it does not depend on partitioning.
     """
     aggs = []
     for c in cols:
         x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+        aggs += [F.count(x).alias(f"{c}__count"), exact_mean(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
@@ -234,21 +235,24 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- A10, A11
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """A10: equal-width histogram over [min, max], last bin closed, empty bins
-    included.  Bounds come from one aggregate (one row, broadcast)."""
+    included.  The bounds are scalar subqueries (one aggregate, evaluated
+    once and shipped to every task as a value), so no join is needed."""
     x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    bounds = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).withColumn(
-        "w", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
-    b = F.when(F.col("w") > 0,
-               F.least(F.floor((F.col("x") - F.col("lo")) / F.col("w")), F.lit(bins - 1))
+    lo = vals.select(F.min("x")).scalar()
+    hi = vals.select(F.max("x")).scalar()
+    w = (hi - lo) / F.lit(float(bins))
+    b = F.when(w > 0, F.least(F.floor((F.col("x") - lo) / w), F.lit(bins - 1))
                ).otherwise(F.lit(0)).cast("int")
-    counts = (vals.crossJoin(F.broadcast(bounds)).select(b.alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("contagem")))
-    grid = bounds.select("lo", "w", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    counts = vals.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("contagem"))
+    spark = df.sparkSession
+    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    # counts has at most `bins` rows: a bounded broadcast
     return (grid.join(F.broadcast(counts), "bin", "left")
+            .where(lo.isNotNull())
             .select(F.lit(col).alias("coluna"), "bin",
-                    (F.col("lo") + F.col("bin") * F.col("w")).alias("inicio"),
-                    (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("fim"),
+                    (lo + F.col("bin") * w).alias("inicio"),
+                    (lo + (F.col("bin") + 1) * w).alias("fim"),
                     F.coalesce("contagem", F.lit(0)).cast("bigint").alias("contagem")))
 
 

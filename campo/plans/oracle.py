@@ -129,12 +129,16 @@ def r6(x):
 
 
 # ------------------------------------------------------------------ helpers
+def exact_mean_sql(x):
+    return f"CAST(sum(CAST({x} AS DECIMAL(38, 10))) AS DOUBLE) / count({x})"
+
+
 def describe_sql(src, cols):
     parts = []
     for c in cols:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS coluna, count(x) AS count, {r6('avg(x)')} AS mean, "
+            f"SELECT '{c}' AS coluna, count(x) AS count, {r6(exact_mean_sql('x'))} AS mean, "
             f"{r6('stddev_samp(x)')} AS std, {r6('min(x)')} AS min, "
             f"{r6('quantile_cont(x, 0.25)')} AS q25, {r6('quantile_cont(x, 0.5)')} AS q50, "
             f"{r6('quantile_cont(x, 0.75)')} AS q75, {r6('max(x)')} AS max "
@@ -300,8 +304,9 @@ def _build() -> dict[str, str]:
     o["row_count"] = with_readings("SELECT count(*) AS linhas FROM readings")
 
     o["kpis"] = with_readings(
-        f"SELECT {r6('avg(umidade)')} AS umidade_media, {r6('avg(temperatura)')} AS temperatura_media, "
-        f"{r6('avg(ph)')} AS ph_medio, "
+        f"SELECT {r6(exact_mean_sql('umidade'))} AS umidade_media, "
+        f"{r6(exact_mean_sql('temperatura'))} AS temperatura_media, "
+        f"{r6(exact_mean_sql('ph'))} AS ph_medio, "
         f"{r6(PUMP_ON_AVG)} AS bomba_ligada "
         f"FROM readings")
     o["npk_means"] = with_readings("\nUNION ALL\n".join(

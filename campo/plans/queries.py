@@ -441,7 +441,8 @@ def q_predicted_vs_actual(spark, sf_dir):
     test = training_frame(df, "volume_irrigacao").where("_valido").where(
         F.col("conjunto") == "teste")
     pts, lim = predicted_vs_actual(model.transform(test), "volume_irrigacao")
-    return pts.crossJoin(F.broadcast(lim))
+    return pts.select("*", lim.select("minimo").scalar().alias("minimo"),
+                      lim.select("maximo").scalar().alias("maximo"))
 
 
 @query("importances")

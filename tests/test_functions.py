@@ -89,3 +89,17 @@ def test_fmt_is_fixed_point(spark):
     out = one(spark, cf.fmt("x", 1), rows=[(18.4,), (62.0,)])
     assert out == ["18.4", "62.0"]
     assert not math.isnan(1.0)
+
+
+def test_exact_mean(spark):
+    from pyspark.sql import functions as F
+    vals = [(0.01 * (i % 7),) for i in range(600)] + [(None,)]
+    df = spark.createDataFrame(vals, "x double")
+    exact = sum(round(0.01 * (i % 7), 2) for i in range(600)) / 600
+    a = df.agg(cf.exact_mean("x")).first()[0]
+    b = df.repartition(7).agg(cf.exact_mean("x")).first()[0]
+    assert a == b and abs(a - exact) < 1e-15
+    big = spark.createDataFrame([(1e30,), (3e30,)], "x double").agg(cf.exact_mean("x")).first()[0]
+    assert big == 2e30
+    assert spark.createDataFrame([(None,)], "x double").agg(cf.exact_mean("x")).first()[0] is None
+    assert F is not None
