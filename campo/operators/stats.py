@@ -283,7 +283,8 @@ def box_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataF
 def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
     """MAE, MSE, RMSE, R² in one aggregate (optionally per group).
 
-    R² = 1 - SSE / SST with SST = n·var_pop(y); a constant truth gives NULL.
+    R² = 1 - SSE / SST with SST = n·var_pop(y); a constant truth gives 1.0
+    for a perfect fit and 0.0 otherwise.
     """
     e = F.col(y).cast("double") - F.col(yhat).cast("double")
     valid = F.col(y).isNotNull() & F.col(yhat).isNotNull()
@@ -293,9 +294,13 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ())
             F.avg(ee * ee).alias("mse"), F.sum(ee * ee).alias("_sse"),
             F.var_pop(yy).alias("_var")]
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return g.select(*by, "n", "mae", "mse", F.sqrt("mse").alias("rmse"),
-                    (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("_var") * F.col("n")))
-                    .alias("r2"))
+    sst = F.col("_var") * F.col("n")
+    # constant truth: 1.0 for a perfect fit, else 0.0 (finite, as the
+    # original's metric library reports it); no rows: NULL
+    r2 = (F.when(F.col("n") == 0, F.lit(None).cast("double"))
+          .when(sst == 0, F.when(F.col("_sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+          .otherwise(F.lit(1.0) - F.col("_sse") / sst))
+    return g.select(*by, "n", "mae", "mse", F.sqrt("mse").alias("rmse"), r2.alias("r2"))
 
 
 # ---------------------------------------------------------------- A14–A17

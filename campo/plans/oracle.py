@@ -360,7 +360,7 @@ def _build() -> dict[str, str]:
     o["regression_metrics"] = with_readings(
         f"SELECT alvo, count(e) AS n, {r6('avg(abs(e))')} AS mae, {r6('avg(e * e)')} AS mse, "
         f"{r6('sqrt(avg(e * e))')} AS rmse, "
-        f"{r6(f'{d(1)} - CASE WHEN var_pop(yy) * count(e) = 0 THEN NULL ELSE sum(e * e) / (var_pop(yy) * count(e)) END')} AS r2 "
+        f"{r6(f'CASE WHEN count(e) = 0 THEN NULL WHEN var_pop(yy) * count(e) = 0 THEN (CASE WHEN sum(e * e) = 0 THEN {d(1)} ELSE {d(0)} END) ELSE {d(1)} - sum(e * e) / (var_pop(yy) * count(e)) END')} AS r2 "
         f"FROM (SELECT alvo, CASE WHEN y IS NOT NULL AND y_hat IS NOT NULL THEN y - y_hat END AS e, "
         f"CASE WHEN y IS NOT NULL AND y_hat IS NOT NULL THEN y END AS yy FROM pairs) GROUP BY alvo",
         f"pairs AS ({pairs})")

@@ -127,3 +127,10 @@ def test_series_and_trend(spark):
     t = stats.trend(df).collect()
     assert sum(r["leituras"] for r in t) == df.where(F.col("capturado_em").isNotNull()).count()
     assert stats.series_buckets(df).count() > 0
+
+
+def test_regression_metrics_constant_truth(spark):
+    df = spark.createDataFrame([(2.0, 2.0, "a"), (2.0, 2.0, "a"), (2.0, 1.0, "b"), (2.0, 3.0, "b")],
+                               "y double, p double, g string")
+    r = {x["g"]: x["r2"] for x in stats.regression_metrics(df, "y", "p", by=["g"]).collect()}
+    assert r == {"a": 1.0, "b": 0.0}
