@@ -51,9 +51,13 @@ def insert_rows(spark: SparkSession, df: DataFrame, name: str = TABLE) -> int:
 
 def ingest_once(spark: SparkSession, df: DataFrame, name: str = TABLE, reset: bool = True,
                 restamp: bool = False) -> int:
-    """Full load.  ``reset=True`` replaces the table's content atomically
-    per the committer (an overwrite, not delete-then-insert), ``False``
-    appends.  Returns rows written."""
+    """Full load.  ``reset=True`` replaces the table's content with an
+    INSERT OVERWRITE, ``False`` appends.  Returns rows written.
+
+    Task failures and lost executors are retried by the job; if the whole job
+    fails after the overwrite has removed the old files, the table is left
+    empty (as with the original's delete-then-insert) and the load is simply
+    run again — it is idempotent."""
     create_table(spark, name)
     if restamp:
         df = _restamp(df)

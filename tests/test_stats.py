@@ -134,3 +134,19 @@ def test_regression_metrics_constant_truth(spark):
                                "y double, p double, g string")
     r = {x["g"]: x["r2"] for x in stats.regression_metrics(df, "y", "p", by=["g"]).collect()}
     assert r == {"a": 1.0, "b": 0.0}
+
+
+def test_exact_quantiles_property(spark):
+    """Random multisets (with heavy duplicates) against NumPy's linear quantile."""
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(st.integers(min_value=-5, max_value=5), min_size=1, max_size=60),
+           st.integers(min_value=1, max_value=9))
+    def check(ints, parts):
+        vals = [float(v) / 2 for v in ints]
+        got = _q(spark, vals, [0.1, 0.5, 0.9], parts=parts)
+        exp = np.quantile(np.array(vals), [0.1, 0.5, 0.9])
+        assert [got[q] for q in (0.1, 0.5, 0.9)] == pytest.approx(list(exp), abs=1e-12)
+
+    check()
