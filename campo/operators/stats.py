@@ -235,12 +235,14 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- A10, A11
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """A10: equal-width histogram over [min, max], last bin closed, empty bins
-    included.  The bounds are scalar subqueries (one aggregate, evaluated
-    once and shipped to every task as a value), so no join is needed."""
+    included.  The bounds come from one scalar subquery (one aggregate,
+    evaluated once and shipped to every task as a value), so no join is
+    needed: two passes over the column in total."""
     x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    lo = vals.select(F.min("x")).scalar()
-    hi = vals.select(F.max("x")).scalar()
+    # one scalar subquery for both bounds: a single pass, reused by every reference
+    bounds = vals.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     w = (hi - lo) / F.lit(float(bins))
     b = F.when(w > 0, F.least(F.floor((F.col("x") - lo) / w), F.lit(bins - 1))
                ).otherwise(F.lit(0)).cast("int")
