@@ -75,6 +75,13 @@ def ph_band_share(df: DataFrame, col: str = "ph", lo: float = 6.0, hi: float = 7
 
 
 # ---------------------------------------------------------------- quantiles
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(coluna, x, c): rows per distinct value of every column.  Partial
+    aggregation collapses repeated values inside each task before the
+    shuffle, so a value holding a third of all rows becomes one row."""
+    return _long(df, cols).groupBy("coluna", "x").agg(F.count(F.lit(1)).alias("c"))
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     range_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (the 'linear' / ``quantile_cont``
@@ -87,11 +94,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     3. prefix sums of the partition totals give each value its rank interval;
     4. keep only values whose interval holds a wanted rank (2 per quantile).
     """
+    return quantiles_from_counts(value_counts(df, cols), probs, range_partitions)
+
+
+def quantiles_from_counts(vc: DataFrame, probs: Sequence[float],
+                          range_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles from a (coluna, x, c) value-count table (see
+    ``exact_quantiles``)."""
     # As many range partitions as the job's shuffle width: the distinct-value
     # table grows with the data, so must the number of ranges.
     range_partitions = range_partitions or int(
-        df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    vc = (_long(df, cols).groupBy("coluna", "x").agg(F.count(F.lit(1)).alias("c")))
+        vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (vc.repartitionByRange(range_partitions, "coluna", "x")
               .withColumn("pid", F.spark_partition_id()))
     local = ranged.withColumn(
@@ -260,8 +273,17 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def box_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Quartiles, IQR, whiskers at the extreme inliers within 1.5 IQR and
-    the number of outliers, per column."""
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], exact=exact)
+    the number of outliers, per column.
+
+    Exact form: quartiles, whiskers and outlier counts all come from the one
+    per-value count table, so the data is read and shuffled once (the two
+    uses share the exchange)."""
+    if exact:
+        vc = value_counts(df, cols)
+        q = quantiles_from_counts(vc, [0.25, 0.5, 0.75])
+    else:
+        vc = _long(df, cols).withColumn("c", F.lit(1).cast("bigint"))
+        q = approx_quantiles(df, cols, [0.25, 0.5, 0.75])
     qw = (q.groupBy("coluna").agg(
         F.max(F.when(F.col("q") == 0.25, F.col("valor"))).alias("q1"),
         F.max(F.when(F.col("q") == 0.5, F.col("valor"))).alias("mediana"),
@@ -271,11 +293,12 @@ def box_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataF
         .withColumn("cerca_sup", F.col("q3") + F.lit(1.5) * F.col("iqr")))
     x = F.col("x")
     inner = (x >= F.col("cerca_inf")) & (x <= F.col("cerca_sup"))
-    ext = (_long(df, cols).join(F.broadcast(qw.select("coluna", "cerca_inf", "cerca_sup")),
-                                "coluna")
+    # qw has one row per column: a bounded broadcast
+    ext = (vc.join(F.broadcast(qw.select("coluna", "cerca_inf", "cerca_sup")), "coluna")
            .groupBy("coluna").agg(F.min(F.when(inner, x)).alias("bigode_inf"),
                                   F.max(F.when(inner, x)).alias("bigode_sup"),
-                                  F.count(F.when(~inner, 1)).alias("outliers")))
+                                  F.coalesce(F.sum(F.when(~inner, F.col("c"))), F.lit(0))
+                                  .cast("bigint").alias("outliers")))
     return (qw.join(ext, "coluna")
             .select("coluna", "q1", "mediana", "q3", "iqr", "bigode_inf", "bigode_sup",
                     "outliers"))
