@@ -312,6 +312,12 @@ def train_all(df: DataFrame, targets=TARGETS, candidates=None, folds: int = CV_F
     df = assign_split(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         present = [t for t in targets if t in df.columns]  # same rows for every target
+        if parallelism > 1:
+            # targets are independent: their CV pools run side by side
+            with ThreadPoolExecutor(min(len(present), 2)) as ex:
+                res = list(ex.map(lambda t: train_target(df, t, candidates, folds, parallelism),
+                                  present))
+            return dict(zip(present, res))
         return {t: train_target(df, t, candidates, folds, parallelism) for t in present}
     finally:
         df.unpersist()

@@ -381,10 +381,13 @@ def _fit_all(spark, sf_dir, family, params):
     from campo.operators.learn import assign_split
     # one persisted frame for the five targets (targets computed once)
     df = assign_split(processed(spark, sf_dir, noise=True)).persist(StorageLevel.MEMORY_AND_DISK)
+    from concurrent.futures import ThreadPoolExecutor
     rows, models = [], {}
     try:
-        for t in TARGETS:
-            model, m = fit_evaluate(df, t, family, params)
+        # independent fits: submitted together, Spark runs their jobs side by side
+        with ThreadPoolExecutor(len(TARGETS)) as ex:
+            fitted = list(ex.map(lambda t: fit_evaluate(df, t, family, params), TARGETS))
+        for t, (model, m) in zip(TARGETS, fitted):
             models[t] = model
             rows.append((t, family, int(m["n"]), m["mae"], m["mse"], m["rmse"], m["r2"]))
     finally:

@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # the statistics and advice queries generate large classes; a long-lived
+    # session (dashboard, repeated reports) should not evict and recompile them
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
