@@ -36,12 +36,31 @@ def _align(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def with_row_key(spark: SparkSession, df: DataFrame, name: str = TABLE,
+                 key: str = KEY) -> DataFrame:
+    """Give keyless readings a row key once, at load time (it is then stored).
+
+    Raw readings have no natural key and may contain exact duplicates, so a
+    content hash cannot serve.  ``monotonically_increasing_id`` is unique
+    within one write and deterministic under task retries (it depends only
+    on the input split and the row position); it is offset past the largest
+    key already in the table, so appended loads never collide."""
+    if key in df.columns:
+        return df
+    base = 0
+    if spark.catalog.tableExists(name):
+        top = spark.table(name).agg(F.max(key)).first()[0]
+        base = 0 if top is None else int(top) + 1
+    return df.withColumn(key, F.monotonically_increasing_id() + F.lit(base))
+
+
 def insert_rows(spark: SparkSession, df: DataFrame, name: str = TABLE) -> int:
     """Append rows; returns the number written (0 for an empty frame).
 
     The count is taken by an ``Observation`` during the write itself, so the
     input is read once."""
     create_table(spark, name)
+    df = with_row_key(spark, df, name)
     schema = spark.table(name).schema
     obs = Observation("inseridas")
     _align(df, schema).observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append") \
@@ -61,6 +80,8 @@ def ingest_once(spark: SparkSession, df: DataFrame, name: str = TABLE, reset: bo
     create_table(spark, name)
     if restamp:
         df = _restamp(df)
+    df = with_row_key(spark, df, name) if not reset else (
+        df if KEY in df.columns else df.withColumn(KEY, F.monotonically_increasing_id()))
     schema = spark.table(name).schema
     obs = Observation("carga")
     (_align(df, schema).observe(obs, F.count(F.lit(1)).alias("n"))

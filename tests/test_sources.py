@@ -125,3 +125,16 @@ def test_model_store(spark, tmp):
     with pytest.raises(FileNotFoundError):
         load_models(os.path.join(tmp, "empty"))
     assert load_models(os.path.join(tmp, "empty"), required=False) == {}
+
+
+def test_keyless_loads_get_unique_keys(spark, tmp):
+    p = write_csv(tmp, "dup.csv", HEADER, GOOD + GOOD)   # exact duplicate rows
+    from campo.operators.clean import parse_timestamp
+    df = parse_timestamp(files.read_csv_strict(spark, p))
+    name = "sensores_chave"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert tables.ingest_once(spark, df, name, reset=True) == 4
+    assert tables.insert_rows(spark, df, name) == 4
+    keys = [r[0] for r in spark.table(name).select("id_leitura").collect()]
+    assert len(keys) == 8 and len(set(keys)) == 8
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
