@@ -158,28 +158,62 @@ def quantiles(df, cols, probs, exact: bool = True, **kw) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (linear), max per column.
 
-    Long form: one row per column.  The mean uses an exact decimal sum
-    (``functions.exact_mean``), so it does not depend on partitioning.
-    """
-    aggs = []
-    for c in cols:
-        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        aggs += [F.count(x).alias(f"{c}__count"), exact_mean(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    moments = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("coluna"),
-                 F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
-                 F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-                 F.col(f"{c}__max").alias("max")) for c in cols])).alias("s")).select("s.*")
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], exact=exact)
+    Long form: one row per column (a column without values gets count 0).
+
+    Exact form: everything comes from one per-value count table (coluna, x, c)
+    — the data is read and shuffled once, the three uses share the exchange:
+    count = Σc, mean = exact decimal Σc·x / Σc (run-independent), sample
+    variance by the two-pass formula Σc(x-mean)²/(n-1), min / max, and the
+    quartiles from the ranked counts.  ``exact=False`` uses moments over the
+    rows and sketch quantiles (bounded memory)."""
+    cols = list(cols)
+    spark = df.sparkSession
+    names = spark.createDataFrame([(c,) for c in cols], "coluna string")
+    if exact:
+        vc = value_counts(df, cols)
+        x, c = F.col("x"), F.col("c")
+        dx = x.try_cast("decimal(19,10)")
+        first = vc.groupBy("coluna").agg(
+            F.sum(c).alias("count"),
+            F.try_sum(dx * c.cast("decimal(15,0)")).alias("_sx"),
+            F.count(F.when(dx.isNull(), 1)).alias("_nofit"),
+            F.sum(c * x).alias("_sxd"),
+            F.min(x).alias("min"), F.max(x).alias("max"))
+        n = F.col("count").cast("double")
+        first = first.withColumn("mean", F.when(
+            (F.col("_nofit") == 0) & F.col("_sx").isNotNull(), F.col("_sx").cast("double") / n
+        ).otherwise(F.col("_sxd") / n))
+        # one row per column: a bounded broadcast
+        m2 = (vc.join(F.broadcast(first.select("coluna", "mean")), "coluna")
+              .groupBy("coluna").agg(
+                  F.sum(c * (x - F.col("mean")) * (x - F.col("mean"))).alias("_m2")))
+        moments = (first.join(m2, "coluna")
+                   .withColumn("std", F.when(F.col("count") > 1, F.sqrt(
+                       F.col("_m2") / (F.col("count") - 1).cast("double")))))
+        q = quantiles_from_counts(vc, [0.25, 0.5, 0.75])
+    else:
+        aggs = []
+        for col in cols:
+            v = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+            aggs += [F.count(v).alias(f"{col}__count"), exact_mean(v).alias(f"{col}__mean"),
+                     F.stddev_samp(v).alias(f"{col}__std"), F.min(v).alias(f"{col}__min"),
+                     F.max(v).alias(f"{col}__max")]
+        wide = df.agg(*aggs)
+        moments = wide.select(F.explode(F.array(*[
+            F.struct(F.lit(col).alias("coluna"),
+                     F.col(f"{col}__count").alias("count"), F.col(f"{col}__mean").alias("mean"),
+                     F.col(f"{col}__std").alias("std"), F.col(f"{col}__min").alias("min"),
+                     F.col(f"{col}__max").alias("max")) for col in cols])).alias("s")).select("s.*")
+        q = approx_quantiles(df, cols, [0.25, 0.5, 0.75])
     qw = (q.groupBy("coluna").agg(
         F.max(F.when(F.col("q") == 0.25, F.col("valor"))).alias("q25"),
         F.max(F.when(F.col("q") == 0.5, F.col("valor"))).alias("q50"),
         F.max(F.when(F.col("q") == 0.75, F.col("valor"))).alias("q75")))
-    return (moments.join(F.broadcast(qw), "coluna", "left")
-            .select("coluna", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
+    # names, moments and qw have one row per column: bounded broadcasts
+    return (names.join(F.broadcast(moments), "coluna", "left")
+            .join(F.broadcast(qw), "coluna", "left")
+            .select("coluna", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
+                    "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
