@@ -122,8 +122,16 @@ def quantiles_from_counts(vc: DataFrame, probs: Sequence[float],
               .select("coluna", "x", "n",
                       (F.col("off") + F.col("cum") - F.col("c")).alias("r0"),
                       (F.col("off") + F.col("cum")).alias("r1")))
+    # keep only values whose rank interval holds a wanted rank, before the
+    # per-probability expansion (a handful of rows survive per column)
+    r0, r1, nn = F.col("r0"), F.col("r1"), F.col("n")
+    holds = F.lit(False)
+    for q in probs:
+        h = (nn - 1).cast("double") * F.lit(float(q))
+        holds = holds | ((r0 <= F.floor(h)) & (F.floor(h) < r1)) \
+            | ((r0 <= F.ceil(h)) & (F.ceil(h) < r1))
     qs = F.array(*[F.lit(float(q)) for q in probs])
-    wanted = (ranked.select("*", F.explode(qs).alias("q"))
+    wanted = (ranked.where(holds).select("*", F.explode(qs).alias("q"))
               .withColumn("h", (F.col("n") - 1).cast("double") * F.col("q"))
               .withColumn("lo", F.floor("h"))
               .withColumn("hi", F.ceil("h")))
