@@ -103,3 +103,22 @@ def test_exact_mean(spark):
     assert big == 2e30
     assert spark.createDataFrame([(None,)], "x double").agg(cf.exact_mean("x")).first()[0] is None
     assert F is not None
+
+
+def test_ensure_parallelism(spark):
+    from campo.session import ensure_parallelism
+    one = spark.range(100).coalesce(1)
+    spread = ensure_parallelism(one, "id", minimum=4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r[0] for r in spread.collect()) == list(range(100))
+    many = spark.range(100).repartition(6)
+    assert ensure_parallelism(many, "id", minimum=4) is many
+
+
+def test_scatter_sample_is_deterministic(spark):
+    from campo.operators.stats import scatter_points
+    df = spark.range(2000).select(F.col("id").alias("id_leitura"), (F.col("id") * 0.5).alias("umidade"),
+                                  F.lit(20.0).alias("temperatura"), F.lit("ON").alias("estado_bomba"))
+    a = sorted(r[0] for r in scatter_points(df, fraction=0.1).collect())
+    b = sorted(r[0] for r in scatter_points(df.repartition(5), fraction=0.1).collect())
+    assert a == b and 120 < len(a) < 280
