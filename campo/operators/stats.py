@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from campo.functions import as_col, exact_mean
+from campo.functions import exact_mean
 
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campo.functions import hash_bucket, parse_wallclock
 from campo.operators import advice as adv
 from campo.operators import clean, stats, targets
 from campo.sources.fixtures import load_table, readings
