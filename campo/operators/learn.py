@@ -261,7 +261,7 @@ def _cv_all(train, target, features, cand_list, folds, label_stats, parallelism)
 
 
 def train_target(df: DataFrame, target: str, candidates=None, folds: int = CV_FOLDS,
-                 parallelism: int = 1, features=None) -> TargetResult:
+                 parallelism: int = 1, features=None, persist: bool = True) -> TargetResult:
     """L05–L07 for one target: CV every candidate, select the best mean R²
     (first family wins ties: linear, ridge, forest), refit it on all training
     rows and evaluate it on the hold-out rows."""
@@ -269,7 +269,12 @@ def train_target(df: DataFrame, target: str, candidates=None, folds: int = CV_FO
     features = list(features or model_features(target))
     # Persist before filtering: the validity filter then runs on stored rows
     # instead of being pushed into (and re-evaluating) the feature formulas.
-    frame = training_frame(df, target, features).persist(StorageLevel.MEMORY_AND_DISK)
+    # Skipped when the caller already persisted ``df`` (``train_all``): the
+    # frame is then a projection of cached columns and a second cache would
+    # double the memory.
+    frame = training_frame(df, target, features)
+    if persist:
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     data = frame.where("_valido").drop("_valido")
     try:
         counts = {(r["conjunto"], r["_valido"]): r["n"] for r in
@@ -303,7 +308,8 @@ def train_target(df: DataFrame, target: str, candidates=None, folds: int = CV_FO
                              for k in ("mae", "mse", "rmse", "r2")},
                             n_train, n_test, dropped, features, model)
     finally:
-        frame.unpersist()
+        if persist:
+            frame.unpersist()
 
 
 def train_all(df: DataFrame, targets=TARGETS, candidates=None, folds: int = CV_FOLDS,
@@ -315,10 +321,11 @@ def train_all(df: DataFrame, targets=TARGETS, candidates=None, folds: int = CV_F
         if parallelism > 1:
             # targets are independent: their CV pools run side by side
             with ThreadPoolExecutor(min(len(present), 2)) as ex:
-                res = list(ex.map(lambda t: train_target(df, t, candidates, folds, parallelism),
-                                  present))
+                res = list(ex.map(lambda t: train_target(df, t, candidates, folds, parallelism,
+                                                         persist=False), present))
             return dict(zip(present, res))
-        return {t: train_target(df, t, candidates, folds, parallelism) for t in present}
+        return {t: train_target(df, t, candidates, folds, parallelism, persist=False)
+                for t in present}
     finally:
         df.unpersist()
 
@@ -443,11 +450,14 @@ def predicted_vs_actual(scored: DataFrame, target: str) -> tuple[DataFrame, Data
 
 
 def fit_evaluate(df: DataFrame, target: str, family: str, params: dict | None = None,
-                 features=None) -> tuple[PipelineModel, dict]:
+                 features=None, persist: bool = True) -> tuple[PipelineModel, dict]:
     """Fit one candidate on the training split, evaluate on the hold-out split
-    (L02/L03/L04 + L07 without the grid search)."""
+    (L02/L03/L04 + L07 without the grid search).  ``persist=False`` when the
+    caller already persisted ``df``."""
     features = list(features or model_features(target))
-    frame = training_frame(df, target, features).persist(StorageLevel.MEMORY_AND_DISK)
+    frame = training_frame(df, target, features)
+    if persist:
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         data = frame.where("_valido").drop("_valido")
         train = data.where(F.col("conjunto") == "treino")
@@ -457,4 +467,5 @@ def fit_evaluate(df: DataFrame, target: str, family: str, params: dict | None =
         m = regression_metrics(model.transform(test), target, f"pred_{target}").first().asDict()
         return model, m
     finally:
-        frame.unpersist()
+        if persist:
+            frame.unpersist()

@@ -385,7 +385,8 @@ def _fit_all(spark, sf_dir, family, params):
     try:
         # independent fits: submitted together, Spark runs their jobs side by side
         with ThreadPoolExecutor(len(TARGETS)) as ex:
-            fitted = list(ex.map(lambda t: fit_evaluate(df, t, family, params), TARGETS))
+            fitted = list(ex.map(lambda t: fit_evaluate(df, t, family, params, persist=False),
+                                 TARGETS))
         for t, (model, m) in zip(TARGETS, fitted):
             models[t] = model
             rows.append((t, family, int(m["n"]), m["mae"], m["mse"], m["rmse"], m["r2"]))
