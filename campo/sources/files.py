@@ -164,7 +164,7 @@ def load_first_available(spark: SparkSession, candidates: list[tuple[str, str]],
             if kind == "table":
                 if not spark.catalog.tableExists(loc):
                     continue
-                df = spark.table(loc)
+                df = normalize_columns(spark.table(loc))
             elif kind == "parquet":
                 df = normalize_columns(spark.read.parquet(loc))
             elif kind == "csv":
