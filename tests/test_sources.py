@@ -138,3 +138,14 @@ def test_keyless_loads_get_unique_keys(spark, tmp):
     keys = [r[0] for r in spark.table(name).select("id_leitura").collect()]
     assert len(keys) == 8 and len(set(keys)) == 8
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_first_available_prefers_table(spark, tmp):
+    from campo.operators.clean import parse_timestamp
+    p = write_csv(tmp, "t.csv", HEADER, GOOD)
+    name = "sensores_fonte"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.ingest_once(spark, parse_timestamp(files.read_csv_strict(spark, p)), name)
+    df, label = files.load_first_available(spark, [("table", name), ("csv", p)])
+    assert label == f"table:{name}" and df.count() == 2 and "id_leitura" in df.columns
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
