@@ -37,8 +37,10 @@ def score_readings(df: DataFrame, models: dict[str, PipelineModel],
 def windowed_trend(df: DataFrame, value: str = "rendimento", ts: str = "capturado_em",
                    window: str = "1 day", watermark: str = "1 day", by=("id_pivo",)) -> DataFrame:
     """A14 in streaming form: mean per pivot and event-time window, with a
-    watermark bounding the state kept for late readings.  (Watermarks need a
-    zoned timestamp, so the wall-clock NTZ column is read as UTC.)"""
+    watermark bounding the state kept for late readings.  Watermarks need a
+    zoned timestamp, so the wall-clock NTZ column is cast to one in the
+    session time zone; windows align to UTC midnight, so day windows follow
+    the wall-clock days when the session zone is UTC (campo's default)."""
     t = F.col(ts).cast("timestamp")
     return (df.withColumn("_ts", t).withWatermark("_ts", watermark)
             .groupBy(F.window("_ts", window).alias("janela"), *by)
