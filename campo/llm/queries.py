@@ -3,11 +3,13 @@ SQL can express."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from campo.llm import exact, mixing, near, packing, quality
+from campo.llm import exact, langid, lm, mixing, near, packing, pii, quality, tokenfile, toxicity
 from campo.llm.common import table
+from campo.session import scratch_path
 
 #: Folder of the public tokenizer files; None: that of the installed package.
 TOKENIZERS: str | None = None
@@ -24,10 +26,22 @@ def op1_exact_dedup(spark, sf_dir) -> DataFrame:
     return exact.dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out(docs).alias("held_out")
+    model = langid.train(docs.where(~langid.held_out(docs)), tokenizer("piece_bpe_32k.model"))
+    return langid.predict(docs, model, held)
+
+
 def op3_mixing(spark, sf_dir) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_toxicity(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_packing(spark, sf_dir) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -41,13 +55,28 @@ def op7_near_dedup(spark, sf_dir) -> DataFrame:
     return near.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark, sf_dir) -> DataFrame:
+    path = scratch_path(spark, f"llm/token-files-{uuid.uuid4().hex}")
+    tokenfile.write(table(spark, sf_dir, "documents"), path, tokenizer("word_bpe_49k.json"), end_id=1)
+    return tokenfile.read(spark, path, digest=True)
+
+
+def op9_personal_data(spark, sf_dir) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op10_lm_scoring(spark, sf_dir) -> DataFrame:
+    return lm.log_likelihood(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op3_mixing, op5_packing, op6_quality, op7_near_dedup, pipeline)}
+    op1_exact_dedup, op2_language_id, op3_mixing, op4_toxicity, op5_packing, op6_quality, op7_near_dedup,
+    op8_token_files, op9_personal_data, op10_lm_scoring, pipeline)}
 
 ORACLE = {
     "op1_exact_dedup": """
