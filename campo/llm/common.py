@@ -100,3 +100,44 @@ def select_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def text_hash(docs: DataFrame) -> Column:
     return F.xxhash64(text_of(docs))
+
+
+#: Bits of :func:`key_bitmap`: 8 MB in all, whatever the number of keys.
+BITMAP_BITS = 1 << 26
+
+
+def key_bitmap(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of BIGINT keys as rows (bucket, bits), 8 MB at most."""
+    x = F.pmod(F.col(key), F.lit(BITMAP_BITS)) + 1
+    return keys.groupBy(F.bitmap_bucket_number(x).alias("__llm_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(x)).alias("__llm_bits"))
+
+
+def flagged(df: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
+    """``df`` with ``__llm_flag``: false where the key is surely not in the
+    bitmap.  Rows of text are thus told apart before any shuffle; more keys
+    than bits only make the flag less selective."""
+    x = F.pmod(key, F.lit(BITMAP_BITS)) + 1
+    at = F.bitmap_bit_position(x)
+    joined = df.withColumn("__llm_of", F.bitmap_bucket_number(x)).withColumn("__llm_at", at).join(
+        F.broadcast(bitmap), F.col("__llm_of") == F.col("__llm_bucket"), "left")  # bounded: BITMAP_BITS
+    byte = F.conv(F.hex(F.substring("__llm_bits", (F.col("__llm_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    flag = F.coalesce(F.shiftright(byte, 0).bitwiseAND(F.expr("shiftleft(1, cast(__llm_at % 8 as int))")) != 0, F.lit(False))
+    return joined.withColumn("__llm_flag", flag).drop("__llm_of", "__llm_at", "__llm_bucket", "__llm_bits")
+
+
+def keep_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (doc_id, text_hash, kept: one row
+    a document) keeps, with the columns of ``docs``.  Texts without a dropped
+    row are not shuffled."""
+    pre = "__llm_"
+    counted = found.groupBy(F.col("doc_id").alias(pre + "id"), F.col("text_hash").alias(pre + "of")).agg(
+        F.sum(F.col("kept").cast("int")).alias(pre + "copies"), F.count(F.lit(1)).alias(pre + "n"))
+    changed = stage(counted.where(F.col(pre + "copies") < F.col(pre + "n")).drop(pre + "n"), "changed-rows")
+    marked = flagged(docs.withColumn(pre + "hash", text_hash(docs)), F.col(pre + "hash"), stage(key_bitmap(changed, pre + "of"), "changed-bits"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    maybe = marked.where(F.col(pre + "flag"))
+    joined = maybe.join(changed, F.col(pre + "id").eqNullSafe(maybe["doc_id"]) & (F.col(pre + "of") == F.col(pre + "hash")), "left")
+    nth = F.row_number().over(Window.partitionBy("doc_id", pre + "hash").orderBy(F.lit(0)))
+    left = joined.withColumn(pre + "nth", nth).where(F.col(pre + "copies").isNull() | (F.col(pre + "nth") <= F.col(pre + "copies")))
+    return marked.where(~F.col(pre + "flag")).select(*columns).union(left.select(*columns))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campo.llm.blocks import Block, mix64, per_text, slices, windows
-from campo.llm.common import select_rows, stage, text_hash, text_of
+from campo.llm.common import flagged, keep_rows, key_bitmap, stage, text_hash, text_of
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5     #: a pair at similarity 0.8 shares no band with probability 3e-6
@@ -133,7 +133,9 @@ def shingle_rows(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 [grams[a:b].tobytes() + weight[a:b].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary())})
 
     named = nodes.select("bag", F.col("text_hash").alias("of"))
+    named = stage(named, "near-nodes")
     texts = docs.select(text_hash(docs).alias("h"), text_of(docs).alias("text"))
+    texts = flagged(texts, F.col("h"), stage(key_bitmap(named, "of"), "near-bits")).where("__llm_flag")
     met = texts.join(named, F.col("h") == F.col("of")).select("bag", "text")
     return met.mapInArrow(pick, "bag long, shingles binary").groupBy("bag").agg(F.min("shingles").alias("shingles"))
 
@@ -251,5 +253,4 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 def survivors(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    found = classes(docs).where("kept")
-    return select_rows(docs, found.groupBy("doc_id", "text_hash").agg(F.lit(1).alias("copies")))
+    return keep_rows(docs, classes(docs))
