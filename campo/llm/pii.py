@@ -54,6 +54,13 @@ SECRET_WORDS = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?
 CONTACT_WORDS = r"(?i)(?:phone|tel|call|mobile|fax|contact|mail|ssn|iban|account)"
 
 
+def _hit(kind: str):
+    """A match and the text before it, as a struct."""
+    return lambda match, before: F.struct(
+        F.lit(kind).alias("kind"), match.alias("match"), F.length(before).alias("gap"),
+        F.right(before, F.lit(BEFORE)).alias("tail"), F.left(before, F.lit(AFTER)).alias("head"))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """One row per document: row (key), doc_id, hits: per generator and match
     the matched text, and length and edges of the text before it; the last
@@ -63,11 +70,7 @@ def candidates(docs: DataFrame) -> DataFrame:
            "masked": F.contains(F.lower(text), F.lit("at]")) | F.contains(F.lower(text), F.lit("at)"))}
     hits = []
     for kind, pattern, test, _ in GENERATORS:
-        found = F.zip_with(
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
-            lambda match, before, kind=kind: F.struct(
-                F.lit(kind).alias("kind"), match.alias("match"), F.length(before).alias("gap"),
-                F.right(before, F.lit(BEFORE)).alias("tail"), F.left(before, F.lit(AFTER)).alias("head")))
+        found = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1), _hit(kind))
         hits.append(F.when(may[test], found))
     base = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
     base = base.withColumn("digit", text.rlike("[0-9]"))
@@ -151,6 +154,10 @@ def _joined(array: Column) -> Column:
     return F.array_join(F.transform(array, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _is(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def personal_data(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone,
     base_sha256, spans."""
@@ -175,6 +182,6 @@ def personal_data(docs: DataFrame) -> DataFrame:
     out = found.select("row", "doc_id").join(lists, F.col("row") == F.col("of"), "left")
     empty = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,end:bigint>>)")
     base, extra = F.coalesce("base", empty), F.coalesce("extra", empty)
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    counts = [F.size(F.filter(base, _is(k))).cast("long").alias(f"n_{k}") for k in BASE]
     return out.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"),
                       _joined(F.array_sort(F.concat(base, extra))).alias("spans"))
