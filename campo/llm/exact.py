@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campo.llm import fuse
-from campo.llm.common import lower_ascii, partitions, select_rows, stage, text_hash, text_of
+from campo.llm.common import flagged, keep_rows, key_bitmap, lower_ascii, partitions, stage, text_hash, text_of
 
 KEYS_PER_FILTER = 100_000  #: digests in a bucket, about
 
@@ -80,7 +80,9 @@ def byte_equal(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     normalised texts are the same bytes."""
     ids = pairs.select(F.explode(F.array("new_id", "old_id")).alias("id"), "digest", "sha").distinct()
     norm = lower_ascii(text_of(docs))
-    texts = docs.select(docs["doc_id"].alias("doc_id"), norm.alias("norm"))
+    ids = stage(ids, "exact-ids")
+    bitmap = stage(key_bitmap(ids.select(F.xxhash64("id").alias("k")), "k"), "exact-bits")
+    texts = flagged(docs.select(docs["doc_id"].alias("doc_id"), norm.alias("norm")), F.xxhash64("doc_id"), bitmap).where("__llm_flag")
     texts = texts.join(ids, texts["doc_id"].eqNullSafe(ids["id"])).where(
         (F.xxhash64("norm") == F.col("digest")) & (F.sha2("norm", 256) == F.col("sha")))
     # one text a representative, then both sides of a pair by their digest
@@ -137,5 +139,4 @@ def dedup(docs: DataFrame, snapshot: Column | None = None) -> DataFrame:
 
 def survivors(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    found = assign(docs, older_half(docs)).where("kept")
-    return select_rows(docs, found.groupBy("doc_id", "text_hash").agg(F.lit(1).alias("copies")))
+    return keep_rows(docs, assign(docs, older_half(docs)))
