@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_col", "nan_to_null", "bell", "relu", "clip", "mean_of", "hash_uniforms",
     "hash_bucket", "gaussian_noise", "round_to", "relative_deficit",
-    "argmax_label", "fmt", "parse_wallclock", "norm_text", "flag_list", "exact_mean",
+    "argmax_label", "fmt", "parse_wallclock", "norm_text", "flag_list", "column_mean",
 ]
 
 _TWO_POW_32 = 4294967296.0
@@ -150,18 +150,6 @@ def flag_list(flags) -> Column:
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
-def exact_mean(x, scale: int = 10) -> Column:
-    """Aggregate: mean with an exact decimal sum (each value rounded to
-    ``scale`` decimals), then one correctly rounded division.
-
-    A double ``avg`` depends on the summation order (partitioning, engine);
-    for data on a decimal grid the true mean can sit exactly on a rounding
-    tie, so the printed value would flip between runs.  If any value or the
-    sum does not fit ``decimal(38, scale)`` the plain double ``avg`` is used."""
-    v = as_col(x).cast("double")
-    d = v.try_cast(f"decimal(38,{scale})")
-    s = F.try_sum(d)
-    n = F.count(v)
-    fits = (n == F.count(d)) & s.isNotNull()
-    return F.when(n == 0, F.lit(None).cast("double")).when(
-        fits, s.cast("double") / n).otherwise(F.avg(v))
+def column_mean(x) -> Column:
+    """Aggregate: plain double mean, NaN as missing."""
+    return F.avg(nan_to_null(as_col(x).cast("double")))

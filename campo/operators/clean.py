@@ -1,7 +1,7 @@
 """Projections, predicates and data quality.
 
-All operators here are narrow (per-row) except ``onehot_observed`` (one small
-distinct pass, size-checked) and ``quality_counts`` / ``cohort_yield``
+All operators here are narrow (per-row) except ``onehot_observed`` (one
+distinct pass over the category column) and ``quality_counts`` / ``cohort_yield``
 (partial + final hash aggregates).
 """
 
@@ -78,25 +78,29 @@ def engineer_features(df: DataFrame) -> DataFrame:
 
 def onehot_fixed(df: DataFrame, col: str = PIVOT_COLUMN, values=ID_PIVOS,
                  prefix: str = PIVOT_COLUMN) -> DataFrame:
-    """One-hot over a fixed vocabulary; unknown values give all zeros."""
+    """One-hot over a fixed vocabulary; unknown and missing values give all zeros."""
     v = F.lower(F.trim(F.col(col)))
-    return df.withColumns({f"{prefix}_{x}": (v == F.lit(x)).cast("int") for x in values})
+    return df.withColumns({f"{prefix}_{x}": F.coalesce((v == F.lit(x)).cast("int"), F.lit(0)) for x in values})
 
 
 def onehot_observed(df: DataFrame, col: str = PIVOT_COLUMN, prefix: str = PIVOT_COLUMN,
-                    max_categories: int = 1000) -> DataFrame:
+                    sparse: bool = False) -> DataFrame:
     """One-hot over the observed categories (sorted, NULL dropped).
 
-    One distinct pass; the vocabulary size is checked before it is brought to
-    the driver, so an id-like column cannot blow up the plan.
-    """
-    vocab_df = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
-    head = vocab_df.orderBy("v").limit(max_categories + 1).collect()
-    if len(head) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories")
-    vocab = [r["v"] for r in head]
-    c = F.col(col).cast("string")
-    return df.withColumns({f"{prefix}_{x}": F.coalesce((c == F.lit(x)).cast("int"), F.lit(0))
+    One column per category, so the distinct categories reach the driver as
+    column names.  For a wide vocabulary ask for ``sparse``: one vector column
+    ``<prefix>_vec`` by MLlib's indexer and encoder (all zeros for NULL)."""
+    text = F.col(col).cast("string")
+    if sparse:
+        from pyspark.ml import Pipeline
+        from pyspark.ml.feature import OneHotEncoder, StringIndexer
+        # "keep" gives NULL an index of its own, the last, which dropLast leaves out
+        stages = [StringIndexer(inputCol="_cat", outputCol="_idx", stringOrderType="alphabetAsc", handleInvalid="keep"),
+                  OneHotEncoder(inputCol="_idx", outputCol=f"{prefix}_vec", dropLast=True)]
+        named = df.withColumn("_cat", text)
+        return Pipeline(stages=stages).fit(named).transform(named).drop("_cat", "_idx")
+    vocab = [r["v"] for r in df.select(text.alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v").collect()]
+    return df.withColumns({f"{prefix}_{x}": F.coalesce((text == F.lit(x)).cast("int"), F.lit(0))
                            for x in vocab})
 
 

@@ -15,7 +15,9 @@ import datetime as _dt
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import product
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,8 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campo.functions import as_col, hash_bucket
-from campo.operators.features import assert_no_leakage, model_features
+from campo.functions import as_col, hash_bucket, round_to
+from campo.operators.clean import onehot_fixed
+from campo.operators.features import (align_features, assert_no_leakage, available_targets,
+                                      feature_matrix, model_features)
 from campo.operators.stats import regression_metrics
 from campo.schema import KEY, PIVOT_DUMMIES, TARGETS
 
@@ -34,6 +38,7 @@ SEED = 42
 CV_FOLDS = 5
 TEST_PCT = 20
 FOREST_MAX_DEPTH = 30          # MLlib's limit; stands for "unlimited depth"
+FIT_PARTITIONS = 16            # of a forest's input; its bags depend on them
 FAMILIES = ("linear_regression", "ridge", "random_forest")
 
 # Candidate grids of the original application.
@@ -117,7 +122,11 @@ def ridge(target: str, features, alpha: float = 1.0, label_sd: float = 1.0,
 
 def forest(target: str, features, numTrees: int = 200, maxDepth: int | None = None,
            minInstancesPerNode: int = 1, seed: int = SEED, **_) -> Pipeline:
-    """Random forest using every feature at every split (bootstrap rows)."""
+    """Random forest using every feature at every split (bootstrap rows).
+
+    A depth of None is unlimited in the original and 30, MLlib's limit, here;
+    :func:`applied_params` shows it.  ``minInstancesPerNode`` bounds leaves, the
+    original's minimum split bounds inner nodes: they are not equivalent."""
     rf = RandomForestRegressor(featuresCol=f"features_{target}", labelCol=target,
                                predictionCol=f"pred_{target}", numTrees=int(numTrees),
                                maxDepth=FOREST_MAX_DEPTH if maxDepth is None else int(maxDepth),
@@ -138,6 +147,13 @@ def default_candidates(forest_grid=FOREST_GRID, alphas=RIDGE_ALPHAS) -> dict[str
             "random_forest": grid(forest_grid)}
 
 
+def applied_params(family: str, params: dict) -> dict:
+    """The parameters a fit really uses."""
+    if family == "random_forest" and params.get("maxDepth", 0) is None:
+        return {**params, "maxDepth": FOREST_MAX_DEPTH}
+    return dict(params)
+
+
 _BUILDERS = {"linear_regression": linear, "ridge": ridge, "random_forest": forest}
 
 
@@ -146,15 +162,12 @@ def training_frame(df: DataFrame, target: str, features=None) -> DataFrame:
     """Rows of one target: key, split, fold, features (double), label, and a
     ``_valido`` flag (every feature and the label present — MLlib cannot fit
     on missing values; ``train_target`` reports how many rows it skipped)."""
-    from campo.operators.clean import onehot_fixed
     features = list(features or model_features(target))
     assert_no_leakage(target, features)
     if "conjunto" not in df.columns:
         df = assign_split(df)
-    if "id_pivo" in df.columns:
-        df = onehot_fixed(df)
-    cols = [F.col(c).cast("double").alias(c) for c in features]
-    x = df.select(KEY, "conjunto", "fold", *cols, F.col(target).cast("double").alias(target))
+    x = feature_matrix(df, features, [KEY, "conjunto", "fold", F.col(target).cast("double").alias(target)])
+    x = x.select(KEY, "conjunto", "fold", *features, target)
     ok = F.lit(True)
     for c in features + [target]:
         ok = ok & F.col(c).isNotNull() & ~F.isnan(c)
@@ -162,23 +175,20 @@ def training_frame(df: DataFrame, target: str, features=None) -> DataFrame:
 
 
 def _label_stats_per_fold(train: DataFrame, target: str) -> dict:
-    """n, Σy, Σy² per fold in one small aggregate -> (n, σ_pop) of every
+    """n, mean and variance per fold in one small aggregate -> (n, σ_pop) of every
     'all folds but f' training set and of the full training set."""
-    rows = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(target).alias("s"),
-                                     F.sum(F.col(target) * F.col(target)).alias("ss")).collect()
-    tot = [sum(r[i] for r in rows) for i in ("n", "s", "ss")]
+    rows = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("m"),
+                                     F.var_pop(target).alias("v")).collect()
 
-    def sd(n, s, ss):
-        if n <= 0:
-            return 0.0
-        m = s / n
-        return max(ss / n - m * m, 0.0) ** 0.5
+    def merged(parts):
+        """Count and deviation of several folds: within plus between."""
+        n = sum(r["n"] for r in parts)
+        if not n:
+            return 0, 0.0
+        mean = sum(r["n"] * r["m"] for r in parts) / n
+        return n, (sum(r["n"] * (r["v"] + (r["m"] - mean) ** 2) for r in parts) / n) ** 0.5
 
-    out = {"all": (tot[0], sd(*tot))}
-    for r in rows:
-        n, s, ss = tot[0] - r["n"], tot[1] - r["s"], tot[2] - r["ss"]
-        out[r["fold"]] = (n, sd(n, s, ss))
-    return out
+    return {"all": merged(rows), **{r["fold"]: merged([o for o in rows if o is not r]) for r in rows}}
 
 
 @dataclass
@@ -203,8 +213,16 @@ class TargetResult:
     model: PipelineModel = field(repr=False, default=None)
 
 
+def _score_of(c: CandidateResult) -> float:
+    """CV R², with an undefined one below every other."""
+    return float("-inf") if c.cv_r2 != c.cv_r2 else c.cv_r2
+
+
 def _fit(family, target, features, params, data, stats_key, label_stats):
     kw = dict(params)
+    if family == "random_forest":
+        # bags are drawn by partition: the same rows in the same order, however they came
+        data = data.repartition(FIT_PARTITIONS, KEY).sortWithinPartitions(KEY)
     if family == "ridge":
         n, sd = label_stats[stats_key]
         kw.update(label_sd=sd, n=n)
@@ -292,12 +310,12 @@ def train_target(df: DataFrame, target: str, candidates=None, folds: int = CV_FO
                 if fam != family:
                     continue
                 cand = CandidateResult(family, params, r2)
-                if fam_best is None or r2 > fam_best.cv_r2:
+                if fam_best is None or _score_of(cand) > _score_of(fam_best):
                     fam_best = cand
             if fam_best is None:
                 continue
             results.append(fam_best)
-            if best is None or fam_best.cv_r2 > best.cv_r2:
+            if best is None or _score_of(fam_best) > _score_of(best):
                 best = fam_best
         model = _fit(best.family, target, features, best.params, train, "all", label_stats)
         m = regression_metrics(model.transform(test), target, f"pred_{target}").first()
@@ -317,7 +335,8 @@ def train_all(df: DataFrame, targets=TARGETS, candidates=None, folds: int = CV_F
     """Every available target on one persisted feature frame."""
     df = assign_split(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        present = [t for t in targets if t in df.columns]  # same rows for every target
+        have, _ = available_targets(df)
+        present = [t for t in targets if t in have]  # same rows for every target
         if parallelism > 1:
             # targets are independent: their CV pools run side by side
             with ThreadPoolExecutor(min(len(present), 2)) as ex:
@@ -343,6 +362,7 @@ METRICS_SCHEMA = T.StructType([
     T.StructField("r2", T.DoubleType()),
     T.StructField("n_train", T.LongType()),
     T.StructField("n_test", T.LongType()),
+    T.StructField("n_dropped", T.LongType()),
     T.StructField("features", T.ArrayType(T.StringType())),
 ])
 
@@ -355,26 +375,28 @@ def metrics_frame(spark: SparkSession, results: dict[str, TargetResult]) -> Data
         for c in r.candidates:
             chosen = c.family == r.best_model
             tm = r.test_metrics if chosen else {}
-            rows.append((t, c.family, c.cv_r2, json.dumps(c.params, sort_keys=True), chosen,
+            rows.append((t, c.family, c.cv_r2, json.dumps(applied_params(c.family, c.params), sort_keys=True), chosen,
                          tm.get("mae"), tm.get("mse"), tm.get("rmse"), tm.get("r2"),
-                         r.n_train, r.n_test, r.features))
+                         r.n_train, r.n_test, r.n_dropped, r.features))
     return spark.createDataFrame(rows, METRICS_SCHEMA)
 
 
 def metrics_document(results: dict[str, TargetResult], folds: int = CV_FOLDS) -> dict:
-    """The nested metrics document (generated_at, settings, per-target block)."""
+    """The nested metrics document (generated_at, settings, per-target block).
+    The keys are fixed by the original's file format; ``n_dropped`` (rows of a
+    target without all inputs) and ``missing_targets`` are added."""
     from campo.schema import BASE_FEATURES, CONTEXT_FEATURES
     doc = {"generated_at": _dt.datetime.now(_dt.timezone.utc).isoformat(),
            "random_state": SEED, "test_size": TEST_PCT / 100.0, "cv_folds": folds,
            "base_features": BASE_FEATURES, "context_features": CONTEXT_FEATURES,
-           "targets": {}}
+           "missing_targets": [t for t in TARGETS if t not in results], "targets": {}}
     for t, r in results.items():
         doc["targets"][t] = {
             "best_model": r.best_model, "best_cv_r2": r.best_cv_r2,
-            "candidates": {c.family: {"cv_r2": c.cv_r2, "best_params": c.params}
+            "candidates": {c.family: {"cv_r2": c.cv_r2, "best_params": applied_params(c.family, c.params)}
                            for c in r.candidates},
             "test_metrics": r.test_metrics, "n_train": r.n_train, "n_test": r.n_test,
-            "model_path": f"modelo_{t}", "feature_columns": r.features,
+            "n_dropped": r.n_dropped, "model_path": f"modelo_{t}", "feature_columns": r.features,
         }
     return doc
 
@@ -385,6 +407,29 @@ def comparison_table(metrics: DataFrame) -> DataFrame:
         .orderBy("alvo", F.desc("cv_r2"))
 
 
+def holdout_comparison(df: DataFrame, targets=TARGETS, params: dict[str, dict] | None = None) -> DataFrame:
+    """Every family fitted on the training rows and measured on the
+    hold-out rows: alvo, modelo, mae, mse, rmse, r2, by falling R² in a target.
+
+    ``params`` are those of each family (default: the middle ridge penalty and
+    the first forest of the grid)."""
+    params = params or {"linear_regression": {}, "ridge": {"alpha": RIDGE_ALPHAS[1]},
+                        "random_forest": grid(FOREST_GRID)[0]}
+    spark = df.sparkSession
+    df = assign_split(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        have, _ = available_targets(df)
+        jobs = [(t, family) for t in targets if t in have for family in FAMILIES if family in params]
+        with ThreadPoolExecutor(max(1, min(4, len(jobs)))) as pool:
+            got = list(pool.map(lambda j: fit_evaluate(df, j[0], j[1], params[j[1]], persist=False)[1], jobs))
+    finally:
+        df.unpersist()
+    rows = [(t, f, int(m["n"]), m["mae"], m["mse"], m["rmse"], m["r2"],
+             json.dumps(applied_params(f, params[f]), sort_keys=True)) for (t, f), m in zip(jobs, got)]
+    return spark.createDataFrame(rows, "alvo string, modelo string, n_teste long, mae double, mse double, rmse double, "
+                                       "r2 double, parametros string").orderBy("alvo", F.desc_nulls_last("r2"), "modelo")
+
+
 def quality_gate(doc: dict, min_r2: dict | None = None, n_targets: int = 5) -> list[str]:
     """Problems with a metrics document (empty list = passes)."""
     min_r2 = {"rendimento": 0.7} if min_r2 is None else min_r2
@@ -404,31 +449,31 @@ def quality_gate(doc: dict, min_r2: dict | None = None, n_targets: int = 5) -> l
 
 
 # ------------------------------------------------------------------ L09, L11, L13
-def score(df: DataFrame, models: dict[str, PipelineModel], keep_features: bool = False) -> DataFrame:
+def score(df: DataFrame, models: dict[str, PipelineModel], keep_features: bool = False,
+          digits: int | None = None) -> DataFrame:
     """One prediction column per available model, one scan.
 
-    Each model reads its own feature list (missing inputs become 0.0, P10);
+    The columns of ``df`` come back as they are.  Each model reads its own
+    feature list from temporary columns (an absent input or pivot is 0.0, P10);
     a reading with a missing input gets a NULL prediction, never a guess.
-    Absent models are simply skipped."""
-    from campo.operators.clean import onehot_fixed
-    from campo.operators.features import align_features
-    out = onehot_fixed(df) if "id_pivo" in df.columns else df
-    original = list(df.columns)
+    Absent models are simply skipped.  ``digits`` rounds the predictions
+    (M06)."""
+    wanted = sorted({c for m in models.values() for c in m.stages[0].getInputCols()})
+    encoded = onehot_fixed(df) if "id_pivo" in df.columns else df
+    inputs = align_features(encoded, wanted).select(
+        *[F.col(c).alias(f"_em_{c}") for c in df.columns], *[F.col(c).alias(f"_x_{c}") for c in wanted])
+    preds = []
     for t, m in models.items():
         feats = m.stages[0].getInputCols()
-        missing_input = F.lit(False)
-        for c in feats:
-            if c in out.columns:
-                missing_input = missing_input | F.col(c).isNull()
-        out = out.withColumn(f"_miss_{t}", missing_input)
-        out = align_features(out, feats)
-        out = m.transform(out).drop(f"features_{t}")
-        out = out.withColumn(f"pred_{t}", F.when(~F.col(f"_miss_{t}"), F.col(f"pred_{t}")))
-        out = out.drop(f"_miss_{t}")
-    if not keep_features:
-        preds = [f"pred_{t}" for t in models]
-        out = out.select(*original, *preds)
-    return out.withColumn("fonte_modelo", F.lit("modelo" if models else "stub"))
+        whole = reduce(and_, [F.col(f"_x_{c}").isNotNull() for c in feats])
+        assembler = VectorAssembler(inputCols=[f"_x_{c}" for c in feats], outputCol=f"features_{t}", handleInvalid="keep")
+        scored = m.stages[-1].transform(assembler.transform(inputs)).drop(f"features_{t}")
+        value = F.when(whole, F.col(f"pred_{t}"))
+        inputs = scored.withColumn(f"pred_{t}", value if digits is None else round_to(value, digits))
+        preds.append(f"pred_{t}")
+    extra = [F.col(f"_x_{c}").alias(c) for c in wanted if c not in df.columns] if keep_features else []
+    return inputs.select(*[F.col(f"_em_{c}").alias(c) for c in df.columns], *extra, *preds,
+                         F.lit("modelo" if models else "stub").alias("fonte_modelo"))
 
 
 def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:

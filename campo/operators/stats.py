@@ -3,22 +3,22 @@
 Design notes for scale:
 * Global aggregates (KPIs, correlations, bounds) are single ``agg`` calls:
   partial aggregation on every partition, one tiny final merge.
-* Quantiles never funnel a column through one task: values are first
-  counted per distinct value (map-side combine, so a value that holds a third
-  of all rows collapses to one row), then ranked with a range-partitioned
-  prefix sum whose only global step is over (column, partition) totals.
+* Quantiles are exact without moving the data: a sketch brackets every wanted
+  rank, one more scan counts the rows below each bracket, and only the few
+  values inside a bracket are gathered and ranked.
 * Joins against per-column bounds / quartiles use frames whose size is the
   number of columns (or bins) — a proven bound — so broadcasting them is safe.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from campo.functions import exact_mean
+from campo.functions import column_mean, nan_to_null
 
 
 
@@ -42,9 +42,9 @@ def kpis(df: DataFrame, col: str = "estado_bomba") -> DataFrame:
         on = F.upper(c) == F.lit("ON")
     else:
         on = c == F.lit(1)
-    return df.agg(exact_mean("umidade").alias("umidade_media"),
-                  exact_mean("temperatura").alias("temperatura_media"),
-                  exact_mean("ph").alias("ph_medio"),
+    return df.agg(column_mean("umidade").alias("umidade_media"),
+                  column_mean("temperatura").alias("temperatura_media"),
+                  column_mean("ph").alias("ph_medio"),
                   F.avg(F.coalesce(on, F.lit(False)).cast("double")).alias("bomba_ligada"))
 
 
@@ -75,76 +75,108 @@ def ph_band_share(df: DataFrame, col: str = "ph", lo: float = 6.0, hi: float = 7
 
 
 # ---------------------------------------------------------------- quantiles
-def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(coluna, x, c): rows per distinct value of every column.  Partial
-    aggregation collapses repeated values inside each task before the
-    shuffle, so a value holding a third of all rows becomes one row."""
-    return _long(df, cols).groupBy("coluna", "x").agg(F.count(F.lit(1)).alias("c"))
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    range_partitions: int | None = None) -> DataFrame:
+SKETCH_ACCURACY = 10_000     # rank error of the bracketing sketch: n / accuracy
+BRACKET_ROWS = 20_000        # a bracket with more rows is bracketed again
+
+
+def _clean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns as doubles named c0, c1, ..., NaN as NULL."""
+    return df.select(*[nan_to_null(c).alias(f"c{i}") for i, c in enumerate(cols)])
+
+
+def _brackets(vals: DataFrame, cols: Sequence[str], probs: Sequence[float],
+              extra: Sequence = ()) -> tuple[dict, dict]:
+    """Per (column, prob): (low, high, rows below low, wanted ranks), such that
+    the wanted ranks lie inside [low, high]; and the ``extra`` aggregates.
+
+    One scan for the sketches, one for the counts, and two more only for
+    brackets that hold more than ``BRACKET_ROWS`` rows.  All scalars: columns x
+    probs values reach the driver."""
+    eps = 2.0 / SKETCH_ACCURACY
+    clip = lambda q: min(1.0, max(0.0, q))
+    aggs = list(extra)
+    for i, _ in enumerate(cols):
+        v = F.col(f"c{i}")
+        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
+                 F.percentile_approx(v, [clip(q + e) for q in probs for e in (-eps, eps)],
+                                     SKETCH_ACCURACY).alias(f"s{i}")]
+    first = vals.agg(*aggs).first()
+    out, todo = {}, {}
+    for i, _ in enumerate(cols):
+        n = first[f"n{i}"]
+        if not n:
+            continue
+        for j, q in enumerate(probs):
+            h = (n - 1) * float(q)
+            ranks = (int(math.floor(h)), int(math.ceil(h)), h - math.floor(h))
+            low = first[f"lo{i}"] if q - eps <= 0 else first[f"s{i}"][2 * j]
+            high = first[f"hi{i}"] if q + eps >= 1 else first[f"s{i}"][2 * j + 1]
+            todo[i, j] = (low, high, ranks, None)
+    while todo:
+        keys = list(todo)
+        aggs = []
+        for k, (i, j) in enumerate(keys):
+            low, high = todo[i, j][:2]
+            v = F.col(f"c{i}")
+            aggs += [F.count(F.when(v < F.lit(low), 1)).alias(f"b{k}"),
+                     F.count(F.when(v.between(F.lit(low), F.lit(high)), 1)).alias(f"w{k}")]
+        got = vals.agg(*aggs).first()
+        again = []
+        for k, key in enumerate(keys):
+            low, high, ranks, seen = todo.pop(key)
+            below, inside = got[f"b{k}"], got[f"w{k}"]
+            if below > ranks[0] or below + inside <= ranks[1]:  # sketch missed: take the whole column
+                todo[key] = (first[f"lo{key[0]}"], first[f"hi{key[0]}"], ranks, None)
+            elif inside <= BRACKET_ROWS or low == high or seen == (low, high):
+                out[key] = (low, high, below, ranks)
+            else:
+                again.append((key, low, high, below, inside, ranks))
+        if again:
+            aggs = []
+            for k, (key, low, high, below, inside, ranks) in enumerate(again):
+                v = F.col(f"c{key[0]}")
+                near = [clip((ranks[0] - below) / inside - eps), clip((ranks[1] - below + 1) / inside + eps)]
+                aggs.append(F.percentile_approx(F.when(v.between(F.lit(low), F.lit(high)), v), near,
+                                                SKETCH_ACCURACY).alias(f"s{k}"))
+            got = vals.agg(*aggs).first()
+            for k, (key, low, high, *_, ranks) in enumerate(again):
+                todo[key] = (*got[f"s{k}"], ranks, (low, high))
+    return out, first.asDict()
+
+
+def _picked(vals: DataFrame, cols: Sequence[str], probs: Sequence[float], brackets: dict) -> DataFrame:
+    """(coluna, q, valor) from the values inside the brackets."""
+    spark = vals.sparkSession
+    schema = "g int, coluna string, q double, below long, lo long, hi long, f double"
+    rows = [(g, cols[i], float(probs[j]), below, ranks[0], ranks[1], float(ranks[2]))
+            for g, ((i, j), (_, _, below, ranks)) in enumerate(brackets.items())]
+    wanted = spark.createDataFrame(rows, schema)
+    if not rows:
+        return wanted.select("coluna", "q", F.lit(None).cast("double").alias("valor"))
+    inside = F.array_compact(F.array(*[
+        F.when(F.col(f"c{i}").between(F.lit(low), F.lit(high)),
+               F.struct(F.lit(g).alias("g"), F.col(f"c{i}").alias("x")))
+        for g, ((i, _), (low, high, *_rest)) in enumerate(brackets.items())]))
+    counts = (vals.select(F.explode(inside).alias("s")).groupBy("s.g", "s.x")
+              .agg(F.count(F.lit(1)).alias("c")))
+    upto = Window.partitionBy("g").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("cum", F.sum("c").over(upto))
+    met = ranked.join(F.broadcast(wanted), "g")  # one row per column and prob
+    end, begin = F.col("below") + F.col("cum"), F.col("below") + F.col("cum") - F.col("c")
+    at = lambda r: F.max(F.when((begin <= F.col(r)) & (F.col(r) < end), F.col("x")))
+    two = met.groupBy("coluna", "q").agg(at("lo").alias("x0"), at("hi").alias("x1"), F.first("f").alias("f"))
+    return two.select("coluna", "q", (F.col("x0") + F.col("f") * (F.col("x1") - F.col("x0"))).alias("valor"))
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (the 'linear' / ``quantile_cont``
     definition): h = (n-1)q, value = x[floor h] + (h - floor h)(x[ceil h] - x[floor h]).
 
-    Returns (coluna, q, valor).  Distributed end to end:
-    1. (coluna, x) -> count per distinct value (partial aggregation);
-    2. range-partition the distinct values, running count inside each
-       partition, plus partition totals (at most columns x partitions rows);
-    3. prefix sums of the partition totals give each value its rank interval;
-    4. keep only values whose interval holds a wanted rank (2 per quantile).
-    """
-    return quantiles_from_counts(value_counts(df, cols), probs, range_partitions)
-
-
-def quantiles_from_counts(vc: DataFrame, probs: Sequence[float],
-                          range_partitions: int | None = None) -> DataFrame:
-    """Exact quantiles from a (coluna, x, c) value-count table (see
-    ``exact_quantiles``)."""
-    # As many range partitions as the job's shuffle width: the distinct-value
-    # table grows with the data, so must the number of ranges.
-    range_partitions = range_partitions or int(
-        vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (vc.repartitionByRange(range_partitions, "coluna", "x")
-              .withColumn("pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "cum", F.sum("c").over(Window.partitionBy("coluna", "pid").orderBy("x")
-                               .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    part = local.groupBy("coluna", "pid").agg(F.max("cum").alias("pc"))
-    offs = part.select(
-        "coluna", "pid",
-        F.coalesce(F.sum("pc").over(Window.partitionBy("coluna").orderBy("pid")
-                                    .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("off"),
-        F.sum("pc").over(Window.partitionBy("coluna")).alias("n"))
-    # offs has at most len(cols) * range_partitions rows: bounded, broadcast.
-    ranked = (local.join(F.broadcast(offs), ["coluna", "pid"])
-              .select("coluna", "x", "n",
-                      (F.col("off") + F.col("cum") - F.col("c")).alias("r0"),
-                      (F.col("off") + F.col("cum")).alias("r1")))
-    # keep only values whose rank interval holds a wanted rank, before the
-    # per-probability expansion (a handful of rows survive per column)
-    r0, r1, nn = F.col("r0"), F.col("r1"), F.col("n")
-    holds = F.lit(False)
-    for q in probs:
-        h = (nn - 1).cast("double") * F.lit(float(q))
-        holds = holds | ((r0 <= F.floor(h)) & (F.floor(h) < r1)) \
-            | ((r0 <= F.ceil(h)) & (F.ceil(h) < r1))
-    qs = F.array(*[F.lit(float(q)) for q in probs])
-    wanted = (ranked.where(holds).select("*", F.explode(qs).alias("q"))
-              .withColumn("h", (F.col("n") - 1).cast("double") * F.col("q"))
-              .withColumn("lo", F.floor("h"))
-              .withColumn("hi", F.ceil("h")))
-    in_lo = (F.col("r0") <= F.col("lo")) & (F.col("lo") < F.col("r1"))
-    in_hi = (F.col("r0") <= F.col("hi")) & (F.col("hi") < F.col("r1"))
-    picked = (wanted.where(in_lo | in_hi)
-              .groupBy("coluna", "q")
-              .agg(F.max(F.when(in_lo, F.col("x"))).alias("x_lo"),
-                   F.max(F.when(in_hi, F.col("x"))).alias("x_hi"),
-                   F.first("h").alias("h"), F.first("lo").alias("lo")))
-    return picked.select(
-        "coluna", "q",
-        (F.col("x_lo") + (F.col("h") - F.col("lo")) * (F.col("x_hi") - F.col("x_lo"))).alias("valor"))
+    Returns (coluna, q, valor); see :func:`_brackets`.  A column without
+    values has no row."""
+    cols = list(cols)
+    vals = _clean(df, cols)
+    return _picked(vals, cols, probs, _brackets(vals, cols, probs)[0])
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -168,60 +200,35 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
 
     Long form: one row per column (a column without values gets count 0).
 
-    Exact form: everything comes from one per-value count table (coluna, x, c)
-    — the data is read and shuffled once, the three uses share the exchange:
-    count = Σc, mean = exact decimal Σc·x / Σc (run-independent), sample
-    variance by the two-pass formula Σc(x-mean)²/(n-1), min / max, and the
-    quartiles from the ranked counts.  ``exact=False`` uses moments over the
-    rows and sketch quantiles (bounded memory)."""
+    Exact form: counts, means, sample deviations, extremes and the quartiles'
+    brackets come from one scan, the counts below the brackets from a second,
+    the quartiles from the values inside them.  ``exact=False`` uses sketch
+    quantiles."""
     cols = list(cols)
     spark = df.sparkSession
-    names = spark.createDataFrame([(c,) for c in cols], "coluna string")
+    vals = _clean(df, cols)
     if exact:
-        vc = value_counts(df, cols)
-        x, c = F.col("x"), F.col("c")
-        dx = x.try_cast("decimal(19,10)")
-        first = vc.groupBy("coluna").agg(
-            F.sum(c).alias("count"),
-            F.try_sum(dx * c.cast("decimal(15,0)")).alias("_sx"),
-            F.count(F.when(dx.isNull(), 1)).alias("_nofit"),
-            F.sum(c * x).alias("_sxd"),
-            F.min(x).alias("min"), F.max(x).alias("max"))
-        n = F.col("count").cast("double")
-        first = first.withColumn("mean", F.when(
-            (F.col("_nofit") == 0) & F.col("_sx").isNotNull(), F.col("_sx").cast("double") / n
-        ).otherwise(F.col("_sxd") / n))
-        # one row per column: a bounded broadcast
-        m2 = (vc.join(F.broadcast(first.select("coluna", "mean")), "coluna")
-              .groupBy("coluna").agg(
-                  F.sum(c * (x - F.col("mean")) * (x - F.col("mean"))).alias("_m2")))
-        moments = (first.join(m2, "coluna")
-                   .withColumn("std", F.when(F.col("count") > 1, F.sqrt(
-                       F.col("_m2") / (F.col("count") - 1).cast("double")))))
-        q = quantiles_from_counts(vc, [0.25, 0.5, 0.75])
+        moments = [m for i, _ in enumerate(cols) for m in (
+            F.avg(f"c{i}").alias(f"mean{i}"), F.stddev_samp(f"c{i}").alias(f"std{i}"))]
+        brackets, first = _brackets(vals, cols, [0.25, 0.5, 0.75], moments)
+        rows = [(i, c, first[f"n{i}"], first[f"mean{i}"], first[f"std{i}"], first[f"lo{i}"], first[f"hi{i}"])
+                for i, c in enumerate(cols)]
+        q = _picked(vals, cols, [0.25, 0.5, 0.75], brackets)
+        base = spark.createDataFrame(rows, "i int, coluna string, count long, mean double, std double, min double, max double")
     else:
-        aggs = []
-        for col in cols:
-            v = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
-            aggs += [F.count(v).alias(f"{col}__count"), exact_mean(v).alias(f"{col}__mean"),
-                     F.stddev_samp(v).alias(f"{col}__std"), F.min(v).alias(f"{col}__min"),
-                     F.max(v).alias(f"{col}__max")]
-        wide = df.agg(*aggs)
-        moments = wide.select(F.explode(F.array(*[
-            F.struct(F.lit(col).alias("coluna"),
-                     F.col(f"{col}__count").alias("count"), F.col(f"{col}__mean").alias("mean"),
-                     F.col(f"{col}__std").alias("std"), F.col(f"{col}__min").alias("min"),
-                     F.col(f"{col}__max").alias("max")) for col in cols])).alias("s")).select("s.*")
+        wide = vals.agg(*[F.struct(
+            F.lit(i).alias("i"), F.lit(c).alias("coluna"), F.count(f"c{i}").alias("count"), F.avg(f"c{i}").alias("mean"),
+            F.stddev_samp(f"c{i}").alias("std"), F.min(f"c{i}").alias("min"), F.max(f"c{i}").alias("max")).alias(f"s{i}")
+            for i, c in enumerate(cols)])
+        base = wide.select(F.explode(F.array(*[f"s{i}" for i, _ in enumerate(cols)])).alias("s")).select("s.*")
         q = approx_quantiles(df, cols, [0.25, 0.5, 0.75])
     qw = (q.groupBy("coluna").agg(
         F.max(F.when(F.col("q") == 0.25, F.col("valor"))).alias("q25"),
         F.max(F.when(F.col("q") == 0.5, F.col("valor"))).alias("q50"),
         F.max(F.when(F.col("q") == 0.75, F.col("valor"))).alias("q75")))
-    # names, moments and qw have one row per column: bounded broadcasts
-    return (names.join(F.broadcast(moments), "coluna", "left")
-            .join(F.broadcast(qw), "coluna", "left")
-            .select("coluna", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-                    "mean", "std", "min", "q25", "q50", "q75", "max"))
+    # one row per column: a bounded broadcast
+    return (base.join(F.broadcast(qw), "coluna", "left")
+            .select("coluna", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -260,23 +267,39 @@ def shape(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- A09
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, pairwise complete, one pass.
+    """Pearson correlation of every pair, pairwise complete.
 
-    k(k+1)/2 guarded covariance expressions in a single aggregate.  A constant
-    column gives NULL (pandas gives NaN) instead of a division error.
-    Long form (var_x, var_y, corr), both orders and the diagonal.
+    A first scan counts each column's values.  Columns without a missing value
+    share one deviation each, so that a pair of them needs its covariance only;
+    any other pair gets both deviations over its own rows.  A constant column
+    gives NULL (pandas gives NaN).  Long form (var_x, var_y, corr), both orders
+    and the diagonal.
     """
     cols = list(cols)
-    xs = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
+    vals = _clean(df, cols)
+    have = vals.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"c{i}").alias(f"n{i}") for i, _ in enumerate(cols)]).first()
+    full = [have[f"n{i}"] == have["n"] for i, _ in enumerate(cols)]
     aggs, pairs = [], []
     for i, a in enumerate(cols):
-        for b in cols[i:]:
-            xa, xb = xs[a], xs[b]
-            sa = F.stddev_pop(F.when(xb.isNotNull(), xa))
-            sb = F.stddev_pop(F.when(xa.isNotNull(), xb))
-            aggs.append(F.try_divide(F.covar_pop(xa, xb), sa * sb).alias(f"c{len(pairs)}"))
+        aggs.append(F.stddev_pop(f"c{i}").alias(f"s{i}"))
+        for j in range(i + 1, len(cols)):
+            x, y = F.col(f"c{i}"), F.col(f"c{j}")
+            aggs.append(F.covar_pop(x, y).alias(f"v{i}_{j}"))
+            if not (full[i] and full[j]):
+                aggs += [F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"x{i}_{j}"),
+                         F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"y{i}_{j}")]
+    sums = vals.agg(*aggs)
+    out = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols[i:], i):
+            if i == j:
+                out.append(F.when(F.col(f"s{i}") > 0, F.lit(1.0)))
+            elif full[i] and full[j]:
+                out.append(F.try_divide(F.col(f"v{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")))
+            else:
+                out.append(F.try_divide(F.col(f"v{i}_{j}"), F.col(f"x{i}_{j}") * F.col(f"y{i}_{j}")))
             pairs.append((a, b))
-    wide = df.agg(*aggs)
+    wide = sums.select(*[c.alias(f"c{k}") for k, c in enumerate(out)])
     items = []
     for idx, (a, b) in enumerate(pairs):
         items.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
@@ -317,15 +340,10 @@ def box_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataF
     """Quartiles, IQR, whiskers at the extreme inliers within 1.5 IQR and
     the number of outliers, per column.
 
-    Exact form: quartiles, whiskers and outlier counts all come from the one
-    per-value count table, so the data is read and shuffled once (the two
-    uses share the exchange)."""
-    if exact:
-        vc = value_counts(df, cols)
-        q = quantiles_from_counts(vc, [0.25, 0.5, 0.75])
-    else:
-        vc = _long(df, cols).withColumn("c", F.lit(1).cast("bigint"))
-        q = approx_quantiles(df, cols, [0.25, 0.5, 0.75])
+    Quartiles as in :func:`describe`; whiskers and outliers from one more
+    scan with partial aggregation."""
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], exact)
+    vc = _long(df, cols).withColumn("c", F.lit(1).cast("bigint"))
     qw = (q.groupBy("coluna").agg(
         F.max(F.when(F.col("q") == 0.25, F.col("valor"))).alias("q1"),
         F.max(F.when(F.col("q") == 0.5, F.col("valor"))).alias("mediana"),

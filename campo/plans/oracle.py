@@ -125,12 +125,13 @@ def with_readings(body: str, extra: str = "") -> str:
 
 
 def r6(x):
-    return f"round({x}, 6)"
+    # ten places first: a last-bit difference can't decide a tie at six
+    return f"round(round({x}, 10), 6)"
 
 
 # ------------------------------------------------------------------ helpers
-def exact_mean_sql(x):
-    return f"CAST(sum(CAST({x} AS DECIMAL(38, 10))) AS DOUBLE) / count({x})"
+def mean_sql(x):
+    return f"avg(CAST({x} AS DOUBLE))"
 
 
 def describe_sql(src, cols):
@@ -138,7 +139,7 @@ def describe_sql(src, cols):
     for c in cols:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS coluna, count(x) AS count, {r6(exact_mean_sql('x'))} AS mean, "
+            f"SELECT '{c}' AS coluna, count(x) AS count, {r6(mean_sql('x'))} AS mean, "
             f"{r6('stddev_samp(x)')} AS std, {r6('min(x)')} AS min, "
             f"{r6('quantile_cont(x, 0.25)')} AS q25, {r6('quantile_cont(x, 0.5)')} AS q50, "
             f"{r6('quantile_cont(x, 0.75)')} AS q75, {r6('max(x)')} AS max "
@@ -304,9 +305,9 @@ def _build() -> dict[str, str]:
     o["row_count"] = with_readings("SELECT count(*) AS linhas FROM readings")
 
     o["kpis"] = with_readings(
-        f"SELECT {r6(exact_mean_sql('umidade'))} AS umidade_media, "
-        f"{r6(exact_mean_sql('temperatura'))} AS temperatura_media, "
-        f"{r6(exact_mean_sql('ph'))} AS ph_medio, "
+        f"SELECT {r6(mean_sql('umidade'))} AS umidade_media, "
+        f"{r6(mean_sql('temperatura'))} AS temperatura_media, "
+        f"{r6(mean_sql('ph'))} AS ph_medio, "
         f"{r6(PUMP_ON_AVG)} AS bomba_ligada "
         f"FROM readings")
     o["npk_means"] = with_readings("\nUNION ALL\n".join(

@@ -39,7 +39,8 @@ def query(name):
 
 
 def r6(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    # ten places first: a last-bit difference can't decide a tie at six
+    return F.round(F.round(F.col(c) if isinstance(c, str) else c, 10), 6)
 
 
 def round_doubles(df: DataFrame) -> DataFrame:

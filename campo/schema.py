@@ -55,18 +55,22 @@ DEFAULTS = {
 }
 
 # --------------------------------------------------------------------------
-# Column vocabulary
+# Fixed values (must equal the original application's): column vocabulary,
+# targets and the inputs of each target's model.
 # --------------------------------------------------------------------------
 KEY = "id_leitura"
 RAW_COLUMNS = ["id_pivo", "umidade", "temperatura", "ph", "n", "p", "k",
                "estado_bomba", "capturado_em"]
-ENGINEERED_TARGETS = ["rendimento", "volume_irrigacao", "necessidade_fertilizacao"]
-MEASURED_TARGETS = ["umidade", "ph"]
-TARGETS = ENGINEERED_TARGETS + MEASURED_TARGETS
+TARGETS = ["rendimento", "volume_irrigacao", "necessidade_fertilizacao", "umidade", "ph"]
 BASE_FEATURES = ["temperatura", "n", "p", "k", "estado_bomba_bin", "hora", "dia_semana"]
 CONTEXT_FEATURES = ["umidade", "ph"]
-TARGET_EXTRA_FEATURES = {t: list(CONTEXT_FEATURES) for t in ENGINEERED_TARGETS}
-TARGET_EXTRA_FEATURES.update({t: [] for t in MEASURED_TARGETS})
+TARGET_INPUTS = {
+    "rendimento": ["temperatura", "n", "p", "k", "estado_bomba_bin", "hora", "dia_semana", "umidade", "ph"],
+    "volume_irrigacao": ["temperatura", "n", "p", "k", "estado_bomba_bin", "hora", "dia_semana", "umidade", "ph"],
+    "necessidade_fertilizacao": ["temperatura", "n", "p", "k", "estado_bomba_bin", "hora", "dia_semana", "umidade", "ph"],
+    "umidade": ["temperatura", "n", "p", "k", "estado_bomba_bin", "hora", "dia_semana"],
+    "ph": ["temperatura", "n", "p", "k", "estado_bomba_bin", "hora", "dia_semana"],
+}
 PIVOT_COLUMN = "id_pivo"
 PIVOT_DUMMIES = [f"id_pivo_{p}" for p in ID_PIVOS]
 FEATURE_COLUMNS = BASE_FEATURES + CONTEXT_FEATURES + PIVOT_DUMMIES

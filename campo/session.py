@@ -69,19 +69,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
-
-
-def ensure_parallelism(df, key: str | None = None, minimum: int | None = None):
-    """Spread a frame over at least ``minimum`` partitions (default: the
-    cluster's default parallelism) before CPU-heavy row work.
-
-    A single-row-group Parquet file is one task no matter how many cores
-    exist; a hash repartition on the row key (deterministic under task
-    retries, unlike round-robin) fixes that.  Frames that already have enough
-    partitions — any real multi-file input — are returned unchanged, so no
-    shuffle is added at scale."""
-    spark = df.sparkSession
-    minimum = minimum or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= minimum:
-        return df
-    return df.repartition(minimum, key) if key else df.repartition(minimum)

@@ -1,16 +1,22 @@
 """File sources and sinks.
 
 CSV pitfalls handled here:
-* columns are matched by header *name* (never by position);
+* columns are matched by header *name* (never by position), file by file: files
+  of one folder may differ in column order, and are read per distinct header;
+* a row with too few or too many cells is kept aside as malformed, it is never
+  padded or cut without a word;
 * a strict load parses every cell of every column — Spark's FAILFAST is lazy
   and column-pruned, and an empty numeric cell is NULL even under FAILFAST —
   so strictness is an explicit validation aggregate;
-* a quarantine load keeps bad rows aside with the reasons instead of failing.
+* a quarantine load keeps bad rows aside with the reasons instead of failing;
+* the other readers raise on the first malformed row they meet.
 """
 
 from __future__ import annotations
 
+import csv
 import json
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campo.functions import flag_list
-from campo.operators.clean import normalize_columns
+from campo.operators.clean import normalize_columns, parse_timestamp
 from campo.schema import READINGS_RAW
 
 PROCESSED_SCHEMA = T.StructType([
@@ -41,19 +47,71 @@ PROCESSED_SCHEMA = T.StructType([
 ])
 
 
+#: As ``PROCESSED_SCHEMA``, with capture times as text: they are parsed after.
+PROCESSED_SCHEMA_TEXT_TIME = T.StructType([
+    f if f.name != "capturado_em" else T.StructField(f.name, T.StringType()) for f in PROCESSED_SCHEMA.fields])
+
+
 class StrictLoadError(ValueError):
     """Raised when a strict CSV load finds missing columns or bad cells."""
 
 
+MALFORMED = "_linha_malformada"
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """First line -> files of ``path`` that start with it.  The driver gets one
+    row per file, as it does for Spark's own file listing."""
+    lines = (spark.read.text(path)
+             .select("value", F.col("_metadata.file_path").alias("arquivo"),
+                     F.col("_metadata.file_block_start").alias("inicio"))
+             .where("inicio = 0").withColumn("ordem", F.monotonically_increasing_id()))
+    first = lines.groupBy("arquivo").agg(F.min_by("value", "ordem").alias("cabecalho"))
+    out: dict[str, list[str]] = {}
+    for r in first.orderBy("arquivo").collect():
+        out.setdefault(r["cabecalho"], []).append(r["arquivo"])
+    return out
+
+
 def _text_csv(spark: SparkSession, path: str) -> DataFrame:
-    # Every column as text; header names normalised (strip + lower).
+    """Every column as text, by normalised header name (strip + lower), plus
+    ``MALFORMED``: the whole line where its cells do not fit the header."""
     try:
-        df = spark.read.options(header=True, mode="FAILFAST").csv(path)
+        headers = _headers(spark, path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(path) from e
         raise
-    return normalize_columns(df)
+    if not headers:
+        raise FileNotFoundError(f"no CSV file with a header under {path}")
+    parts = []
+    for header, names in headers.items():
+        columns = next(csv.reader([header.lstrip("\ufeff")]))
+        schema = T.StructType([*[T.StructField(c.strip().lower(), T.StringType()) for c in columns],
+                               T.StructField(MALFORMED, T.StringType())])
+        part = spark.read.schema(schema).options(
+            header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED, columnPruning=False,
+            enforceSchema=True).csv(path if len(headers) == 1 else names)
+        parts.append(part)
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def _wellformed(raw: DataFrame) -> DataFrame:
+    """``raw`` without ``MALFORMED``; raises when a malformed row is read."""
+    # Spark parses whole rows only where a data column is asked for as well
+    first = next(c for c in raw.columns if c != MALFORMED)
+    ok = F.when(F.col(MALFORMED).isNull() | (F.col(first) == F.lit("\0")), True).otherwise(
+        F.raise_error(F.concat(F.lit("malformed CSV row: "), F.col(MALFORMED))).cast("boolean"))
+    return raw.where(ok).drop(MALFORMED)
+
+
+def _typed_by_name(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` that are there in their type (NULL for a cell that
+    does not parse), all other columns as they are."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return raw.select(*[
+        F.trim(F.col(c)).try_cast(types[c]).alias(c)
+        if c in types and not isinstance(types[c], T.StringType) else F.col(c) for c in raw.columns])
 
 
 def _typed(raw: DataFrame, schema: T.StructType) -> tuple[DataFrame, list]:
@@ -62,6 +120,8 @@ def _typed(raw: DataFrame, schema: T.StructType) -> tuple[DataFrame, list]:
     if missing:
         raise StrictLoadError(f"missing columns: {missing}")
     cols, bad = [], []
+    if MALFORMED in raw.columns:
+        bad.append((MALFORMED, F.col(MALFORMED).isNotNull()))
     for f in schema.fields:
         txt = F.trim(F.col(f.name))
         if isinstance(f.dataType, T.StringType):
@@ -91,24 +151,32 @@ def read_csv_strict(spark: SparkSession, path: str,
     return typed
 
 
+def tag_readings(raw: DataFrame, schema: T.StructType = READINGS_RAW) -> DataFrame:
+    """All-text rows -> ``_raw`` (the row as it came), ``erros`` (columns whose
+    cell does not parse, and ``MALFORMED`` for a row that does not fit its
+    header) and the typed columns as ``_t_<name>``."""
+    _, bad = _typed(raw, schema)
+    typed_exprs = [F.col(f.name) if isinstance(f.dataType, T.StringType)
+                   else F.trim(F.col(f.name)).try_cast(f.dataType) for f in schema.fields]
+    return raw.select(F.struct(*[F.col(c) for c in raw.columns]).alias("_raw"),
+                      flag_list(bad).alias("erros"),
+                      *[e.alias(f"_t_{n}") for e, n in zip(typed_exprs, schema.names)])
+
+
+def split_tagged(tagged: DataFrame, schema: T.StructType = READINGS_RAW) -> tuple[DataFrame, DataFrame]:
+    """(valid typed rows, bad rows as they came + ``erros``)."""
+    valid = tagged.where(F.size("erros") == 0).select(
+        *[F.col(f"_t_{n}").alias(n) for n in schema.names])
+    return valid, tagged.where(F.size("erros") > 0).select("_raw.*", "erros")
+
+
 def read_csv_quarantine(spark: SparkSession, path: str,
                         schema: T.StructType = READINGS_RAW) -> tuple[DataFrame, DataFrame]:
     """S01 (lenient form): (valid typed rows, quarantined raw rows + ``erros``).
 
     One pass tags every row; both outputs derive from it (write or persist
     the tagged frame when materialising both)."""
-    raw = _text_csv(spark, path)
-    typed_cols, bad = _typed(raw, schema)
-    errs = flag_list(bad)
-    typed_exprs = [F.col(f.name) if isinstance(f.dataType, T.StringType)
-                   else F.trim(F.col(f.name)).try_cast(f.dataType) for f in schema.fields]
-    tagged = raw.select(F.struct(*[F.col(c) for c in raw.columns]).alias("_raw"),
-                        errs.alias("erros"),
-                        *[e.alias(f"_t_{n}") for e, n in zip(typed_exprs, schema.names)])
-    valid = tagged.where(F.size("erros") == 0).select(
-        *[F.col(f"_t_{n}").alias(n) for n in schema.names])
-    quarantine = tagged.where(F.size("erros") > 0).select("_raw.*", "erros")
-    return valid, quarantine
+    return split_tagged(tag_readings(_text_csv(spark, path), schema), schema)
 
 
 def save_processed(df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -129,15 +197,24 @@ def save_processed(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return path
 
 
-def read_processed(spark: SparkSession, path: str, csv_path: str | None = None) -> DataFrame:
+def read_processed(spark: SparkSession, path: str, csv_path: str | None = None,
+                   required: tuple[str, ...] = ()) -> DataFrame:
     """Parquet first, else the CSV sibling, else FileNotFoundError.
 
-    Both branches yield ``PROCESSED_SCHEMA`` (the CSV is read with the
-    schema, so timestamps are typed, not strings)."""
+    Columns of ``PROCESSED_SCHEMA`` come in its types from either form, all
+    other columns as they are stored (text, from a CSV).  A column named in
+    ``required`` that is not there is an error."""
+    def checked(df: DataFrame) -> DataFrame:
+        absent = [c for c in required if c not in df.columns]
+        if absent:
+            raise ValueError(f"processed dataset lacks columns: {absent}")
+        return df
+
     try:
         df = spark.read.parquet(path)
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in PROCESSED_SCHEMA.fields
-                           if f.name in df.columns])
+        types = {f.name: f.dataType for f in PROCESSED_SCHEMA.fields}
+        return checked(df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`")
+                                   for c in df.columns]))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
@@ -146,9 +223,7 @@ def read_processed(spark: SparkSession, path: str, csv_path: str | None = None)
         raw = _text_csv(spark, csv_path)
     except FileNotFoundError:
         raise FileNotFoundError(f"processed dataset not found: {path} nor {csv_path}") from None
-    return raw.select(*[F.trim(F.col(f.name)).try_cast(f.dataType).alias(f.name)
-                        if not isinstance(f.dataType, T.StringType) else F.col(f.name)
-                        for f in PROCESSED_SCHEMA.fields if f.name in raw.columns])
+    return checked(_typed_by_name(_wellformed(raw), PROCESSED_SCHEMA))
 
 
 def load_first_available(spark: SparkSession, candidates: list[tuple[str, str]],
@@ -156,8 +231,9 @@ def load_first_available(spark: SparkSession, candidates: list[tuple[str, str]],
     """First source that exists and has rows, in order.
 
     ``candidates`` is a list of (kind, location) with kind in
-    {"table", "parquet", "csv"}; the answer is (frame, label).  A missing
-    source is skipped; any other error propagates.  Emptiness is probed with
+    {"table", "parquet", "csv"}; the answer is (frame, label).  Every kind
+    gives typed columns and a parsed ``capturado_em``.  A missing source or an
+    empty folder is skipped; any other error propagates.  Emptiness is probed with
     ``isEmpty`` (reads at most one row)."""
     for kind, loc in candidates:
         try:
@@ -168,15 +244,17 @@ def load_first_available(spark: SparkSession, candidates: list[tuple[str, str]],
             elif kind == "parquet":
                 df = normalize_columns(spark.read.parquet(loc))
             elif kind == "csv":
-                df = _text_csv(spark, loc)
+                df = _typed_by_name(_wellformed(_text_csv(spark, loc)), PROCESSED_SCHEMA_TEXT_TIME)
             else:
                 raise ValueError(f"unknown source kind {kind!r}")
         except FileNotFoundError:
             continue
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e):
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
                 continue
             raise
+        if "capturado_em" in df.columns:
+            df = parse_timestamp(df)
         if not df.isEmpty():
             return df, f"{kind}:{loc}"
     return spark.createDataFrame([], empty_schema), "vazio"

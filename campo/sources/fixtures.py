@@ -24,14 +24,11 @@ EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 TABLE_KEYS = {"events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey"}
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One test table; with ``spread`` a single-split file is hash-spread over
-    the default parallelism (no-op when the scan already has enough splits)."""
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: int | None = None) -> DataFrame:
+    """One test table as it is scanned; with ``spread`` hash-spread over that
+    many partitions by its row key (for heavy row work on a single-split file)."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread:
-        from campo.session import ensure_parallelism
-        df = ensure_parallelism(df, TABLE_KEYS.get(name))
-    return df
+    return df.repartition(spread, TABLE_KEYS[name]) if spread else df
 
 
 def readings_from_events(events: DataFrame, dirty: bool = True) -> DataFrame:

@@ -5,7 +5,9 @@ scoring can align any frame to it (P10)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
 
 from campo.schema import TARGETS
 
@@ -24,22 +26,23 @@ def save_models(models: dict[str, PipelineModel], base: str) -> dict[str, str]:
     return out
 
 
-def _missing(e: Exception) -> bool:
-    s = str(e)
-    return any(k in s for k in ("does not exist", "No such file", "PATH_NOT_FOUND",
-                                "InvalidInputException", "FileNotFoundException"))
+def _present(spark: SparkSession, path: str) -> bool:
+    """Whether the folder exists (a listing, no file is read)."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
 
 
 def load_models(base: str, targets=TARGETS, required: bool = True) -> dict[str, PipelineModel]:
-    """Load the models present, skip absent ones; raise when none is found
-    (unless ``required=False``, where the caller falls back to stub scores)."""
-    out = {}
-    for t in targets:
-        try:
-            out[t] = PipelineModel.load(model_path(base, t))
-        except Exception as e:  # noqa: BLE001 - only "missing" is tolerated
-            if not _missing(e):
-                raise
+    """Load the models present, skip those without a folder; raise when none is
+    found (unless ``required=False``, where the caller falls back to stub
+    scores).  A folder that is there but cannot be loaded is an error."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    out = {t: PipelineModel.load(model_path(base, t)) for t in targets if _present(spark, model_path(base, t))}
     if not out and required:
         raise FileNotFoundError(f"no model 'modelo_<alvo>' under {base!r}")
     return out

@@ -91,30 +91,22 @@ def test_fmt_is_fixed_point(spark):
     assert not math.isnan(1.0)
 
 
-def test_exact_mean(spark):
+def test_column_mean(spark):
     from pyspark.sql import functions as F
     vals = [(0.01 * (i % 7),) for i in range(600)] + [(None,)]
     df = spark.createDataFrame(vals, "x double")
     exact = sum(round(0.01 * (i % 7), 2) for i in range(600)) / 600
-    a = df.agg(cf.exact_mean("x")).first()[0]
-    b = df.repartition(7).agg(cf.exact_mean("x")).first()[0]
-    assert a == b and abs(a - exact) < 1e-15
-    big = spark.createDataFrame([(1e30,), (3e30,)], "x double").agg(cf.exact_mean("x")).first()[0]
+    a = df.agg(cf.column_mean("x")).first()[0]
+    b = df.repartition(7).agg(cf.column_mean("x")).first()[0]
+    assert a == pytest.approx(b, abs=1e-15) and a == pytest.approx(exact, abs=1e-14)
+    tiny = spark.createDataFrame([(1e-12,), (3e-12,)], "x double").agg(cf.column_mean("x")).first()[0]
+    assert tiny == pytest.approx(2e-12, rel=1e-12)
+    big = spark.createDataFrame([(1e30,), (3e30,)], "x double").agg(cf.column_mean("x")).first()[0]
     assert big == 2e30
-    assert spark.createDataFrame([(None,)], "x double").agg(cf.exact_mean("x")).first()[0] is None
+    assert spark.createDataFrame([(None,)], "x double").agg(cf.column_mean("x")).first()[0] is None
     assert F is not None
 
 
-def test_ensure_parallelism(spark):
-    from campo.session import ensure_parallelism
-    one = spark.range(100).coalesce(1)
-    spread = ensure_parallelism(one, "id", minimum=4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r[0] for r in spread.collect()) == list(range(100))
-    many = spark.range(100).repartition(6)
-    assert ensure_parallelism(many, "id", minimum=4) is many
-
-
 def test_scatter_sample_is_deterministic(spark):
     from campo.operators.stats import scatter_points
     df = spark.range(2000).select(F.col("id").alias("id_leitura"), (F.col("id") * 0.5).alias("umidade"),

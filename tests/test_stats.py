@@ -7,8 +7,8 @@ from tests.conftest import SF_SMALL
 
 
 def _q(spark, values, probs, parts=16):
-    df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    out = stats.exact_quantiles(df, ["x"], probs, range_partitions=parts).collect()
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(parts)
+    out = stats.exact_quantiles(df, ["x"], probs).collect()
     return {r["q"]: r["valor"] for r in out}
 
 
@@ -150,3 +150,35 @@ def test_exact_quantiles_property(spark):
         assert [got[q] for q in (0.1, 0.5, 0.9)] == pytest.approx(list(exp), abs=1e-12)
 
     check()
+
+
+def test_quartiles_do_not_depend_on_session_settings(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    cols = ["l_extendedprice", "l_discount", "l_quantity"]
+    expect = {c: np.quantile(df.select(df[c].cast("double")).toPandas()[c].to_numpy(), [0.25, 0.5, 0.75]) for c in cols}
+    for reuse in ("true", "false"):
+        for adaptive in ("true", "false"):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            try:
+                rows = stats.describe(df, cols).collect()
+            finally:
+                spark.conf.unset("spark.sql.exchange.reuse")
+                spark.conf.set("spark.sql.adaptive.enabled", "true")
+            for r in rows:
+                assert [r["q25"], r["q50"], r["q75"]] == pytest.approx(list(expect[r["coluna"]]), abs=1e-9)
+
+
+def test_brackets_are_narrowed(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BRACKET_ROWS", 5)
+    monkeypatch.setattr(stats, "SKETCH_ACCURACY", 20)
+    vals = np.random.default_rng(4).normal(size=5000)
+    got = _q(spark, vals, [0.25, 0.5, 0.9])
+    assert [got[q] for q in (0.25, 0.5, 0.9)] == pytest.approx(list(np.quantile(vals, [0.25, 0.5, 0.9])), abs=1e-12)
+
+
+def test_tiny_and_huge_values(spark):
+    df = spark.createDataFrame([(1e-12, 1e12), (3e-12, 3e12)], "a double, b double")
+    rows = {r["coluna"]: r for r in stats.describe(df, ["a", "b"]).collect()}
+    assert rows["a"]["mean"] == pytest.approx(2e-12) and rows["a"]["std"] == pytest.approx(1.4142135e-12)
+    assert rows["b"]["mean"] == pytest.approx(2e12) and rows["b"]["q50"] == pytest.approx(2e12)
