@@ -7,6 +7,8 @@ failed task or lost executor never leaves partial files behind.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,11 +17,14 @@ from campo.operators.clean import restamp as _restamp
 from campo.schema import KEY, READINGS_TABLE
 
 TABLE = "sensores_campo"
+LOTE = "lote"  # partition of one load or one micro-batch
 
 
 def create_table(spark: SparkSession, name: str = TABLE,
-                 schema: T.StructType = READINGS_TABLE, path: str | None = None) -> bool:
-    """Idempotent CREATE TABLE IF NOT EXISTS ... USING parquet.
+                 schema: T.StructType = READINGS_TABLE, path: str | None = None,
+                 by_lote: bool = False) -> bool:
+    """Idempotent CREATE TABLE IF NOT EXISTS ... USING parquet; with
+    ``by_lote`` partitioned by load, as streams need it.
 
     Returns True when the table was created by this call."""
     if spark.catalog.tableExists(name):
@@ -27,29 +32,36 @@ def create_table(spark: SparkSession, name: str = TABLE,
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                      + ("" if f.nullable else " NOT NULL") for f in schema.fields)
     loc = f" LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}")
+    cols, part = (cols + f", `{LOTE}` string", f" PARTITIONED BY ({LOTE})") if by_lote else (cols, "")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part}{loc}")
     return True
 
 
 def _align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the table's columns by name with the table's types."""
+    """Select the table's columns by name with the table's types; rows of a
+    table by ``lote`` get one of their own where they name none."""
+    if LOTE in schema.names and LOTE not in df.columns:
+        df = df.withColumn(LOTE, F.lit(f"carga-{uuid.uuid4().hex}"))
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def with_row_key(spark: SparkSession, df: DataFrame, name: str = TABLE,
-                 key: str = KEY) -> DataFrame:
+                 key: str = KEY, but: str | None = None) -> DataFrame:
     """Give keyless readings a row key once, at load time (it is then stored).
 
     Raw readings have no natural key and may contain exact duplicates, so a
     content hash cannot serve.  ``monotonically_increasing_id`` is unique
     within one write and deterministic under task retries (it depends only
     on the input split and the row position); it is offset past the largest
-    key already in the table, so appended loads never collide."""
+    key already in the table (``but`` names a ``lote`` that is about to be
+    replaced), so loads that follow each other never collide; loads that run
+    side by side into one table must bring their own key."""
     if key in df.columns:
         return df
     base = 0
     if spark.catalog.tableExists(name):
-        top = spark.table(name).agg(F.max(key)).first()[0]
+        have = _fresh(spark, name)
+        top = (have.where(F.col(LOTE) != but) if but else have).agg(F.max(key)).first()[0]
         base = 0 if top is None else int(top) + 1
     return df.withColumn(key, F.monotonically_increasing_id() + F.lit(base))
 
@@ -68,6 +80,12 @@ def insert_rows(spark: SparkSession, df: DataFrame, name: str = TABLE) -> int:
     return int(obs.get.get("n", 0) or 0)
 
 
+def replace_lote(spark: SparkSession, df: DataFrame, lote: str, name: str = TABLE) -> None:
+    """ST3: overwrite the one partition ``lote`` of a table made ``by_lote``."""
+    rows = _align(df.withColumn(LOTE, F.lit(lote)), spark.table(name).schema).drop(LOTE)
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({LOTE} = '{lote}') SELECT * FROM {{rows}}", rows=rows)
+
+
 def ingest_once(spark: SparkSession, df: DataFrame, name: str = TABLE, reset: bool = True,
                 restamp: bool = False) -> int:
     """Full load.  ``reset=True`` replaces the table's content with an
@@ -106,13 +124,20 @@ def latest(df: DataFrame, n: int = 50, ts: str = "capturado_em", key: str = KEY)
     return df.orderBy(F.desc_nulls_last(ts), F.desc(key)).limit(n)
 
 
+def _fresh(spark: SparkSession, name: str) -> DataFrame:
+    """The table with its files listed anew: a stream writes in a session of
+    its own."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def count_rows(spark: SparkSession, name: str = TABLE) -> int:
     """Number of rows, 0 when the table does not exist."""
     if not spark.catalog.tableExists(name):
         return 0
-    return spark.table(name).count()
+    return _fresh(spark, name).count()
 
 
 def read_table(spark: SparkSession, name: str = TABLE, limit: int | None = None) -> DataFrame:
     """S09 over the catalog table."""
-    return read_ordered(spark.table(name), limit)
+    return read_ordered(_fresh(spark, name), limit)

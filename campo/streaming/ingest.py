@@ -1,70 +1,104 @@
-"""Readings arriving as files -> readings table (ST1–ST5).
+"""Readings arriving as files -> the readings table (ST1–ST5).
 
 * ST1: ``readStream`` over a folder of CSV (or Parquet) files, at most
-  ``max_files_per_trigger`` files per micro-batch.
+  ``max_files_per_trigger`` files per micro-batch.  CSV cells arrive as text and
+  are checked like a quarantine load: bad rows go to a folder with their
+  reasons, valid ones to the catalog table, with a row key.
 * ST2: ``available_now=True`` runs a bounded catch-up and stops.
-* ST3: exactly-once into the table: each micro-batch overwrites its own
-  ``batch_id=N`` partition, so a batch replayed after a failure (its commit
-  not yet in the checkpoint) replaces itself instead of duplicating rows.
+* ST3: exactly-once into the table: a micro-batch overwrites its own ``lote``
+  partition, so a batch replayed after a failure (its commit not yet in the
+  checkpoint) replaces itself instead of duplicating rows.
 * ST4: optional arrival-time restamp.
-* ST5: per-batch counts go to a small log table (also one partition per
-  batch); the cumulative total is the table's row count.
+* ST5: per-batch counts with the running total go to a small log, one folder a
+  batch; a batch adds its rows to the total of the batch before it.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from campo.operators.clean import parse_timestamp, restamp as _restamp
-from campo.schema import READINGS_RAW
+from campo.schema import KEY, READINGS_RAW
+from campo.sources.files import MALFORMED, split_tagged, tag_readings
+from campo.sources.tables import LOTE, create_table, replace_lote, with_row_key
 
 
 def arriving_readings(spark: SparkSession, source: str, schema: T.StructType = READINGS_RAW,
                       fmt: str = "csv", max_files_per_trigger: int | None = 1) -> DataFrame:
     """ST1 source: a streaming frame over files landing in ``source``.
 
-    CSV headers are checked against the schema by name (``enforceSchema``
-    off), so a reordered file fails instead of silently swapping columns."""
+    CSV cells stay text, with ``MALFORMED`` for rows that do not fit.  Headers
+    are checked against the schema by name (``enforceSchema`` off), so a
+    reordered file fails instead of silently swapping columns."""
+    if fmt == "csv":
+        schema = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields],
+                               T.StructField(MALFORMED, T.StringType())])
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if fmt == "csv":
-        return r.options(header=True, enforceSchema=False).csv(source)
+        return r.options(header=True, enforceSchema=False, mode="PERMISSIVE", columnPruning=False,
+                         columnNameOfCorruptRecord=MALFORMED).csv(source)
     return r.format(fmt).load(source)
 
 
-def _writer(table_path: str, log_path: str | None, restamp: bool):
+def _total_before(spark: SparkSession, log_path: str, batch_id: int) -> int:
+    if batch_id == 0:
+        return 0
+    try:
+        row = spark.read.parquet(f"{log_path}/batch_id={batch_id - 1}").first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return 0
+    return int(row["acumulado"]) if row else 0
+
+
+def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: bool):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        df = parse_timestamp(batch)
+        spark = batch.sparkSession
+        valid = batch
+        if MALFORMED in batch.columns:
+            tagged = tag_readings(batch).persist()
+            valid, bad = split_tagged(tagged)
+            if quarantine:
+                bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        valid = parse_timestamp(valid)
         if restamp:
-            df = _restamp(df)
+            valid = _restamp(valid)
+        lote = f"fluxo-{batch_id:012d}"
+        keyed = valid if KEY in valid.columns else with_row_key(spark, valid, table, but=lote)
         obs = Observation(f"lote_{batch_id}")
-        (df.observe(obs, F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}"))
+        replace_lote(spark, keyed.observe(obs, F.count(F.lit(1)).alias("n")), lote, table)
+        n = int(obs.get.get("n", 0) or 0)
+        if MALFORMED in batch.columns:
+            tagged.unpersist()
         if log_path:
-            n = int(obs.get.get("n", 0) or 0)
-            batch.sparkSession.createDataFrame(
-                [(int(batch_id), n)], "batch_id long, linhas long") \
-                .write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+            total = _total_before(spark, log_path, batch_id) + n
+            spark.createDataFrame([(n, total)], "linhas long, acumulado long") \
+                .coalesce(1).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
     return write_batch
 
 
-def ingest_stream(stream: DataFrame, table_path: str, checkpoint: str,
+def ingest_stream(stream: DataFrame, table: str, checkpoint: str, quarantine: str | None = None,
                   log_path: str | None = None, restamp: bool = False,
                   available_now: bool = True, interval: str = "10 seconds") -> StreamingQuery:
-    """ST1–ST5: start the ingest query (foreachBatch, idempotent per batch)."""
-    w = (stream.writeStream.foreachBatch(_writer(table_path, log_path, restamp))
+    """ST1–ST5: start the ingest query into the catalog table ``table`` (made
+    with ``lote`` partitions if absent); idempotent per batch."""
+    spark = stream.sparkSession
+    create_table(spark, table, by_lote=True)
+    if LOTE not in spark.table(table).columns:
+        raise ValueError(f"table {table!r} has no {LOTE!r} partitions to replace a batch in")
+    w = (stream.writeStream.foreachBatch(_writer(table, quarantine, log_path, restamp))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
 def batch_counts(spark: SparkSession, log_path: str) -> DataFrame:
-    """ST5: rows per batch and the running total (small: one row per batch)."""
-    from pyspark.sql import Window
-    log = spark.read.parquet(log_path).select("batch_id", "linhas")
-    return log.withColumn("acumulado", F.sum("linhas").over(
-        Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    """ST5: rows per batch and the running total (one row per batch)."""
+    return spark.read.parquet(log_path).select(F.col("batch_id").cast("long").alias("batch_id"), "linhas", "acumulado")

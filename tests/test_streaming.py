@@ -1,8 +1,10 @@
+import datetime
 import os
 
 from pyspark.sql import functions as F
 
-from campo.schema import READINGS_RAW
+from campo.operators.clean import parse_timestamp
+from campo.sources import files, tables
 from campo.streaming.ingest import arriving_readings, batch_counts, ingest_stream
 from campo.streaming.score import score_readings, windowed_trend
 from tests.test_sources import HEADER, write_csv
@@ -13,29 +15,49 @@ def _lines(i):
             f"2024-01-0{i + 1} 1{j}:00:00" for j in range(5)]
 
 
-def test_ingest_batches_and_replay(spark, tmp):
-    src = os.path.join(tmp, "in")
-    for i in range(3):
-        write_csv(src, f"lote_{i}.csv", HEADER, _lines(i))
-    table, ckpt, log = (os.path.join(tmp, x) for x in ("table", "ckpt", "log"))
-    schema = READINGS_RAW
-    # header names in the files are upper case; the schema is lower case
-    stream = arriving_readings(spark, src, schema=schema, max_files_per_trigger=1)
-    ingest_stream(stream, table, ckpt, log_path=log).awaitTermination()
-    assert spark.read.parquet(table).count() == 15
-    bc = batch_counts(spark, log).orderBy("batch_id").collect()
-    assert [r["linhas"] for r in bc] == [5, 5, 5] and bc[-1]["acumulado"] == 15
-    # lose the last commit: the batch is replayed on restart, without duplicates
+def _replay_last(ckpt):
+    """Lose the last commit: the batch is run again on restart."""
     commits = os.path.join(ckpt, "commits")
     last = sorted(int(x) for x in os.listdir(commits) if x.isdigit())[-1]
-    os.remove(os.path.join(commits, str(last)))
-    crc = os.path.join(commits, f".{last}.crc")
-    if os.path.exists(crc):
-        os.remove(crc)
-    stream = arriving_readings(spark, src, schema=schema, max_files_per_trigger=1)
-    ingest_stream(stream, table, ckpt, log_path=log).awaitTermination()
-    assert spark.read.parquet(table).count() == 15
-    assert spark.read.parquet(table).where(F.col("capturado_em").isNull()).count() == 0
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+
+
+def test_loads_and_stream_share_the_table(spark, tmp):
+    src, table = os.path.join(tmp, "in"), "leituras_fluxo"
+    ckpt, log, bad = (os.path.join(tmp, x) for x in ("ckpt", "log", "bad"))
+    tables.create_table(spark, table, path=os.path.join(tmp, "table"), by_lote=True)
+    full = write_csv(os.path.join(tmp, "full"), "a.csv", HEADER, _lines(0))
+    first = parse_timestamp(files.read_csv_strict(spark, full))
+    assert tables.ingest_once(spark, first, table) == 5
+    assert tables.insert_rows(spark, first, table) == 5
+    for i in range(3):
+        extra = ["p1,abc,25,6,70,60,60,ON,2024-01-01 10:00:00", "p1,50,25"] if i == 1 else []
+        write_csv(src, f"lote_{i}.csv", HEADER, _lines(i) + extra)
+    for _ in range(2):
+        stream = arriving_readings(spark, src, max_files_per_trigger=1)
+        ingest_stream(stream, table, ckpt, quarantine=bad, log_path=log).awaitTermination()
+        assert tables.count_rows(spark, table) == 25
+        rows = tables.read_table(spark, table).collect()
+        assert len({r["id_leitura"] for r in rows}) == 25
+        assert all(r["capturado_em"] is not None and r["umidade"] is not None for r in rows)
+        assert [r["capturado_em"] for r in rows] == sorted(r["capturado_em"] for r in rows)
+        aside = spark.read.parquet(bad).collect()
+        assert sorted(len(r["erros"]) > 0 for r in aside) == [True, True]
+        bc = batch_counts(spark, log).orderBy("batch_id").collect()
+        assert [(r["linhas"], r["acumulado"]) for r in bc] == [(5, 5), (5, 10), (5, 15)]
+        _replay_last(ckpt)
+
+
+def test_restamp_in_the_stream(spark, tmp):
+    src, table = os.path.join(tmp, "in"), "leituras_carimbo"
+    tables.create_table(spark, table, path=os.path.join(tmp, "table"), by_lote=True)
+    write_csv(src, "a.csv", HEADER, _lines(0))
+    before = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None, microsecond=0)
+    ingest_stream(arriving_readings(spark, src), table, os.path.join(tmp, "ck"), restamp=True).awaitTermination()
+    stamps = {r["capturado_em"] for r in spark.table(table).collect()}
+    assert len(stamps) == 1 and min(stamps) >= before
 
 
 def test_batch_equals_stream_scoring(spark, tmp):
