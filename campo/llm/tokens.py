@@ -12,7 +12,7 @@ from __future__ import annotations
 import codecs
 from array import array
 
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 1_000_000
 _tokenizers: dict = {}
 
 #: Pre-tokenizer patterns of the two kinds of vocabulary (fixed values).
@@ -38,6 +38,7 @@ class Chunks(dict):
         self.whole = Tokenizer.from_file(path)
         self.model, self.code = self.whole.model, code
         self.lead, self.fold, self.table = " " if spaced else "", fold, _printable()
+        self.start = self.table[ord(" ")]
         self.pieces = regex.compile(SPACED if spaced else PLAIN).findall
         self.known: dict[str, list[int]] = {}
 
@@ -45,13 +46,15 @@ class Chunks(dict):
         """Ids of one pre-token."""
         ids = self.known.get(piece)
         if ids is None:
-            if len(self.known) > KEPT_CHUNKS // 4:
+            if len(self.known) > KEPT_CHUNKS // 8:
                 self.known.clear()
             as_read = codecs.charmap_decode(piece.encode(), "strict", self.table)[0]
             ids = self.known[piece] = [t.id for t in self.model.tokenize(as_read)]
         return ids
 
     def chunk(self, part: str, lead: str = "") -> list[int]:
+        if part.isascii() and part.isalpha():  # a byte of these is read as itself
+            return [t.id for t in self.model.tokenize((self.start if lead else "") + (part.lower() if self.fold else part))]
         # Latin text up to U+017F is composed already, and all libraries agree
         # on its case and classes; other chunks go through the tokenizer
         if max(part, default="") < "ƀ" and "İ" not in part and "<|" not in part:
