@@ -123,57 +123,65 @@ def most_deficient_nutrient(n="n", p="p", k="k") -> Column:
                          ("K", relative_deficit(as_col(k), K_IDEAL))])
 
 
-def rule_irrigation(volume) -> Column:
+def _words(text: bool) -> dict:
+    """Arguments of an item without its text, for counts by code."""
+    return {} if text else {"text": F.lit("")}
+
+
+def rule_irrigation(volume, text: bool = True) -> Column:
     """> 5 mm irrigate; <= 1 mm adequate; otherwise light; NULL silent."""
-    v = as_col(volume)
-    return (F.when(v > LIMIAR_IRRIGAR_MM, _one("IRRIGAR", v))
-            .when(v <= LIMIAR_SOLO_ADEQUADO_MM, _one("SOLO_ADEQUADO", v))
-            .when(v.isNotNull(), _one("IRRIGACAO_LEVE", v))
+    v, w = as_col(volume), _words(text)
+    return (F.when(v > LIMIAR_IRRIGAR_MM, _one("IRRIGAR", v, **w))
+            .when(v <= LIMIAR_SOLO_ADEQUADO_MM, _one("SOLO_ADEQUADO", v, **w))
+            .when(v.isNotNull(), _one("IRRIGACAO_LEVE", v, **w))
             .otherwise(_none()))
 
 
-def rule_fertilise(necessity, n="n", p="p", k="k") -> Column:
+def rule_fertilise(necessity, n="n", p="p", k="k", text: bool = True) -> Column:
     """Necessity > 50, naming the most deficient nutrient of the reading."""
     v = as_col(necessity)
+    if not text:
+        return F.when(v > LIMIAR_FERTILIZAR, _one("ADUBAR", v, **_words(text))).otherwise(_none())
     nut = most_deficient_nutrient(n, p, k)
-    text = F.concat(_text("ADUBAR", v),
+    words = F.concat(_text("ADUBAR", v),
                     F.when(nut != "", _text("ADUBAR_SUFIXO", detail=nut)).otherwise(F.lit("")))
     return F.when(v > LIMIAR_FERTILIZAR,
-                  _one("ADUBAR", v, F.when(nut != "", nut), text)).otherwise(_none())
+                  _one("ADUBAR", v, F.when(nut != "", nut), words)).otherwise(_none())
 
 
-def rule_low_yield(yield_) -> Column:
+def rule_low_yield(yield_, text: bool = True) -> Column:
     """Predicted yield < 40."""
     v = as_col(yield_)
-    return F.when(v < LIMIAR_RENDIMENTO_BAIXO, _one("RENDIMENTO_BAIXO", v)).otherwise(_none())
+    return F.when(v < LIMIAR_RENDIMENTO_BAIXO, _one("RENDIMENTO_BAIXO", v, **_words(text))).otherwise(_none())
 
 
-def rule_ph(ph_pred=None, ph_reading="ph") -> Column:
+def rule_ph(ph_pred=None, ph_reading="ph", text: bool = True) -> Column:
     """Acid < 6.0, alkaline > 7.0; predicted pH first, else the reading."""
     cands = [c for c in (_opt(ph_pred), _opt(ph_reading)) if c is not None]
     v = F.coalesce(*cands) if len(cands) > 1 else cands[0]
-    return (F.when(v < PH_BOM_MIN, _one("PH_ACIDO", v))
-            .when(v > PH_BOM_MAX, _one("PH_ALCALINO", v))
+    return (F.when(v < PH_BOM_MIN, _one("PH_ACIDO", v, **_words(text)))
+            .when(v > PH_BOM_MAX, _one("PH_ALCALINO", v, **_words(text)))
             .otherwise(_none()))
 
 
 def advice(volume="volume_irrigacao", necessity="necessidade_fertilizacao",
            yield_="rendimento", ph_pred=None, ph_reading="ph",
-           n="n", p="p", k="k") -> Column:
+           n="n", p="p", k="k", text: bool = True) -> Column:
     """The full advice list in rule order R01, R02, R03, R04.
 
     Pass ``None`` for a prediction that is not available: its rule is silent
-    (as when a model is missing).
+    (as when a model is missing).  ``text=False`` leaves texts and details out,
+    for counts by code.
     """
     rules = []
     if volume is not None:
-        rules.append(rule_irrigation(volume))
+        rules.append(rule_irrigation(volume, text))
     if necessity is not None:
-        rules.append(rule_fertilise(necessity, n, p, k))
+        rules.append(rule_fertilise(necessity, n, p, k, text))
     if yield_ is not None:
-        rules.append(rule_low_yield(yield_))
+        rules.append(rule_low_yield(yield_, text))
     if ph_pred is not None or ph_reading is not None:
-        rules.append(rule_ph(ph_pred, ph_reading))
+        rules.append(rule_ph(ph_pred, ph_reading, text))
     if not rules:
         return _none()
     return F.concat(*rules) if len(rules) > 1 else rules[0]

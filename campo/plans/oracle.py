@@ -395,6 +395,48 @@ def _build() -> dict[str, str]:
                                            "umidade", "ph"])
         + ", 'stub' AS fonte_modelo FROM readings")
 
+    train = f"tr AS (SELECT umidade AS x, volume_irrigacao AS y, {bucket.replace('id_leitura', 'prepared.id_leitura')} AS b, id_leitura FROM prepared)"
+    line = """
+sums AS (SELECT avg(x) AS xm, avg(y) AS ym, regr_sxy(y, x) AS sxy, regr_sxx(y, x) AS sxx FROM tr WHERE b < 80),
+lines AS (SELECT modelo, sxy / (sxx + alpha) AS a, ym - sxy / (sxx + alpha) * xm AS c
+          FROM sums, (SELECT 'linear_regression' AS modelo, CAST(0 AS DOUBLE) AS alpha UNION ALL SELECT 'ridge', CAST(10 AS DOUBLE))),
+pts AS (SELECT modelo, a, c, id_leitura, y, a * x + c AS yhat FROM tr, lines WHERE b >= 80)"""
+    o["fit_one_feature"] = with_readings(
+        f"SELECT modelo, {r6('a')} AS inclinacao, {r6('c')} AS intercepto, count(*) AS n_teste, {r6('avg(abs(y - yhat))')} AS mae, "
+        f"{r6('avg((y - yhat) * (y - yhat))')} AS mse, {r6('sqrt(avg((y - yhat) * (y - yhat)))')} AS rmse, "
+        f"{r6('1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*))')} AS r2 FROM pts GROUP BY modelo, a, c", f"{train}, {line}")
+    o["one_feature_points"] = with_readings(
+        f"SELECT id_leitura, {r6('y')} AS real, {r6('yhat')} AS previsto, {r6('y - yhat')} AS residuo FROM pts "
+        "WHERE modelo = 'linear_regression'", f"{train}, {line}")
+    o["stream_ingest"] = with_readings(
+        f"SELECT id_leitura, id_pivo, umidade, strftime(capturado_em, {TS}) AS capturado_em FROM feat")
+    spoilt = """
+spoilt AS (SELECT * REPLACE (
+  CASE WHEN id_leitura % 31 = 0 THEN NULL WHEN id_leitura % 37 = 0 THEN 'p9' WHEN id_leitura % 41 = 0 THEN ' P2 ' ELSE id_pivo END AS id_pivo,
+  CASE WHEN id_leitura % 43 = 0 THEN 101.5 WHEN id_leitura % 47 = 0 THEN CAST('NaN' AS DOUBLE) ELSE umidade END AS umidade,
+  CASE WHEN id_leitura % 53 = 0 THEN -11.0 WHEN id_leitura % 59 = 0 THEN NULL ELSE temperatura END AS temperatura,
+  CASE WHEN id_leitura % 61 = 0 THEN 14.5 ELSE ph END AS ph,
+  CASE WHEN id_leitura % 67 = 0 THEN NULL WHEN id_leitura % 71 = 0 THEN 201 ELSE n END AS n,
+  CASE WHEN id_leitura % 73 = 0 THEN NULL WHEN id_leitura % 79 = 0 THEN -1 ELSE p END AS p,
+  CASE WHEN id_leitura % 83 = 0 THEN NULL WHEN id_leitura % 103 = 0 THEN 500 ELSE k END AS k,
+  CASE WHEN id_leitura % 11 = 0 THEN '1' WHEN id_leitura % 13 = 0 THEN 'true' WHEN id_leitura % 17 = 0 THEN ' Ligada' ELSE estado_bomba END AS estado_bomba)
+  FROM readings)"""
+    limits = {"temperatura": (-10, 60), "n": (0, 200), "p": (0, 200), "k": (0, 200), "umidade": (0, 100), "ph": (0, 14)}
+    reasons = [(f"{c}_ausente", f"{c} IS NULL") for c in ("temperatura", "n", "p", "k")]
+    reasons += [(f"{c}_fora_da_faixa", f"(isnan(CAST({c} AS DOUBLE)) OR {c} < {lo} OR {c} > {hi})") for c, (lo, hi) in limits.items()]
+    reasons += [("id_pivo_invalido", "NOT coalesce(lower(trim(id_pivo)) IN ('p1', 'p2', 'p3'), FALSE)"),
+                ("capturado_em_invalido", f"capturado_em IS NOT NULL AND {parse_ts('capturado_em')} IS NULL")]
+    listed = " UNION ALL ".join(f"SELECT id_leitura, '{k}' AS motivo FROM spoilt WHERE {w}" for k, w in reasons)
+    o["quality_split_dirty"] = with_readings(
+        "SELECT coalesce(r.motivo, 'valida') AS motivo, count(*) AS leituras FROM spoilt s "
+        "LEFT JOIN why r ON r.id_leitura = s.id_leitura GROUP BY 1", f"{spoilt}, why AS ({listed})")
+    zero = lambda c: f"round(coalesce(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, 0), 6) AS {c}"
+    dummies = ", ".join(f"CAST(coalesce(lower(trim(id_pivo)) = 'p{i}', FALSE) AS INTEGER) AS id_pivo_p{i}" for i in (1, 2, 3))
+    o["spoilt_flags"] = with_readings(
+        f"SELECT id_leitura, coalesce(id_pivo, 'p1') AS id_pivo, {dummies}, "
+        "CAST(coalesce(upper(trim(estado_bomba)) IN ('ON', '1', 'TRUE', 'LIGADA'), FALSE) AS INTEGER) AS bomba, "
+        f"{zero('umidade')}, {zero('temperatura')}, {zero('ph')}, coalesce(n, 0) AS n, coalesce(p, 0) AS p, coalesce(k, 0) AS k "
+        "FROM spoilt", spoilt)
     o["advice_full"] = with_readings(positioned("items"), f"items AS ({advice_items('prepared')})")
 
     serv = f"""

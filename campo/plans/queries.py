@@ -60,7 +60,7 @@ def processed(spark, sf_dir, noise=False) -> DataFrame:
 @query("advice_by_pivot")
 def q_advice_by_pivot(spark, sf_dir):
     """events -> readings -> features -> targets -> advice -> counts per pivot."""
-    df = adv.with_advice(processed(spark, sf_dir))
+    df = adv.with_advice(processed(spark, sf_dir), text=False)
     return adv.advice_volume(df, by=("id_pivo",), day=None)
 
 
@@ -352,7 +352,7 @@ def q_advice_dashboard(spark, sf_dir):
 
 @query("advice_volume")
 def q_advice_volume(spark, sf_dir):
-    df = adv.with_advice(processed(spark, sf_dir))
+    df = adv.with_advice(processed(spark, sf_dir), text=False)
     out = adv.advice_volume(df, by=("id_pivo",), day="capturado_em")
     return out.select("id_pivo", F.col("dia").cast("string").alias("dia"), "code", "ocorrencias")
 
@@ -371,7 +371,9 @@ def q_nutrient_argmax(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ L (rows-only)
-DEMO_FOREST = {"numTrees": 20, "maxDepth": 8}
+# The grid of the original (200 and 400 trees) takes over ten minutes a fit on
+# one machine; this one reaches its quality limit (``quality_gate``).
+DEMO_FOREST = {"numTrees": 40, "maxDepth": 12}
 
 
 def _fit_all(spark, sf_dir, family, params):
@@ -430,11 +432,73 @@ def q_score_multi(spark, sf_dir):
     """Five models (one per target) scored on every reading, plus advice."""
     from campo.streaming.score import score_readings
     _, models = _fit_all(spark, sf_dir, "linear_regression", {})
+    from campo.functions import round_to
     df = score_readings(readings(spark, sf_dir), models)
-    return df.select("id_leitura", *[f"pred_{t}" for t in models], "fonte_modelo",
+    return df.select("id_leitura", *[round_to(f"pred_{t}").alias(f"pred_{t}") for t in models], "fonte_modelo",
                      F.size("sugestoes").alias("n_sugestoes"))
 
 
+ONE_FEATURE = ["umidade"]
+
+
+def _one_feature(spark, sf_dir, family, params):
+    from campo.operators.learn import fit_evaluate
+    df = processed(spark, sf_dir)
+    model, m = fit_evaluate(df, "volume_irrigacao", family, params, features=ONE_FEATURE)
+    return df, model, m
+
+
+@query("fit_one_feature")
+def q_fit_one_feature(spark, sf_dir):
+    """Slope, intercept and hold-out metrics of the least-squares and ridge
+    models of irrigation volume on humidity."""
+    rows = []
+    for family, params in (("linear_regression", {}), ("ridge", {"alpha": 10.0})):
+        _, model, m = _one_feature(spark, sf_dir, family, params)
+        last = model.stages[-1]
+        rows.append((family, float(last.coefficients[0]), float(last.intercept), int(m["n"]), m["mae"], m["mse"], m["rmse"], m["r2"]))
+    return round_doubles(spark.createDataFrame(rows, "modelo string, inclinacao double, intercepto double, n_teste long, "
+                                                     "mae double, mse double, rmse double, r2 double"))
+
+
+@query("one_feature_points")
+def q_one_feature_points(spark, sf_dir):
+    """Hold-out points (real, predicted, residual) of the one-feature model."""
+    from campo.operators.learn import predicted_vs_actual, training_frame
+    df, model, _ = _one_feature(spark, sf_dir, "linear_regression", {})
+    test = training_frame(df, "volume_irrigacao", ONE_FEATURE).where("_valido").where(F.col("conjunto") == "teste")
+    return round_doubles(predicted_vs_actual(model.transform(test), "volume_irrigacao")[0])
+
+
+@query("holdout_comparison")
+def q_holdout_comparison(spark, sf_dir):
+    """MAE, MSE, RMSE and R² of the three families on the hold-out rows."""
+    from campo.operators.learn import holdout_comparison
+    return holdout_comparison(processed(spark, sf_dir, noise=True), ["rendimento", "volume_irrigacao"],
+                              {"linear_regression": {}, "ridge": {"alpha": 1.0}, "random_forest": DEMO_FOREST})
+
+
+@query("quality_split_dirty")
+def q_quality_split_dirty(spark, sf_dir):
+    """Reasons of readings outside the service contract, on the spoilt variant."""
+    from campo.sources.fixtures import spoil
+    tagged = clean.quality_reasons(spoil(readings(spark, sf_dir)))
+    return (tagged.select(F.explode_outer("motivos").alias("motivo"))
+            .select(F.coalesce("motivo", F.lit("valida")).alias("motivo"))
+            .groupBy("motivo").agg(F.count(F.lit(1)).alias("leituras")))
+
+
+@query("spoilt_flags")
+def q_spoilt_flags(spark, sf_dir):
+    """Lenient pump flag, pivot dummies and zero defaults on the spoilt variant."""
+    from campo.sources.fixtures import spoil
+    df = clean.onehot_fixed(spoil(readings(spark, sf_dir)))
+    df = df.withColumn("bomba", clean.pump_flag_lenient("estado_bomba"))
+    df = clean.fill_defaults(clean.nan_as_null(df), "zero")
+    return round_doubles(df.select("id_leitura", "id_pivo", "id_pivo_p1", "id_pivo_p2", "id_pivo_p3", "bomba",
+                                   "umidade", "temperatura", "ph", "n", "p", "k"))
+
+
 @query("predicted_vs_actual")
 def q_predicted_vs_actual(spark, sf_dir):
     """Hold-out points (real, predicted, residual) of an OLS model of the
@@ -471,12 +535,15 @@ def q_stream_ingest(spark, sf_dir):
     from campo.session import scratch_path
     from campo.sources.fixtures import readings_from_events
     from campo.streaming.ingest import ingest_stream
-    run = scratch_path(spark, f"stream_ingest-{uuid.uuid4().hex}")
+    from campo.sources.tables import create_table, read_table
+    name = f"fluxo_{uuid.uuid4().hex}"
+    run = scratch_path(spark, f"stream_ingest-{name}")
+    create_table(spark, name, path=f"{run}/table", by_lote=True)
     q = ingest_stream(readings_from_events(_events_stream(spark, sf_dir)),
-                      f"{run}/table", f"{run}/ckpt", log_path=f"{run}/log")
+                      name, f"{run}/ckpt", log_path=f"{run}/log")
     q.awaitTermination()
-    return spark.read.parquet(f"{run}/table").select(
-        "id_leitura", "id_pivo", ts_text("capturado_em").alias("capturado_em"), "batch_id")
+    return read_table(spark, name).select(
+        "id_leitura", "id_pivo", "umidade", ts_text("capturado_em").alias("capturado_em"))
 
 
 @query("stream_score")

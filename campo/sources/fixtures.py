@@ -68,5 +68,22 @@ def readings_from_events(events: DataFrame, dirty: bool = True) -> DataFrame:
     )
 
 
+def spoil(df: DataFrame) -> DataFrame:
+    """Readings with values outside every limit, missing and unknown pivots,
+    missing nutrients, NaN, and all spellings of the pump state."""
+    i = F.col(KEY)
+    null = lambda c: F.lit(None).cast(df.schema[c].dataType)
+    return df.withColumns({
+        "id_pivo": F.when(i % 31 == 0, null("id_pivo")).when(i % 37 == 0, F.lit("p9")).when(i % 41 == 0, F.lit(" P2 ")).otherwise(F.col("id_pivo")),
+        "umidade": F.when(i % 43 == 0, F.lit(101.5)).when(i % 47 == 0, F.lit(float("nan"))).otherwise(F.col("umidade")),
+        "temperatura": F.when(i % 53 == 0, F.lit(-11.0)).when(i % 59 == 0, null("temperatura")).otherwise(F.col("temperatura")),
+        "ph": F.when(i % 61 == 0, F.lit(14.5)).otherwise(F.col("ph")),
+        "n": F.when(i % 67 == 0, null("n")).when(i % 71 == 0, F.lit(201)).otherwise(F.col("n")),
+        "p": F.when(i % 73 == 0, null("p")).when(i % 79 == 0, F.lit(-1)).otherwise(F.col("p")),
+        "k": F.when(i % 83 == 0, null("k")).when(i % 103 == 0, F.lit(500)).otherwise(F.col("k")),
+        "estado_bomba": F.when(i % 11 == 0, F.lit("1")).when(i % 13 == 0, F.lit("true")).when(i % 17 == 0, F.lit(" Ligada")).otherwise(F.col("estado_bomba")),
+    })
+
+
 def readings(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     return readings_from_events(load_table(spark, sf_dir, "events"), dirty=dirty)
