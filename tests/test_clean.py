@@ -95,3 +95,17 @@ def test_restamp_and_text(spark):
     assert isinstance(r["capturado_em"], dt.datetime) and r["capturado_em"].year >= 2024
     assert r["capturado_em"].microsecond == 0
     assert (r["u"], r["l"], r["r"]) == ("ON", "on", 1.001)
+
+
+def test_onehot_has_no_limit(spark):
+    df = spark.range(1001).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("id_pivo"))
+    assert len(clean.onehot_observed(df).columns) == 1002
+    vec = clean.onehot_observed(df.union(spark.createDataFrame([(None,)], "id_pivo string")), sparse=True)
+    rows = {r["id_pivo"]: r["id_pivo_vec"] for r in vec.collect()}
+    assert rows["c7"].numNonzeros() == 1 and rows["c7"].size == 1001 and rows[None].numNonzeros() == 0
+
+
+def test_onehot_fixed_is_zero_for_null(spark):
+    df = spark.createDataFrame([(None,), ("p9",), (" P1 ",)], "id_pivo string")
+    got = [tuple(r)[1:] for r in clean.onehot_fixed(df).collect()]
+    assert got == [(0, 0, 0), (0, 0, 0), (1, 0, 0)]

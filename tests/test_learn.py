@@ -69,14 +69,43 @@ def test_ridge_matches_closed_form(spark, small):
     assert np.allclose([p[0] for p in pred], X @ w + b, atol=1e-6)
 
 
-def test_forest_quality_band(spark):
-    df = prepare(readings(spark, SF_MID), noise=True)
-    model, m = learn.fit_evaluate(df, "volume_irrigacao", "random_forest",
-                                  {"numTrees": 20, "maxDepth": 8})
-    assert m["r2"] > 0.8
+def test_forest_reaches_the_quality_limit(spark):
+    from campo.plans.queries import DEMO_FOREST
+    df = learn.assign_split(prepare(readings(spark, SF_MID), noise=True))
+    model, m = learn.fit_evaluate(df, "rendimento", "random_forest", DEMO_FOREST)
+    doc = {"targets": {"rendimento": {"test_metrics": {k: m[k] for k in ("mae", "mse", "rmse", "r2")}, "feature_columns": []}}}
+    assert learn.quality_gate(doc, n_targets=1) == []
     imp = learn.importances(spark, model).collect()
     assert abs(sum(r["importancia"] for r in imp) - 1.0) < 1e-9
-    assert imp[0]["feature"] in ("umidade", "temperatura")
+
+
+def test_forest_does_not_depend_on_partitions(spark, small):
+    params = {"numTrees": 5, "maxDepth": 4}
+    a = learn.fit_evaluate(small.repartition(3), "volume_irrigacao", "random_forest", params)[1]
+    b = learn.fit_evaluate(small.repartition(5), "volume_irrigacao", "random_forest", params)[1]
+    assert a["r2"] == pytest.approx(b["r2"], abs=1e-12)
+
+
+def test_selection_never_takes_an_undefined_score():
+    nan, low = learn.CandidateResult("ridge", {}, float("nan")), learn.CandidateResult("ridge", {}, -3.0)
+    assert max([nan, low], key=learn._score_of) is low and max([low, nan], key=learn._score_of) is low
+
+
+def test_score_keeps_columns_and_pivotless_rows(spark, small):
+    models = {"ph": learn.fit_evaluate(small, "ph", "linear_regression")[0]}
+    no_pivot = small.withColumn("id_pivo", F.lit(None).cast("string"))
+    out = learn.score(no_pivot, models, digits=3)
+    assert [(f.name, f.dataType) for f in out.schema.fields][:len(small.columns)] == [(f.name, f.dataType) for f in small.schema.fields]
+    rows = out.where(F.col("hora").isNotNull()).select("pred_ph").collect()
+    assert rows and all(r[0] is not None and r[0] == round(r[0], 3) for r in rows)
+
+
+def test_holdout_comparison(spark, small):
+    rows = learn.holdout_comparison(small, ["volume_irrigacao"], {
+        "linear_regression": {}, "ridge": {"alpha": 1.0}, "random_forest": {"numTrees": 3, "maxDepth": None}}).collect()
+    assert {r["modelo"] for r in rows} == set(learn.FAMILIES)
+    assert [r["r2"] for r in rows] == sorted((r["r2"] for r in rows), reverse=True)
+    assert '"maxDepth": 30' in next(r["parametros"] for r in rows if r["modelo"] == "random_forest")
 
 
 def test_train_target_and_documents(spark, small):

@@ -149,3 +149,10 @@ def test_first_available_prefers_table(spark, tmp):
     df, label = files.load_first_available(spark, [("table", name), ("csv", p)])
     assert label == f"table:{name}" and df.count() == 2 and "id_leitura" in df.columns
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_damaged_model_is_an_error(spark, tmp):
+    os.makedirs(os.path.join(tmp, "modelo_ph", "metadata"))
+    with pytest.raises(Exception):
+        load_models(tmp)
+    assert load_models(os.path.join(tmp, "none"), required=False) == {}
