@@ -13,7 +13,7 @@ Texts with the same multiset are one node.  A bucket (equal band) compares all
 members with its least and greatest; both then leave it.  One minus weighted
 Jaccard is a metric, so a member within 0.2 of such a pivot can't be within 0.2
 of one that is farther than 0.4 from it: where no member lies in between, the
-pivot's near members leave as well.  A few members of a bucket's largest
+pivot's near members leave as well.  Some members of a bucket's largest
 component are then compared with the members of its other components.  What
 is left of buckets with several components is compared in blocks of ``BLOCK``
 members inside tasks, each pair in the first band it shares, and only links
@@ -42,7 +42,7 @@ from campo.llm.common import flagged, keep_rows, key_bitmap, stage, text_hash, t
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5     #: a pair at similarity 0.8 shares no band with probability 3e-6
-PIVOTS, TURNS = 3, 2    #: members of a bucket's largest component compared with the others, and how often
+TURNS = 3               #: how often a member of a bucket's largest component is compared with the others
 BLOCK = 512             #: members of a bucket that meet in a task
 SLACK = 0.2             #: a pair whose estimate is lower than the threshold by this is not verified
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -252,18 +252,17 @@ def link_components(prints: DataFrame, docs: DataFrame, threshold: float = THRES
     for turn in range(TURNS + 1):
         labelled = left.join(labels, F.col("bag") == F.col("node"), "left").select("key", "bag", F.coalesce("label", "bag").alias("label"))
         labelled = stage(labelled, "near-left")
-        parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        open_ = parts.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
-        open_ = stage(open_.where("parts > 1").select(F.col("key").alias("of"), F.col("top.label").alias("main"), "size",
-                                                      F.col("top.n").alias("mains")), "near-open")
+        # the least hash picks the same member in all buckets that hold about the same ones
+        parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(
+            F.xxhash64("bag", F.lit(turn)).alias("hash"), "bag"))["bag"].alias("least"))
+        open_ = parts.groupBy("key").agg(F.max(F.struct("n", "label", "least")).alias("top"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
+        open_ = stage(open_.where("parts > 1").select(F.col("key").alias("of"), F.col("top.least").alias("pivot"), "size"), "near-open")
         if not open_.limit(1).count():
             return labels
         rest = labelled.join(open_, F.col("key") == F.col("of")).drop("of")
         if turn == TURNS:
             return components(in_blocks(rest, nodes, shingles, threshold), labels)
-        # some of the largest component, by a hash that is the same in all buckets
-        pivot = (F.col("label") == F.col("main")) & (F.pmod(F.xxhash64("bag", F.lit(turn)), F.col("mains")) < PIVOTS)
-        rest = stage(rest.withColumn("pivot", pivot), "near-rest")
+        rest = stage(rest.withColumn("pivot", F.col("bag") == F.col("pivot")), "near-rest")
         chosen = rest.where("pivot").select(F.col("key").alias("of"), F.col("bag").alias("p"), F.col("label").alias("p_label"))
         candidates = rest.join(chosen, (F.col("key") == F.col("of")) & (F.col("label") != F.col("p_label"))).select(
             *ordered("p", "bag")).distinct()
