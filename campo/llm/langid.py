@@ -175,14 +175,15 @@ def train(docs: DataFrame, vocabulary_path: str, per_language: int = SAMPLE_PER_
     """Fit on documents with a lang; about ``per_language`` of each, chosen by
     a hash of doc_id."""
     spark = docs.sparkSession
-    known = docs.where(docs["lang"].isNotNull())
-    sizes = known.groupBy(F.col("lang").cast("string").alias("l")).agg(F.count(F.lit(1)).alias("n"))
+    known = docs.select(docs["doc_id"].alias("doc_id"), docs["lang"].cast("string").alias("lang"), text_of(docs).alias("text"))
+    known = known.where("lang is not null")
+    sizes = known.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"))
     languages = sorted(r["l"] for r in sizes.collect())  # one row a language
     if not languages:
         return None
     chance = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(F.broadcast(sizes), known["lang"].cast("string") == F.col("l")).where(chance * F.col("n") < per_language)
-    sample = sample.select("l", F.lower(text_of(docs)).alias("text"))
+    sample = known.join(F.broadcast(sizes), F.col("lang") == F.col("l")).where(chance * F.col("n") < per_language)
+    sample = sample.select("l", F.lower("text").alias("text"))
 
     def count(batches):
         for part, block in slices(batches):

@@ -115,8 +115,8 @@ def encoded(docs: DataFrame, words: Words) -> DataFrame:
             yield pa.record_batch({
                 "row": part.column("row"), "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
                 "n_tokens": n.astype(np.int64) + 1, "known": np.bincount(text[known], minlength=block.n) + int(has_end[0]),
-                "log_all": np.bincount(text, value, block.n) + end_log,
-                "log_other": np.bincount(text, np.where(number == gru.OTHER, value, 0.0), block.n),
+                "log_all": np.bincount(text, value, block.n) + end_log,  # bincount of nothing has integers
+                "log_other": np.bincount(text, np.where(number == gru.OTHER, value, 0.0), block.n).astype(float),
                 "numbers": pa.array([number[a:b].tobytes() + ends for a, b in zip(cut, cut[1:])], pa.binary()),
                 "rare": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(rare)])[cut].astype(np.int32)),
                                                  pa.array(hashes[rare].view(np.int64)))})

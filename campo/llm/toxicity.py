@@ -116,8 +116,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
     order = F.xxhash64("doc_id", F.lit(11))
     picked = [known.where(F.col("label") == v).orderBy(order, "doc_id").limit(per_class) for v in (0, 1)]
     picked = picked[0].union(picked[1]).select(F.col("doc_id").alias("of"), F.col("label").cast("int").alias("label"))
-    return docs.join(F.broadcast(picked), docs["doc_id"] == F.col("of")).select(  # 2 * per_class narrow rows
-        text_of(docs).alias("text"), "label")
+    texts = docs.select(docs["doc_id"].alias("doc"), text_of(docs).alias("text"))
+    return texts.join(F.broadcast(picked), F.col("doc") == F.col("of")).select("text", "label")  # 2 * per_class narrow rows
 
 
 def mine(sample: DataFrame) -> Terms | None:
