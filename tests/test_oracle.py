@@ -16,8 +16,8 @@ NAMES = sorted(oracle_sql())
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("events", "lineitem"):
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
+    for f in os.listdir(SF_SMALL):
+        c.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, f)}')")
     return c
 
 
