@@ -10,15 +10,16 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def pooled(weights: np.ndarray, index: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Mean weight of each text's features (0 for a text without any)."""
-    total = np.bincount(np.repeat(np.arange(len(counts)), counts), weights[index], len(counts))
+def pooled(weights: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]], counts: np.ndarray) -> np.ndarray:
+    """Mean weight of each text's features (0 for a text without any);
+    ``parts``: feature numbers and their text numbers."""
+    total = sum((np.bincount(text, weights[index], len(counts)) for index, text in parts), np.zeros(len(counts)))
     return total / np.maximum(counts, 1)
 
 
 class Trainer:
-    """AdaGrad on log-loss.  A text has several groups of features, each with
-    its index range in ``weights``; a group adds ``gain`` times the mean of its
+    """AdaGrad on log-loss.  A text has several groups of features (see
+    :func:`pooled`), each with its index range in ``weights``; a group adds ``gain`` times the mean of its
     weights to the text's logit."""
 
     def __init__(self, size: int, gain: float = 6.0, rate: float = 0.15, decay: float = 1e-5):
@@ -26,12 +27,12 @@ class Trainer:
         self.bias, self.bias_seen = 0.0, 0.0
         self.gain, self.rate, self.decay = gain, rate, decay
 
-    def step(self, groups: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, weight: np.ndarray) -> None:
+    def step(self, groups: list[tuple[list, np.ndarray]], label: np.ndarray, weight: np.ndarray) -> None:
         z = self.bias + sum(self.gain * pooled(self.w, i, n) for i, n in groups)
         error = (sigmoid(z) - label) * weight / len(label)
-        for index, counts in groups:
-            each = np.repeat(error * self.gain / np.maximum(counts, 1), counts)
-            slope = np.bincount(index, each, len(self.w))
+        for parts, counts in groups:
+            each = error * self.gain / np.maximum(counts, 1)
+            slope = sum((np.bincount(index, each[text], len(self.w)) for index, text in parts), np.zeros(len(self.w)))
             hit = np.flatnonzero(slope)
             g = slope[hit] + self.decay * self.w[hit]
             self.seen[hit] += g * g

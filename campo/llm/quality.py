@@ -21,6 +21,7 @@ from campo.llm.linear import Trainer, platt, pooled, sigmoid
 
 BITS = 18                      #: features are hashed to 2 ** BITS weights a group
 SAMPLE_PER_CLASS = 5000        #: bound on the labelled texts the classifier is fitted on, for each class
+SLICE = 1 << 20                #: bytes of text whose features are held at once
 SHARES = 4                     #: tasks that fit a model each
 EPOCHS = 4
 KEEP_AT = 0.3                  #: calibrated probability of good quality at which a text is kept
@@ -30,41 +31,35 @@ SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 CHAR_GRAMS, WORD_GRAMS = (3, 4), (1, 2)
 
 
-def features(block: Block) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Feature numbers and counts by text: character n-grams, then word n-grams."""
+def features(block: Block) -> list[tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]]:
+    """Character n-grams, then word n-grams: feature numbers with their text
+    numbers, and how many a text has."""
     codes = np.frombuffer(block.data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64)
-    lead = (block.data & 0xC0) != 0x80
-    at = np.concatenate([[0], np.cumsum(lead)])[block.offsets]
-    size = np.diff(at)
-    index, counts = [], np.zeros(block.n, np.int64)
-    text = per_text(size)
+    lead = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
+    size = np.diff(lead[block.offsets])
+    text = per_text(size).astype(np.int32)
+    chars, n_chars = [], np.zeros(block.n, np.int64)
     for n in CHAR_GRAMS:
         if len(codes) < n:
             continue
-        rolled = np.zeros(len(codes) - n + 1, np.uint64)
-        for k in range(n):
-            rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + codes[k:len(codes) - n + 1 + k]
-        rolled = (rolled * np.uint64(0xD6E8FEB86659FD93 + 2 * n)) >> np.uint64(64 - BITS)
+        rolled = codes[:len(codes) - n + 1].copy()
+        for k in range(1, n):
+            rolled *= np.uint64(0x9E3779B97F4A7C15)
+            rolled += codes[k:len(codes) - n + 1 + k]
+        rolled *= np.uint64(0xD6E8FEB86659FD93 + 2 * n)
+        rolled >>= np.uint64(64 - BITS)
         ok = text[:len(rolled)] == text[n - 1:]
-        index.append((rolled[ok].astype(np.int64), text[:len(rolled)][ok]))
-        counts += np.maximum(size - n + 1, 0)
-    chars = _by_text(index, counts)
+        chars.append((rolled[ok].astype(np.int32), text[:len(rolled)][ok]))
+        n_chars += np.maximum(size - n + 1, 0)
     starts, ends, words = block.words()
     hashes = block.hashes(starts, ends)
-    index, counts = [], np.zeros(block.n, np.int64)
-    text = per_text(words)
+    grams, n_grams = [], np.zeros(block.n, np.int64)
+    text = per_text(words).astype(np.int32)
     for n in WORD_GRAMS:
         gram, first = windows(hashes, words, n)
-        index.append(((gram >> np.uint64(64 - BITS)).astype(np.int64) + (1 << BITS), text[first]))
-        counts += np.maximum(words - n + 1, 0)
-    return [chars, _by_text(index, counts)]
-
-
-def _by_text(parts, counts):
-    if not parts:
-        return np.empty(0, np.int64), counts
-    order = np.argsort(np.concatenate([t for _, t in parts]), kind="stable")
-    return np.concatenate([i for i, _ in parts])[order], counts
+        grams.append(((gram >> np.uint64(64 - BITS)).astype(np.int32) + np.int32(1 << BITS), text[first]))
+        n_grams += np.maximum(words - n + 1, 0)
+    return [(chars, n_chars), (grams, n_grams)]
 
 
 def base_counts(block: Block) -> dict[str, np.ndarray]:
@@ -127,7 +122,7 @@ def _fit_share(key, batch):
         weight = np.where(label > 0.5, len(label) / label.sum(), len(label) / (1 - label).sum()) / 2
         for _ in range(EPOCHS):
             done = 0
-            for part, block in slices(batch.to_batches(max_chunksize=32)):
+            for part, block in slices(batch.to_batches(max_chunksize=32), size=SLICE):
                 rows = slice(done, done + part.num_rows)
                 trainer.step(features(block), label[rows], weight[rows])
                 done += part.num_rows
@@ -146,8 +141,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
         one = known.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class)
         picked = one if picked is None else picked.union(one)
     picked = picked.select(F.col("doc_id").alias("_id"), F.col("label").cast("double").alias("label"))
-    sample = docs.join(F.broadcast(picked), docs["doc_id"] == F.col("_id")).select(
-        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"), "label",
+    texts = docs.select(docs["doc_id"].alias("_of"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
+    sample = texts.join(F.broadcast(picked), F.col("_of") == F.col("_id")).select(
+        "text", "label",
         F.xxhash64("_id", F.lit(1)).alias("order"))  # broadcast: 2 * per_class rows of 16 bytes
     sample = sample.withColumn("share", F.pmod(F.shiftright("order", 8), F.lit(SHARES)))
     sample = sample.withColumn("fit", F.pmod("order", F.lit(5)) > 0)
@@ -164,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def held(batches):
-        for part, block in slices(batches):
+        for part, block in slices(batches, size=SLICE):
             yield pa.record_batch({"z": shared.value.logits(block), "label": part.column("label")})
 
     rest = sample.where("not fit").select("text", "label").mapInArrow(held, "z double, label double").collect()
@@ -189,7 +185,7 @@ def annotate(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part, block in slices(batches):
+        for part, block in slices(batches, size=SLICE):
             counts, failed, quality, kept = _judge(block, shared.value)
             yield pa.record_batch({"doc_id": part.column("doc_id"), **{k: counts[k] for k in COUNTS},
                                    "base_failed": failed, "kept": kept, "quality": quality})
@@ -206,7 +202,7 @@ def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part, block in slices(batches):
+        for part, block in slices(batches, size=SLICE):
             yield part.filter(pa.array(_judge(block, shared.value)[3]))
 
     return docs.mapInArrow(run, docs.schema)
