@@ -460,8 +460,10 @@ def score(df: DataFrame, models: dict[str, PipelineModel], keep_features: bool =
     (M06)."""
     wanted = sorted({c for m in models.values() for c in m.stages[0].getInputCols()})
     encoded = onehot_fixed(df) if "id_pivo" in df.columns else df
-    inputs = align_features(encoded, wanted).select(
-        *[F.col(c).alias(f"_em_{c}") for c in df.columns], *[F.col(c).alias(f"_x_{c}") for c in wanted])
+    own = [F.col(c).alias(f"_em_{c}") for c in df.columns]
+    both = encoded.select(*own, *[c for c in wanted if c in encoded.columns])
+    inputs = align_features(both, wanted).select(
+        *[f"_em_{c}" for c in df.columns], *[F.col(c).alias(f"_x_{c}") for c in wanted])
     preds = []
     for t, m in models.items():
         feats = m.stages[0].getInputCols()
