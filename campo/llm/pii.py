@@ -4,14 +4,18 @@ Generators (regular expressions) propose overlapping spans of several kinds.
 Base kinds are settled by their format: an e-mail address, an IP address with
 parts up to 255, a card number that passes the Luhn test, a phone number of 9
 to 15 digits.  All candidates get format and context features; boosted trees
-learn, on a bounded sample, which of them are confirmed (a base span, or a
-token that its context or prefix gives away as a secret), and candidates of the
-other kinds are added where the trees' probability reaches a threshold that is
-calibrated for precision on the part of the sample that was not fitted.
+learn which of them are confirmed (a base span, or a token that its context or
+prefix gives away as a secret), on about ``SAMPLE`` distinct matches with
+context of each kind, so that a rare kind is learnt beside a frequent one.
+Candidates of the other kinds are added where the trees' probability reaches
+their kind's threshold, calibrated for precision on all candidates of the
+matches that are held back from fitting (a quarter of them, by hash).
 
 Offsets count code points, the end is exclusive.  Null text counts as empty and
-has no spans.  Added spans that touch a base span are left out.  Without
-candidates, or with candidates of one class only, nothing is added.
+has no spans.  Added spans that touch a base span are left out.  A kind without
+held candidates, and every kind where all candidates to fit are of one class,
+has no threshold: its confirmed candidates are added.  A kind whose held
+candidates reach the precision at no threshold adds nothing.
 
 The patterns take each run of characters once (possessive parts, and a start
 only at a run's start or where the last match ended), so that their time grows
@@ -22,7 +26,6 @@ patterns match.
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -32,8 +35,9 @@ from pyspark.sql import functions as F
 
 from campo.llm.common import stage, text_of
 
-SAMPLE = 20_000        #: bound on the candidates the trees are trained and calibrated on
+SAMPLE = 20_000        #: distinct matches with context of a kind the trees are trained on, about
 PRECISION = 0.97       #: of confirmed candidates above a kind's threshold
+NEVER = 2.0            #: threshold that no probability reaches
 BINS = 50
 BEFORE, AFTER = 24, 8  #: characters of context
 
@@ -122,27 +126,61 @@ def featured(each: DataFrame) -> DataFrame:
     return each.select("*", *[v.cast("double").alias(k) for k, v in features.items()], confirmed.cast("double").alias("label"))
 
 
-def train(features: DataFrame):
-    """Boosted trees and each kind's threshold; None without two classes."""
-    sample = features.orderBy(F.xxhash64("row", "kind", "start"), "row", "kind", "start").limit(SAMPLE)
-    sample = stage(sample.withColumn("fit", F.pmod(F.xxhash64("match", F.lit(3)), F.lit(4)) > 0), "pii-sample")
-    seen = {r["label"] for r in sample.where("fit").select("label").distinct().collect()}
+def _held() -> Column:
+    """Whether a match is held back from fitting, with all its candidates."""
+    return F.pmod(F.xxhash64("match", F.lit(3)), F.lit(4)) == 0
+
+
+def _by_kind(values: dict, otherwise: Column) -> Column:
+    return reduce(lambda c, kv: F.when(F.col("kind") == kv[0], kv[1]).otherwise(c), values.items(), otherwise)
+
+
+def sampled(each: DataFrame) -> DataFrame:
+    """About ``SAMPLE`` distinct matches with context of each kind, or all if
+    there are fewer, taken by hash out of the matches that are not held."""
+    fit = each.where(~_held())
+    example = F.xxhash64("kind", "match", "before", "after")
+    sizes = fit.groupBy("kind").agg(F.approx_count_distinct(example).alias("n")).collect()  # a row a kind
+    share = _by_kind({r["kind"]: F.lit(SAMPLE / max(r["n"], 1)) for r in sizes}, F.lit(1.0))
+    return fit.where(F.shiftrightunsigned(example, 11) * 2.0 ** -53 < share).select("kind", "match", "before", "after", "valid").distinct()
+
+
+def train(each: DataFrame):
+    """Boosted trees; None without two classes."""
+    sample = stage(featured(sampled(each)), "pii-sample")
+    seen = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(seen) < 2:
         return None
-    names = [c for c in features.columns if c.startswith("f_")]
+    names = [c for c in sample.columns if c.startswith("f_")]
     assemble = VectorAssembler(inputCols=names, outputCol="features")
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=12, maxDepth=4, seed=5).fit(assemble.transform(sample.where("fit")))
-    held = scored(sample.where("not fit"), (assemble, trees))
+    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=12, maxDepth=4, seed=5).fit(assemble.transform(sample))
+    return assemble, trees
+
+
+def thresholds(held: DataFrame) -> dict[str, float]:
+    """The threshold of each kind that has candidates in ``held`` (kind, p, label)."""
     bins = held.groupBy("kind", F.floor(F.col("p") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")).collect()
-    thresholds = {}
-    for kind in KINDS:
+    out = {}
+    for kind in {r["kind"] for r in bins}:
         n = good = 0
+        out[kind] = NEVER
         for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
             n, good = n + r["n"], good + r["good"]
             if good < PRECISION * n:
                 break
-            thresholds[kind] = r["bin"] / BINS
-    return (assemble, trees), thresholds
+            out[kind] = r["bin"] / BINS
+    return out
+
+
+def added(each: DataFrame) -> DataFrame:
+    """The candidates of the kinds not settled by format that are spans."""
+    model = train(each)
+    others = featured(each.where(~F.col("kind").isin(BASE)))
+    if not model:
+        return others.where("label = 1")
+    others = stage(scored(others, model).select("row", "kind", "start", "end", "p", "label", _held().alias("held")), "pii-scores")
+    limits = thresholds(others.where("held"))
+    return others.where(_by_kind({k: F.col("p") >= t for k, t in limits.items()}, F.col("label") == 1))
 
 
 def scored(features: DataFrame, model) -> DataFrame:
@@ -166,14 +204,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     rank = reduce(lambda c, k: c.when(F.col("kind") == k, KINDS.index(k)), KINDS[1:], F.when(F.col("kind") == KINDS[0], 0))
     span = F.struct("start", rank.alias("rank"), "kind", "end")
     chosen = each.where("valid").select("row", F.lit(True).alias("base"), span.alias("span"))
-    model = train(featured(each))
-    if model:
-        trees, thresholds = model
-        limit = reduce(add, [F.when(F.col("kind") == k, t).otherwise(0.0) for k, t in thresholds.items()], F.lit(0.0))
-        extra = [k for k in thresholds if k not in BASE]
-        if extra:
-            more = scored(featured(each.where(F.col("kind").isin(extra))), trees).where(F.col("p") >= limit)
-            chosen = chosen.union(more.select("row", F.lit(False).alias("base"), span.alias("span")))
+    chosen = chosen.union(added(each).select("row", F.lit(False).alias("base"), span.alias("span")))
     lists = chosen.groupBy(F.col("row").alias("of")).agg(
         F.array_sort(F.collect_list(F.when(F.col("base"), F.col("span")))).alias("base"),
         F.collect_list(F.when(~F.col("base"), F.col("span"))).alias("extra"))

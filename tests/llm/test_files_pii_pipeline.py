@@ -109,6 +109,28 @@ def test_personal_data_on_documents(spark, odd):
     assert pii.personal_data(odd).count() == odd.count()
 
 
+def test_rare_kind_is_added_whatever_the_number_of_others(spark, monkeypatch):
+    """Many numbers do not push a rare kind out of the sample or the result."""
+    monkeypatch.setattr(pii, "SAMPLE", 60)
+    texts = [f"it was {k % 90 + 10} of {k % 80 + 11} in {k}" for k in range(3000)] + ["joe (at) mail (dot) org"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    assert [got[k] for k in (3000, 3001, 3002)] == ["contact:0:23"] * 3
+    each = stage(pii.spans(pii.candidates(docs)), "test-pii")
+    sizes = {r["kind"]: r["count"] for r in pii.sampled(each).groupBy("kind").count().collect()}
+    assert set(sizes) <= {"card", "contact"} and 20 < sizes["card"] < 180
+
+
+def test_one_class_adds_confirmed_candidates(spark):
+    docs = spark.createDataFrame([(1, "joe (at) mail (dot) org"), (2, "ann [at] mail.org")], "doc_id long, text string")
+    assert sorted(r["spans"] for r in pii.personal_data(docs).collect()) == ["contact:0:17", "contact:0:23"]
+
+
+def test_thresholds_by_kind(spark):
+    held = spark.createDataFrame([("contact", 0.9, 1.0)] * 3 + [("secret", 0.99, 0.0), ("secret", 0.5, 1.0)], "kind string, p double, label double")
+    assert pii.thresholds(held) == {"contact": 0.9, "secret": pii.NEVER}
+
+
 def test_personal_data_is_native(spark):
     import io
     from contextlib import redirect_stdout
