@@ -4,9 +4,9 @@ gated recurrent model (see ``gru``), and under add-half unigram counts.
 Tokens are words (runs without ASCII white space, A-Z as a-z) and one end per
 document.  Words are known by a 64-bit hash.  Counts cover all training
 documents.  Frequent words (at most ``FREQUENT``, by a threshold on the count)
-are looked up in a broadcast table; all rarer ones are joined, so that no word
-is a hot key of the join.  The recurrent model knows the ``VOCABULARY`` most
-frequent words; any other word has the model's probability of "other" times
+and the model's are looked up in a broadcast table; all rarer ones are joined,
+so that no word is a hot key of the join.  The recurrent model knows the
+``VOCABULARY`` most frequent words, whatever the threshold; any other word has the model's probability of "other" times
 its add-half share of all other words, so scores are of the words themselves.
 
 The model is trained on all training documents in ``ROUNDS`` parts: each task
@@ -21,6 +21,7 @@ formula gives, and the model's that of an untrained model.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,9 @@ ROUNDS = 2
 RATE = 0.1
 TEXTS_AT_ONCE, TOKENS_AT_ONCE = 4096, 1 << 21
 CHUNK = 1024
+STEPS = 4096  #: levels a pass of the search for the least count
 END_HASH = np.uint64(hash_text("\n"))  # no word holds white space
+END = int(END_HASH.view(np.int64))
 
 
 def held_out(docs: DataFrame):
@@ -60,17 +63,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class Words:
-    """Frequent words by hash: count, and number in the model's vocabulary."""
-
-    def __init__(self, word: np.ndarray, count: np.ndarray):
-        by_count = np.lexsort((word, -count))
-        chosen = by_count[word[by_count] != END_HASH][:VOCABULARY]
-        number = np.full(len(word), gru.OTHER, np.uint16)
-        number[chosen] = 2 + np.arange(len(chosen))
-        number[word == END_HASH] = gru.END
+    """Words of the look-up table by hash: count, and number in the model's
+    vocabulary ``chosen`` (hashes by falling count, all in the table)."""
+
+    def __init__(self, word: np.ndarray, count: np.ndarray, chosen: np.ndarray):
         order = np.argsort(word)
-        self.word, self.count, self.number = word[order], count[order], number[order]
-        self.chosen = count[chosen]
+        self.word, self.count = word[order], count[order]
+        self.number = np.full(len(word), gru.OTHER, np.uint16)
+        at = np.searchsorted(self.word, chosen)
+        self.number[at] = 2 + np.arange(len(chosen))
+        self.number[self.word == END_HASH] = gru.END
+        self.chosen = self.count[at]
         self.ends = int(count[word == END_HASH].sum())
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,17 +83,45 @@ class Words:
         return at, self.word[at] == hashes
 
 
+def vocabulary(counts: DataFrame) -> list[int]:
+    """The ``VOCABULARY`` most frequent words, equal counts by hash."""
+    top = counts.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(VOCABULARY)
+    return [r["word"] for r in top.collect()]
+
+
+def least_count(counts: DataFrame) -> int:
+    """The least count that at most ``FREQUENT`` words reach: by powers of two,
+    then in ever smaller steps inside the power that crosses ``FREQUENT``."""
+    left, low, width = FREQUENT, 0, None
+    while width != 1:
+        if width is None:  # bits of the count, 64 rows at most
+            kind, inside = F.length(F.bin("c")), F.lit(True)
+        else:
+            step = max(1, width // STEPS)
+            kind, inside = F.expr(f"(c - {low}) div {step}"), (F.col("c") >= low) & (F.col("c") < low + width)
+        levels = counts.where(inside).groupBy(kind.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(levels, key=lambda r: -r["level"]):
+            if r["n"] > left:
+                break
+            left -= r["n"]
+        else:
+            return low  # all words, or all of this power
+        low, width = (1 << (r["level"] - 1), 1 << (r["level"] - 1)) if width is None else (low + r["level"] * step, step)
+    return low + 1
+
+
 def frequent(counts: DataFrame) -> Words:
-    """The words at or above the least count that ``FREQUENT`` words reach."""
-    levels = counts.groupBy(F.least("c", F.lit(20_000)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()  # 20,000 rows at most
-    least, total = 1 << 62, 0
-    for r in sorted(levels, key=lambda r: -r["c"]):
-        total += r["n"]
-        if total > FREQUENT:
-            break
-        least = r["c"]
-    rows = counts.where((F.col("c") >= least) | (F.col("word") == int(END_HASH.view(np.int64)))).toPandas()
-    return Words(rows["word"].to_numpy().view(np.uint64), rows["c"].to_numpy())
+    """The words at or above the least count that at most ``FREQUENT`` words
+    reach, and the model's vocabulary in any case.  Words that share the count
+    below are more than ``FREQUENT`` with those above, so none of them is a hot
+    key."""
+    chosen = vocabulary(counts)
+    rows = counts.where((F.col("c") >= least_count(counts)) | (F.col("word") == END)).toPandas()
+    if missing := sorted(set(chosen) - set(rows["word"].tolist())):
+        named = counts.sparkSession.createDataFrame([(w,) for w in missing], "word long")
+        rows = pd.concat([rows, counts.join(F.broadcast(named), "word", "left_semi").toPandas()])  # VOCABULARY rows at most
+    hashed = rows["word"].to_numpy(np.int64).view(np.uint64)
+    return Words(hashed, rows["c"].to_numpy(np.int64), np.array(chosen, np.int64).view(np.uint64))
 
 
 def encoded(docs: DataFrame, words: Words) -> DataFrame:

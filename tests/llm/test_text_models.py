@@ -156,6 +156,30 @@ def test_base_score(spark, odd, none, monkeypatch, frequent):
     assert lm.log_likelihood(none).collect() == []
 
 
+def word_table(spark, counts):
+    return spark.createDataFrame([(k, c) for k, c in enumerate(counts)] + [(lm.END, 7)], "word long, c long")
+
+
+@pytest.mark.parametrize("counts", [
+    [30_000 + k for k in range(300)],              # more than FREQUENT words above 20,000
+    [5] * 300,                                     # more than FREQUENT words at the highest count
+    [1 << 62, (1 << 40) + 1, 1 << 40] + [9] * 300, [3, 2, 1], [1 << k for k in range(60)], []])
+def test_vocabulary_and_threshold(spark, monkeypatch, counts):
+    monkeypatch.setattr(lm, "FREQUENT", 40)
+    monkeypatch.setattr(lm, "VOCABULARY", 10)
+    table = word_table(spark, counts)
+    ordered = sorted([*counts, 7], reverse=True)
+    least = lm.least_count(table)
+    assert sum(c >= least for c in ordered) <= 40
+    assert len(ordered) <= 40 or sum(c >= least - 1 for c in ordered) > 40
+    words = lm.frequent(table)
+    top = sorted(range(len(counts)), key=lambda k: (-counts[k], k))[:10]
+    assert words.chosen.tolist() == [counts[k] for k in top]
+    at, known = words.find(np.array(top, np.uint64))
+    assert known.all() and words.number[at].tolist() == list(range(2, 2 + len(top))) if top else True
+    assert words.ends == 7 and len(words.word) <= 51
+
+
 def test_model_beats_counts_on_held_out(spark):
     rows = lm.log_likelihood(table(spark, SF_MID, "documents")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
