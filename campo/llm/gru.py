@@ -4,16 +4,18 @@ through time, output softmax factored into classes.
 Documents run one after another in parallel lanes; the state is carried from
 window to window and starts anew with each document.  Word 0 stands for all
 words outside the vocabulary, word 1 for the end of a document; both are
-classes of their own, all other words are dealt to classes by frequency."""
+classes of their own, all other words are dealt by frequency to about as many
+classes as each has words."""
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 
 OTHER, END = 0, 1
-HIDDEN, PER_CLASS = 16, 32
+HIDDEN = 16
 TRAIN_LANES, TRAIN_WINDOW = 512, 16
 SCORE_LANES, SCORE_WINDOW = 512, 32
 _LOG10E = float(np.log10(np.e))
@@ -24,24 +26,29 @@ def initial(counts: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
     of OTHER, END and the vocabulary by falling frequency."""
     rng = np.random.default_rng(seed)
     k = len(counts)
-    classes = 2 + -(-(k - 2) // PER_CLASS)
+    classes = 2 + -(-(k - 2) // per_class(k))
     p = np.maximum(counts.astype(float), 0.5)
     of = class_of(k)
     mass = np.bincount(of, p, classes)
-    words = np.full((classes, PER_CLASS), -30.0)
+    words = np.full((classes, per_class(k)), -30.0)
     words[of, slot_of(k)] = np.log(p / mass[of])
     small = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
     return {"embed": small(k, HIDDEN), "wx": small(HIDDEN, 3 * HIDDEN), "wh": small(HIDDEN, 3 * HIDDEN),
             "b": np.zeros(3 * HIDDEN, np.float32), "u": small(HIDDEN, classes) * 0, "bu": np.log(mass / mass.sum()).astype(np.float32),
-            "o": np.zeros((classes, HIDDEN, PER_CLASS), np.float32), "bo": words.astype(np.float32)}
+            "o": np.zeros((classes, HIDDEN, per_class(k)), np.float32), "bo": words.astype(np.float32)}
+
+
+def per_class(k: int) -> int:
+    """Words of a class: about as many as there are classes."""
+    return max(1, math.ceil(math.sqrt(k - 2)))
 
 
 def class_of(k: int) -> np.ndarray:
-    return np.concatenate([[0, 1], 2 + np.arange(max(0, k - 2)) // PER_CLASS])[:k]
+    return np.concatenate([[0, 1], 2 + np.arange(max(0, k - 2)) // per_class(k)])[:k]
 
 
 def slot_of(k: int) -> np.ndarray:
-    return np.concatenate([[0, 0], np.arange(max(0, k - 2)) % PER_CLASS])[:k]
+    return np.concatenate([[0, 0], np.arange(max(0, k - 2)) % per_class(k)])[:k]
 
 
 def flatten(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -81,7 +88,10 @@ class Model:
     def _forward(self, h, inputs, fresh, keep):
         """Hidden states of a window (T x B x H), and what backpropagation needs."""
         w, n = self.w, HIDDEN
-        gx = (self.w["embed"] @ w["wx"] + w["b"])[inputs]
+        if len(w["embed"]) <= inputs.size:
+            gx = (w["embed"] @ w["wx"] + w["b"])[inputs]
+        else:
+            gx = w["embed"][inputs] @ w["wx"] + w["b"]
         steps, width = inputs.shape
         states = np.empty((steps, width, n), np.float32)
         saved = []
@@ -102,13 +112,15 @@ class Model:
         the gradients and returns that of the states."""
         w = self.w
         flat, goal = states.reshape(-1, HIDDEN), targets.ravel()
-        logits = flat @ w["u"] + w["bu"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(axis=1)
+        p = flat @ w["u"]
+        p += w["bu"]
+        p -= p.max(axis=1, keepdims=True)
         cls = self.cls[goal]
         at = np.arange(len(goal))
-        out = logits[at, cls] - np.log(total)
+        out = p[at, cls]
+        np.exp(p, out=p)
+        total = p @ np.ones(p.shape[1], np.float32)
+        out -= np.log(total)
         back = None
         if grads is not None:
             p /= total[:, None]
@@ -120,16 +132,19 @@ class Model:
         order = order[np.searchsorted(cls[order], 2):]  # OTHER and END are all of their class
         if len(order):
             cut = np.flatnonzero(np.diff(cls[order])) + 1
+            ones = np.ones(w["o"].shape[2], np.float32)
             for part in np.split(order, cut):
                 c = cls[part[0]]
                 x = flat[part]
-                inner = x @ w["o"][c] + w["bo"][c]
-                inner -= inner.max(axis=1, keepdims=True)
-                q = np.exp(inner)
-                s = q.sum(axis=1)
+                q = x @ w["o"][c]
+                q += w["bo"][c]
+                q -= q.max(axis=1, keepdims=True)
                 slot = self.slot[goal[part]]
-                row = np.arange(len(part))
-                out[part] += inner[row, slot] - np.log(s)
+                row = at[:len(part)]
+                got = q[row, slot]
+                np.exp(q, out=q)
+                s = q @ ones
+                out[part] += got - np.log(s)
                 if grads is not None:
                     q /= s[:, None]
                     q[row, slot] -= 1
@@ -208,7 +223,10 @@ class Model:
             grads["b"] += by_word.sum(axis=0)
             grads["embed"][kinds] += by_word @ w["wx"].T
             scale = np.float32(1.0 / max(1, inputs.size))
+            met = np.unique(self.cls[target[rows][:, live]])
+            touched = {"embed": kinds, "o": met, "bo": met}  # all other rows have no gradient
             for k in w:
-                g = np.clip(grads[k] * scale, -1, 1)
-                seen[k] += g * g
-                w[k] -= np.float32(rate) * g / np.sqrt(seen[k])
+                at = touched.get(k, slice(None))
+                g = np.clip(grads[k][at] * scale, -1, 1)
+                seen[k][at] += g * g
+                w[k][at] -= np.float32(rate) * g / np.sqrt(seen[k][at])

@@ -5,9 +5,11 @@ Tokens are words (runs without ASCII white space, A-Z as a-z) and one end per
 document.  Words are known by a 64-bit hash.  Counts cover all training
 documents.  Frequent words (at most ``FREQUENT``, by a threshold on the count)
 and the model's are looked up in a broadcast table; all rarer ones are joined,
-so that no word is a hot key of the join.  The recurrent model knows the
-``VOCABULARY`` most frequent words, whatever the threshold; any other word has the model's probability of "other" times
-its add-half share of all other words, so scores are of the words themselves.
+so that no word is a hot key of the join.  The recurrent model knows all words
+with at least ``LEAST`` occurrences and a share of 1 / ``SHARE`` of the training
+tokens, whatever the threshold; any other word has the model's probability of
+"other" times its add-half share of all other words, so scores are of the words
+themselves.
 
 The model is trained on all training documents in ``ROUNDS`` parts: each task
 trains the current model on its texts, and the tasks' weights are averaged by
@@ -21,7 +23,6 @@ formula gives, and the model's that of an untrained model.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from campo.llm.blocks import hash_text, per_text, slices
 from campo.llm.common import remainder, stage, text_of
 
 FREQUENT = 1 << 17
-VOCABULARY = 510
+LEAST, SHARE = 5, 65_000  #: occurrences, and one of so many tokens (16-bit numbers), that a word of the model has at least
 ROUNDS = 2
 RATE = 0.1
 TEXTS_AT_ONCE, TOKENS_AT_ONCE = 4096, 1 << 21
@@ -64,16 +65,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 class Words:
     """Words of the look-up table by hash: count, and number in the model's
-    vocabulary ``chosen`` (hashes by falling count, all in the table)."""
-
-    def __init__(self, word: np.ndarray, count: np.ndarray, chosen: np.ndarray):
+    vocabulary, which are those with at least ``learnt`` occurrences."""
+
+    def __init__(self, word: np.ndarray, count: np.ndarray, learnt: int):
+        by_count = np.lexsort((word, -count))
+        chosen = by_count[(word[by_count] != END_HASH) & (count[by_count] >= learnt)]
+        number = np.full(len(word), gru.OTHER, np.uint16)
+        number[chosen] = 2 + np.arange(len(chosen))
+        number[word == END_HASH] = gru.END
         order = np.argsort(word)
-        self.word, self.count = word[order], count[order]
-        self.number = np.full(len(word), gru.OTHER, np.uint16)
-        at = np.searchsorted(self.word, chosen)
-        self.number[at] = 2 + np.arange(len(chosen))
-        self.number[self.word == END_HASH] = gru.END
-        self.chosen = self.count[at]
+        self.word, self.count, self.number = word[order], count[order], number[order]
+        self.chosen = count[chosen]
         self.ends = int(count[word == END_HASH].sum())
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +85,6 @@ class Words:
         return at, self.word[at] == hashes
 
 
-def vocabulary(counts: DataFrame) -> list[int]:
-    """The ``VOCABULARY`` most frequent words, equal counts by hash."""
-    top = counts.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(VOCABULARY)
-    return [r["word"] for r in top.collect()]
-
-
 def least_count(counts: DataFrame) -> int:
     """The least count that at most ``FREQUENT`` words reach: by powers of two,
     then in ever smaller steps inside the power that crosses ``FREQUENT``."""
@@ -110,18 +106,14 @@ def least_count(counts: DataFrame) -> int:
     return low + 1
 
 
-def frequent(counts: DataFrame) -> Words:
+def frequent(counts: DataFrame, n: int) -> Words:
     """The words at or above the least count that at most ``FREQUENT`` words
     reach, and the model's vocabulary in any case.  Words that share the count
     below are more than ``FREQUENT`` with those above, so none of them is a hot
-    key."""
-    chosen = vocabulary(counts)
-    rows = counts.where((F.col("c") >= least_count(counts)) | (F.col("word") == END)).toPandas()
-    if missing := sorted(set(chosen) - set(rows["word"].tolist())):
-        named = counts.sparkSession.createDataFrame([(w,) for w in missing], "word long")
-        rows = pd.concat([rows, counts.join(F.broadcast(named), "word", "left_semi").toPandas()])  # VOCABULARY rows at most
-    hashed = rows["word"].to_numpy(np.int64).view(np.uint64)
-    return Words(hashed, rows["c"].to_numpy(np.int64), np.array(chosen, np.int64).view(np.uint64))
+    key.  ``n`` is the sum of all counts."""
+    learnt = max(LEAST, -(-n // SHARE))
+    rows = counts.where((F.col("c") >= min(least_count(counts), learnt)) | (F.col("word") == END)).toPandas()
+    return Words(rows["word"].to_numpy(np.int64).view(np.uint64), rows["c"].to_numpy(np.int64), learnt)
 
 
 def encoded(docs: DataFrame, words: Words) -> DataFrame:
@@ -223,7 +215,7 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
     train_tokens, base_score, score."""
     counts = stage(word_counts(docs.where(~held_out(docs))), "lm-counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    words = frequent(counts)
+    words = frequent(counts, n)
     rows = stage(encoded(docs, words), "lm-rows")
     others, kinds = n - words.ends - int(words.chosen.sum()), v - len(words.chosen) - (1 if words.ends else 0)
     shared = docs.sparkSession.sparkContext.broadcast(train(rows, words, others))

@@ -166,18 +166,30 @@ def word_table(spark, counts):
     [1 << 62, (1 << 40) + 1, 1 << 40] + [9] * 300, [3, 2, 1], [1 << k for k in range(60)], []])
 def test_vocabulary_and_threshold(spark, monkeypatch, counts):
     monkeypatch.setattr(lm, "FREQUENT", 40)
-    monkeypatch.setattr(lm, "VOCABULARY", 10)
     table = word_table(spark, counts)
     ordered = sorted([*counts, 7], reverse=True)
     least = lm.least_count(table)
     assert sum(c >= least for c in ordered) <= 40
     assert len(ordered) <= 40 or sum(c >= least - 1 for c in ordered) > 40
-    words = lm.frequent(table)
-    top = sorted(range(len(counts)), key=lambda k: (-counts[k], k))[:10]
+    n = sum(ordered)
+    words = lm.frequent(table, n)
+    top = sorted((k for k, c in enumerate(counts) if c >= 5 and c * 65_000 >= n), key=lambda k: (-counts[k], k))
     assert words.chosen.tolist() == [counts[k] for k in top]
     at, known = words.find(np.array(top, np.uint64))
-    assert known.all() and words.number[at].tolist() == list(range(2, 2 + len(top))) if top else True
-    assert words.ends == 7 and len(words.word) <= 51
+    assert known.all() and (not top or words.number[at].tolist() == list(range(2, 2 + len(top))))
+    assert words.ends == 7 and len(words.word) <= 41 + len(top)
+
+
+def test_vocabulary_grows_with_the_counts(spark):
+    """Words that occur often enough are all in the model, in about as many
+    classes as each has words."""
+    for kinds in (600, 6000):
+        words = lm.frequent(word_table(spark, [30] * kinds + [4] * 50), 30 * kinds + 207)
+        assert len(words.chosen) == kinds
+        weights = gru.initial(np.concatenate([[200, words.ends], words.chosen]))
+        classes, _, each = weights["o"].shape
+        assert abs(classes - 2 - kinds ** 0.5) < 2 and abs(each - kinds ** 0.5) < 2
+    assert len(lm.frequent(word_table(spark, [30] * 600), 65_000 * 30 + 1).chosen) == 0
 
 
 def test_model_beats_counts_on_held_out(spark):
