@@ -2,9 +2,11 @@
 
 The pieces are those of a fixed public vocabulary plus every single byte.  Each
 language has a probability for each piece; a word's probability is the sum over
-all ways to cut it into pieces, from a forward pass over its bytes.  The
-probabilities are fitted by expectation-maximisation (forward and backward
-passes) on the words of a bounded sample of each language's documents.  A
+all ways to cut it into pieces, from a forward pass over its bytes; the sums are
+carried on from block to block of a long run of letters.  The probabilities are
+fitted by expectation-maximisation (forward and backward passes) on the words
+of a bounded sample of each language's documents; there alone, a run of more
+than ``BLOCK`` bytes is taken in parts, cut between characters.  A
 document goes to the language under which its words are most probable, and its
 score is that language's posterior with equal priors.
 
@@ -25,8 +27,7 @@ from campo.llm.common import remainder, stage, text_of
 
 SAMPLE_PER_LANGUAGE = 400   #: documents of a language to learn from, about
 ROUNDS = 3                  #: EM rounds
-LONGEST = 10                #: bytes of a piece
-WORD_BYTES = 24             #: longer runs of letters are scored in parts
+BLOCK = 24                  #: bytes of a run of letters summed before the sums are scaled
 SMOOTHING = 0.02            #: expected count given to every piece
 KEPT_WORDS = 400_000        #: scored words a worker keeps
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -43,32 +44,38 @@ def vocabulary(path: str) -> list[bytes]:
             continue
         piece = model.id_to_piece(i).replace("▁", " ")
         raw = piece.lower().encode()
-        if len(raw) <= LONGEST and raw.strip() and all(LETTER_BYTE[b] for b in raw.lstrip()) and raw.count(b" ") <= 1:
+        if raw.strip() and all(LETTER_BYTE[b] for b in raw.lstrip()) and raw.count(b" ") <= 1:
             out.add(raw)
     return sorted(out)
 
 
-def _matrix(words: list[bytes] | tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Words with a leading space as rows of bytes, and their lengths."""
-    data, starts, ends = words
-    size = ends - starts
-    rows = np.zeros((len(starts), int(size.max(initial=0)) + 1), np.uint8)
-    rows[:, 0] = 32
-    at = np.arange(rows.shape[1] - 1)
-    inside = at < size[:, None]
-    rows[:, 1:][inside] = data[(starts[:, None] + at)[inside]]
-    return rows, size + 1
+def _window(data: np.ndarray, starts: np.ndarray, size: np.ndarray, begin: int, stop: int) -> np.ndarray:
+    """Bytes ``begin`` to ``stop`` of words with a leading space (``size``
+    bytes in all), one row a word."""
+    at = np.arange(begin, stop)
+    inside = (at > 0) & (at < size[:, None])
+    rows = np.where(at == 0, np.uint8(32), np.uint8(0)) * np.ones((len(starts), 1), np.uint8)
+    rows[inside] = data[(starts[:, None] + at - 1)[inside]]
+    return rows
+
+
+def _matrix(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Words as rows of bytes, and their lengths."""
+    size = np.array([len(w) for w in words])
+    rows = np.zeros((len(words), int(size.max(initial=0))), np.uint8)
+    rows[np.arange(rows.shape[1]) < size[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+    return rows, size
 
 
 class Lattice:
     """Piece numbers of all substrings of words: ``piece[k - 1][:, j]`` is that
     of the ``k`` bytes before position ``j``, or -1."""
 
-    def __init__(self, rows: np.ndarray, hashes: np.ndarray, numbers: np.ndarray):
+    def __init__(self, rows: np.ndarray, hashes: np.ndarray, numbers: np.ndarray, longest: int):
         n, width = rows.shape
         codes = mix64(rows.astype(np.uint64) + _STEP)
         self.piece, rolled = [], None
-        for k in range(1, min(LONGEST, width) + 1):
+        for k in range(1, min(longest, width) + 1):
             # hash of k bytes: that of k - 1 bytes, and one more
             last = codes[:, k - 1:]
             rolled = mix64(last) if rolled is None else mix64(rolled[:, :-1] * _STEP + last)
@@ -77,13 +84,15 @@ class Lattice:
             found[:, k:] = np.where(hashes[at] == rolled, numbers[at], -1)
             self.piece.append(found)
 
-    def forward(self, table: np.ndarray) -> np.ndarray:
+    def forward(self, table: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
         """Sums over segmentations up to each position; ``table`` has a row of
-        probabilities by language for each piece, and a last row of zeros."""
+        probabilities by language for each piece, and a last row of zeros.
+        ``start`` has the sums at the first positions (default: 1 at the first)."""
         n, width = self.piece[0].shape
         out = np.zeros((width, n, table.shape[1]))
-        out[0] = 1
-        for j in range(1, width):
+        first = 1 if start is None else len(start)
+        out[:first] = 1 if start is None else start
+        for j in range(first, width):
             for k in range(1, min(j, len(self.piece)) + 1):
                 number = self.piece[k - 1][:, j]
                 on = np.flatnonzero(number >= 0)
@@ -120,24 +129,41 @@ class Model:
     def __init__(self, languages: list[str], pieces: list[bytes], table: np.ndarray):
         self.languages, self.table = languages, table
         self.hashes, self.numbers = piece_hashes(pieces)
+        self.longest = max(map(len, pieces))
         self.known = np.empty(0, np.uint64)
         self.scores = np.empty((0, len(languages)))
 
     def word_scores(self, data, starts, ends) -> np.ndarray:
         """Log-probability of words by language."""
-        rows, size = _matrix((data, starts, ends))
+        size = ends - starts + 1
         out = np.empty((len(starts), len(self.languages)))
         order = np.argsort(size, kind="stable")
         for part in np.array_split(order, max(1, len(order) // 4000)):
             if len(part):
-                width = int(size[part].max())
-                ahead = Lattice(rows[part, :width], self.hashes, self.numbers).forward(self.table)
-                out[part] = np.log(ahead[size[part], np.arange(len(part))])
+                out[part] = self._sums(data, starts[part], size[part])
+        return out
+
+    def _sums(self, data, starts, size) -> np.ndarray:
+        """Log-probability of words, block by block: each block takes on the
+        sums at the last positions before it, scaled to 1 at its start."""
+        out = np.empty((len(starts), len(self.languages)))
+        scale, live, start, done = np.zeros_like(out), np.arange(len(starts)), None, 0
+        while len(live):
+            begin = done - (0 if start is None else len(start) - 1)
+            stop = min(done + BLOCK, int(size[live].max()))
+            rows = _window(data, starts[live], size[live], begin, stop)
+            ahead = Lattice(rows, self.hashes, self.numbers, self.longest).forward(self.table, start)
+            over = size[live] <= stop
+            at = np.flatnonzero(over)
+            out[live[at]] = scale[live[at]] + np.log(ahead[size[live[at]] - begin, at])
+            live, start, done = live[~over], ahead[-self.longest:, ~over], stop
+            scale[live] += np.log(start[-1])
+            start = start / start[-1]
         return out
 
     def text_scores(self, block) -> np.ndarray:
         """Log-probability of each text's words by language."""
-        starts, ends, words = _runs(block)
+        starts, ends, words = block.spans(LETTER_BYTE)
         hashes = block.hashes(starts, ends)
         kinds, first, place = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.known, kinds), max(0, len(self.known) - 1))
@@ -158,17 +184,19 @@ class Model:
         return np.stack([np.bincount(text, scores[place, k], block.n) for k in range(len(self.languages))], axis=1)
 
 
-def _runs(block):
-    """Runs of letters, long ones in parts of ``WORD_BYTES``."""
+def _parts(block):
+    """Runs of letters to fit on, long ones in parts of about ``BLOCK`` bytes
+    cut between characters: starts, ends, parts of each text, and whether a
+    part begins its run."""
     starts, ends, words = block.spans(LETTER_BYTE)
-    parts = -(-(ends - starts) // WORD_BYTES)
-    if (parts > 1).any():
-        text = np.repeat(np.repeat(np.arange(block.n), words), parts)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        starts, ends = np.repeat(starts, parts) + nth * WORD_BYTES, np.repeat(ends, parts)
-        ends = np.minimum(ends, starts + WORD_BYTES)
-        words = np.bincount(text, minlength=block.n)
-    return starts, ends, words
+    parts = -(-(ends - starts) // BLOCK)
+    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    text = np.repeat(np.repeat(np.arange(block.n), words), parts)
+    cut, last = np.repeat(starts, parts) + nth * BLOCK, np.repeat(ends, parts)
+    for _ in range(3):  # back to the first byte of a character
+        cut = cut - ((nth > 0) & (block.data[cut] & 0xC0 == 0x80))
+    until = np.where(np.append(nth[1:], 0) > 0, np.append(cut[1:], 0), last)
+    return cut, until, np.bincount(text, minlength=block.n), nth == 0
 
 
 def train(docs: DataFrame, vocabulary_path: str, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
@@ -187,18 +215,19 @@ def train(docs: DataFrame, vocabulary_path: str, per_language: int = SAMPLE_PER_
 
     def count(batches):
         for part, block in slices(batches):
-            starts, ends, words = _runs(block)
+            starts, ends, words, begins = _parts(block)
             code = np.array([languages.index(x) for x in part.column("l").to_pylist()], np.uint64)
             text = np.repeat(np.arange(block.n), words)
-            key = mix64(block.hashes(starts, ends) + code[text])
+            key = mix64(block.hashes(starts, ends) + 2 * code[text] + begins.astype(np.uint64))
             _, first, often = np.unique(key, return_index=True, return_counts=True)
             raw = block.data.tobytes()
-            yield pa.record_batch({"word": pa.array([raw[a:b] for a, b in zip(starts[first], ends[first])], pa.binary()),
+            yield pa.record_batch({"word": pa.array([b" " * bool(c) + raw[a:b] for a, b, c in zip(starts[first], ends[first], begins[first])], pa.binary()),
                                    "l": pa.array(code[text[first]].astype(np.int32)), "n": pa.array(often.astype(np.int64))})
 
     words = stage(sample.mapInArrow(count, "word binary, l int, n long").groupBy("word", "l").agg(F.sum("n").alias("n")), "lang-words")
     pieces = vocabulary(vocabulary_path)
     hashes, numbers = piece_hashes(pieces)
+    longest = max(map(len, pieces))
     table = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(np.vstack([table, np.zeros(len(languages))]))
@@ -209,10 +238,9 @@ def train(docs: DataFrame, vocabulary_path: str, per_language: int = SAMPLE_PER_
                 for at in range(0, batch.num_rows, 4000):
                     part = batch.slice(at, 4000)
                     raw = part.column("word").to_pylist()
-                    ends = np.cumsum([len(w) for w in raw])
-                    rows, size = _matrix((np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], ends[:-1]]), ends))
+                    rows, size = _matrix(raw)
                     lang, n = part.column("l").to_numpy(), part.column("n").to_numpy()
-                    net = Lattice(rows, hashes, numbers)
+                    net = Lattice(rows, hashes, numbers, longest)
                     own = np.arange(len(raw))
                     ahead, behind = net.forward(table)[:, own, lang], net.backward(table, size)[:, own, lang]
                     weight = n / ahead[size, own]

@@ -103,6 +103,41 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(got, np.log(brute(b" " + word)))
 
 
+def test_long_runs_and_pieces_are_summed_whole():
+    """Sums go over every cut of a run of any length, pieces of 25 bytes too."""
+    long = b"abcdefghijklmnopqrstuvwxy"
+    pieces = [bytes([b]) for b in range(256)] + [b"ab", b" ab", "é".encode(), long]
+    p = np.random.default_rng(1).random((len(pieces), 2)) * 1e-3
+    p[-1] = 0.5, 0.01
+    model = langid.Model(["x", "y"], pieces, np.vstack([p, np.zeros(2)]))
+    prob = dict(zip(pieces, p))
+
+    def direct(word):
+        out, scale = [np.ones(2)], np.zeros(2)
+        for j in range(1, len(word) + 1):
+            out.append(sum((out[-k] * prob[word[j - k:j]] for k in range(1, min(25, j) + 1) if word[j - k:j] in prob), np.zeros(2)))
+            scale += np.log(out[-1])
+            out = [o / out[-1] for o in out[-25:]]
+        return scale
+
+    for word in (b"ab" * 11 + b"a", b"x" * 23 + b"ab", b"ab" * 60, "é".encode() * 40, b"q" * 20 + long + b"z" * 9 + long, b"x" * 1000):
+        raw = np.frombuffer(word + b"ab", np.uint8)
+        got = model.word_scores(raw, np.array([0, len(word)]), np.array([len(word), len(word) + 2]))
+        assert np.allclose(got, [direct(b" " + word), direct(b" ab")])
+
+
+def test_language_vocabulary_and_parts(vocabularies):
+    import pyarrow as pa
+    assert max(map(len, langid.vocabulary(f"{vocabularies}/piece_bpe_32k.model"))) > 10
+    texts = ["日本語" * 20, "ab " + "x" * 60, "", "word"]
+    block = text_block(pa.array(texts))
+    starts, ends, parts, begins = langid._parts(block)
+    raw = block.data.tobytes()
+    each = [raw[a:b].decode() for a, b in zip(starts, ends)]
+    assert "".join(each) == "".join(texts).replace(" ", "") and begins.sum() == 4
+    assert parts.tolist() == [8, 4, 0, 1] and max(len(e.encode()) for e in each) <= 27
+
+
 def test_toxicity_held_out(spark):
     docs, labels = table(spark, SF_MID, "documents"), table(spark, SF_MID, "labels")
     rows = toxicity.scored(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").collect()
