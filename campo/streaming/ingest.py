@@ -3,7 +3,8 @@
 * ST1: ``readStream`` over a folder of CSV (or Parquet) files, at most
   ``max_files_per_trigger`` files per micro-batch.  CSV cells arrive as text and
   are checked like a quarantine load: bad rows go to a folder with their
-  reasons, valid ones to the catalog table, with a row key.
+  reasons, valid ones to the catalog table, with a row key.  Without a folder
+  a batch with a bad row fails before anything of it is written.
 * ST2: ``available_now=True`` runs a bounded catch-up and stops.
 * ST3: exactly-once into the table: a micro-batch overwrites its own ``lote``
   partition, so a batch replayed after a failure (its commit not yet in the
@@ -23,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from campo.operators.clean import parse_timestamp, restamp as _restamp
 from campo.schema import KEY, READINGS_RAW
-from campo.sources.files import MALFORMED, split_tagged, tag_readings
+from campo.sources.files import MALFORMED, StrictLoadError, split_tagged, tag_readings
 from campo.sources.tables import LOTE, create_table, replace_lote, with_row_key
 
 
@@ -67,6 +68,9 @@ def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: b
             valid, bad = split_tagged(tagged)
             if quarantine:
                 bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+            elif first := bad.first():
+                tagged.unpersist()
+                raise StrictLoadError(f"bad row in batch {batch_id} and no quarantine folder: {first}")
         valid = parse_timestamp(valid)
         if restamp:
             valid = _restamp(valid)

@@ -1,6 +1,8 @@
 import datetime
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from campo.operators.clean import parse_timestamp
@@ -98,3 +100,12 @@ def test_windowed_trend_stream(spark, tmp):
         "id_pivo", F.to_date("capturado_em")).distinct().count()
     # the last window per pivot stays open until the watermark passes it
     assert 0 < got <= days
+
+
+def test_bad_rows_without_a_quarantine_folder_fail(spark, tmp):
+    src, table = os.path.join(tmp, "in"), "leituras_sem_quarentena"
+    tables.create_table(spark, table, path=os.path.join(tmp, "table"), by_lote=True)
+    write_csv(src, "a.csv", HEADER, _lines(0) + ["p1,abc,25,6,70,60,60,ON,2024-01-01 10:00:00"])
+    with pytest.raises(StreamingQueryException, match="no quarantine folder"):
+        ingest_stream(arriving_readings(spark, src), table, os.path.join(tmp, "ck")).awaitTermination()
+    assert tables.count_rows(spark, table) == 0
