@@ -4,9 +4,9 @@ trained on the label model's posteriors.
 
 1. Terms (words, and word beginnings of 4, 5 and 6 bytes) that labelled toxic
    texts hold more often than labelled clean ones are mined from a bounded
-   sample of labelled rows, by the likelihood-ratio statistic.
-2. The terms are dealt to lexicons by kind and strength; each lexicon is a
-   voter, and so is each pattern (shouting, runs of marks, masked words).
+   sample of labelled rows, by the likelihood-ratio statistic alone.
+2. The terms are dealt to lexicons in turn, by falling strength; each lexicon
+   is a voter, and so is each pattern (shouting, runs of marks, masked words).
 3. The label model is a two-class mixture: each voter has its rate of votes
    among toxic and among clean texts, found by expectation-maximisation over
    the votes on *all* documents that may be learned from (labels only start
@@ -32,7 +32,6 @@ from campo.llm.common import remainder, stage, text_of
 from campo.llm.linear import sigmoid
 
 SAMPLE_PER_CLASS = 6000   #: bound on the labelled texts of a class
-MAX_TERMS = 4000          #: bound on the mined terms
 MIN_STATISTIC, MIN_TEXTS, MIN_LIFT = 20.0, 3, 4.0
 PREFIXES = (4, 5, 6)
 LEXICONS = 12
@@ -141,7 +140,7 @@ def mine(sample: DataFrame) -> Terms | None:
     part = lambda x, n: F.when(x > 0, x * F.log(x / (share * float(n)))).otherwise(0.0)
     strength = 2 * (part(a, n1) + part(b, n0))
     best = counts.where((a >= MIN_TEXTS) & (a / n1 >= MIN_LIFT * (b + 0.5) / n0)).withColumn("g", strength).where(F.col("g") >= MIN_STATISTIC)
-    best = best.orderBy(F.desc("g"), "term").limit(MAX_TERMS).collect()
+    best = sorted(best.select("term", "g").collect(), key=lambda r: (-r["g"], r["term"]))  # terms of a bounded sample
     hashes = np.array([r["term"] for r in best], np.int64).view(np.uint64)
     return Terms(hashes, np.arange(len(hashes)) % LEXICONS)
 

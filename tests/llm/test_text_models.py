@@ -155,6 +155,14 @@ def test_toxicity_on_odd_rows(spark, odd, none):
     assert all(r["score"] == 0 for r in toxicity.scored(odd, None).collect())
 
 
+def test_every_strong_term_is_kept(spark):
+    names = ["".join(chr(97 + k // 26 ** d % 26) for d in range(4)) + "xyzw" for k in range(1500)]
+    texts = [(" ".join(names), 1)] * 30 + [("a good day", 0)] * 30
+    terms = toxicity.mine(spark.createDataFrame(texts, "text string, label int"))
+    assert len(terms.hashes) == 4 * len(names)
+    assert np.bincount(terms.lexicon).tolist() == [500] * toxicity.LEXICONS
+
+
 def test_label_model_discounts_copies_of_a_voter(spark):
     """Two voters that always agree count less than two that don't."""
     rng = np.random.default_rng(2)
