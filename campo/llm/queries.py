@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from campo.llm import exact, langid, lm, mixing, near, packing, pii, quality, tokenfile, toxicity
+from campo.llm import codes, exact, langid, lexical, lm, mixing, near, packing, pii, quality, tokenfile, topk, toxicity
 from campo.llm.common import table
 from campo.session import scratch_path
 
@@ -69,6 +69,20 @@ def op10_lm_scoring(spark, sf_dir) -> DataFrame:
     return lm.log_likelihood(table(spark, sf_dir, "documents"))
 
 
+def op11_topk_search(spark, sf_dir) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors["vec_id"] % 20 == 0).select("query_id", "rank", "vec_id", "score")
+
+
+def op12_vector_codes(spark, sf_dir) -> DataFrame:
+    return codes.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark, sf_dir) -> DataFrame:
+    found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 def pipeline(spark, sf_dir) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -76,7 +90,8 @@ def pipeline(spark, sf_dir) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_language_id, op3_mixing, op4_toxicity, op5_packing, op6_quality, op7_near_dedup,
-    op8_token_files, op9_personal_data, op10_lm_scoring, pipeline)}
+    op8_token_files, op9_personal_data, op10_lm_scoring,
+    op11_topk_search, op12_vector_codes, op13_ranked_search, pipeline)}
 
 ORACLE = {
     "op1_exact_dedup": """
@@ -87,4 +102,7 @@ FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 WINDOW w AS (PARTITION BY norm)
 """,
     "op3_mixing": mixing.SQL,
+    "op11_topk_search": topk.SQL,
+    "op12_vector_codes": codes.SQL,
+    "op13_ranked_search": lexical.SQL,
 }
