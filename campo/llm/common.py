@@ -81,6 +81,16 @@ def running(df: DataFrame, group: list[str], order: str, ties: list[str], values
         *[(F.col(f"_in_{k}") + F.coalesce(F.col(f"_base_{k}"), F.lit(0))).cast("long").alias(k) for k in values])
 
 
+def least_hashes(df: DataFrame, key: str, total: int, n: int) -> DataFrame:
+    """The ``n`` rows of least hash of ``key``, of ``total`` rows.  Rows far
+    above the hash that is wanted are left out first, so that what tasks send
+    together is about twice the sample, not the sample from each."""
+    h = F.xxhash64(key)
+    if total > 4 * n:
+        df = df.where(h < F.lit(-(1 << 63) + (1 << 64) * 2 * n // total))
+    return df.orderBy(h, key).limit(n)
+
+
 def select_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``decisions`` (doc_id, text_hash, copies)
     name: each (doc_id, text_hash) comes out ``copies`` times in all, however

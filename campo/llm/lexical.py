@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campo.llm.blocks import Block, per_text, slices
-from campo.llm.common import stage, text_of
+from campo.llm.common import least_hashes, stage, text_of
 
 K = 20
 BATCH = 1 << 18             #: term occurrences of queries at a time, about
@@ -349,7 +349,7 @@ def _search_batch(docs: DataFrame, queries: Queries, k: int, doc_column: str, te
         return Sparse(term, impacts(often, n, n_docs, n_terms), start, root)
 
     held = counts.where(has)
-    rows = held.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("n", "terms", "often").collect()
+    rows = least_hashes(held, "row", n_held, SAMPLE).select("n", "terms", "often").collect()
     sample = sparse(pa.table({"n": pa.array([r["n"] for r in rows], pa.int64()), "terms": pa.array([bytes(r["terms"]) for r in rows], pa.binary()),
                               "often": pa.array([bytes(r["often"]) for r in rows], pa.binary())}))
     depth = 0

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campo.llm.common import stage
+from campo.llm.common import least_hashes, stage
 from campo.llm.vectors import doubles, integers, usable
 
 K, SCALE = 20, 64
@@ -289,7 +289,7 @@ def search(vectors: DataFrame, asked: Column, k: int = K, column: str = "embeddi
     depth = 0
     while (n >> (depth + 1)) >= SHARD and (min(n, SAMPLE) >> (depth + 1)) >= LEAST_CELL:
         depth += 1
-    rows = base.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("x").collect() if depth else []
+    rows = least_hashes(base, "row", n, SAMPLE).select("x").collect() if depth else []
     nodes = fit_order(integers(pa.array([r["x"] for r in rows], pa.list_(pa.float64())), scale, width).astype(np.float64), depth) if depth else []
 
     def put(batches):
