@@ -269,45 +269,16 @@ def shape(df: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, pairwise complete.
 
-    A first scan counts each column's values.  Columns without a missing value
-    share one deviation each, so that a pair of them needs its covariance only;
-    any other pair gets both deviations over its own rows.  A constant column
-    gives NULL (pandas gives NaN).  Long form (var_x, var_y, corr), both orders
-    and the diagonal.
+    One scan: each partition multiplies blocks of values, their squares and
+    their presence into one matrix of sums (:mod:`campo.operators.moments`).  A
+    constant column gives NULL (pandas gives NaN).  Long form (var_x, var_y,
+    corr), both orders and the diagonal.
     """
+    from campo.operators.moments import correlations, pair_sums
     cols = list(cols)
-    vals = _clean(df, cols)
-    have = vals.agg(F.count(F.lit(1)).alias("n"), *[F.count(f"c{i}").alias(f"n{i}") for i, _ in enumerate(cols)]).first()
-    full = [have[f"n{i}"] == have["n"] for i, _ in enumerate(cols)]
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        aggs.append(F.stddev_pop(f"c{i}").alias(f"s{i}"))
-        for j in range(i + 1, len(cols)):
-            x, y = F.col(f"c{i}"), F.col(f"c{j}")
-            aggs.append(F.covar_pop(x, y).alias(f"v{i}_{j}"))
-            if not (full[i] and full[j]):
-                aggs += [F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"x{i}_{j}"),
-                         F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"y{i}_{j}")]
-    sums = vals.agg(*aggs)
-    out = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols[i:], i):
-            if i == j:
-                out.append(F.when(F.col(f"s{i}") > 0, F.lit(1.0)))
-            elif full[i] and full[j]:
-                out.append(F.try_divide(F.col(f"v{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")))
-            else:
-                out.append(F.try_divide(F.col(f"v{i}_{j}"), F.col(f"x{i}_{j}") * F.col(f"y{i}_{j}")))
-            pairs.append((a, b))
-    wide = sums.select(*[c.alias(f"c{k}") for k, c in enumerate(out)])
-    items = []
-    for idx, (a, b) in enumerate(pairs):
-        items.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
-                              F.col(f"c{idx}").alias("corr")))
-        if a != b:
-            items.append(F.struct(F.lit(b).alias("var_x"), F.lit(a).alias("var_y"),
-                                  F.col(f"c{idx}").alias("corr")))
-    return wide.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+    corr = correlations(pair_sums(df, cols))
+    rows = [(a, b, corr[i][j]) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "var_x string, var_y string, corr double")
 
 
 # ---------------------------------------------------------------- A10, A11
@@ -338,30 +309,29 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def box_summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Quartiles, IQR, whiskers at the extreme inliers within 1.5 IQR and
-    the number of outliers, per column.
+    the number of outliers, per column with values.
 
-    Quartiles as in :func:`describe`; whiskers and outliers from one more
-    scan with partial aggregation."""
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], exact)
-    vc = _long(df, cols).withColumn("c", F.lit(1).cast("bigint"))
-    qw = (q.groupBy("coluna").agg(
-        F.max(F.when(F.col("q") == 0.25, F.col("valor"))).alias("q1"),
-        F.max(F.when(F.col("q") == 0.5, F.col("valor"))).alias("mediana"),
-        F.max(F.when(F.col("q") == 0.75, F.col("valor"))).alias("q3"))
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .withColumn("cerca_inf", F.col("q1") - F.lit(1.5) * F.col("iqr"))
-        .withColumn("cerca_sup", F.col("q3") + F.lit(1.5) * F.col("iqr")))
-    x = F.col("x")
-    inner = (x >= F.col("cerca_inf")) & (x <= F.col("cerca_sup"))
-    # qw has one row per column: a bounded broadcast
-    ext = (vc.join(F.broadcast(qw.select("coluna", "cerca_inf", "cerca_sup")), "coluna")
-           .groupBy("coluna").agg(F.min(F.when(inner, x)).alias("bigode_inf"),
-                                  F.max(F.when(inner, x)).alias("bigode_sup"),
-                                  F.coalesce(F.sum(F.when(~inner, F.col("c"))), F.lit(0))
-                                  .cast("bigint").alias("outliers")))
-    return (qw.join(ext, "coluna")
-            .select("coluna", "q1", "mediana", "q3", "iqr", "bigode_inf", "bigode_sup",
-                    "outliers"))
+    Quartiles as in :func:`describe`; the fences are then numbers, and whiskers
+    and outliers of all columns come from one aggregate over the columns."""
+    cols = list(cols)
+    found: dict[str, dict[float, float]] = {}
+    for r in quantiles(df, cols, [0.25, 0.5, 0.75], exact).collect():  # columns x 3 rows
+        found.setdefault(r["coluna"], {})[r["q"]] = r["valor"]
+    fences, aggs = {}, []
+    vals = _clean(df, cols)
+    for i, c in enumerate(cols):
+        if c not in found:
+            continue
+        q1, q3 = found[c][0.25], found[c][0.75]
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        fences[i] = (q1, found[c][0.5], q3)
+        x = F.col(f"c{i}")
+        inner = x.between(F.lit(low), F.lit(high))
+        aggs += [F.min(F.when(inner, x)).alias(f"a{i}"), F.max(F.when(inner, x)).alias(f"z{i}"), F.count(F.when(~inner, 1)).alias(f"o{i}")]
+    got = vals.agg(*aggs).first() if aggs else None
+    rows = [(cols[i], q1, q2, q3, q3 - q1, got[f"a{i}"], got[f"z{i}"], got[f"o{i}"]) for i, (q1, q2, q3) in fences.items()]
+    return df.sparkSession.createDataFrame(rows, "coluna string, q1 double, mediana double, q3 double, iqr double, bigode_inf double, "
+                                                 "bigode_sup double, outliers long")
 
 
 # ---------------------------------------------------------------- A13

@@ -408,6 +408,20 @@ pts AS (SELECT modelo, a, c, id_leitura, y, a * x + c AS yhat FROM tr, lines WHE
     o["one_feature_points"] = with_readings(
         f"SELECT id_leitura, {r6('y')} AS real, {r6('yhat')} AS previsto, {r6('y - yhat')} AS residuo FROM pts "
         "WHERE modelo = 'linear_regression'", f"{train}, {line}")
+    part = "CASE WHEN b < 80 THEN CAST(b % 5 AS INTEGER) ELSE -1 END AS parte"
+    pairs = " UNION ALL ".join(
+        f"SELECT parte, '{a}' AS var_x, '{b}' AS var_y, count(*) AS n, {r6(f'avg({a})')} AS media_x, {r6(f'covar_pop({a}, {b})')} AS cov "
+        "FROM mo GROUP BY parte" for a in Q.MOMENT_COLUMNS for b in Q.MOMENT_COLUMNS)
+    o["linear_moments"] = with_readings(
+        pairs, f"mo AS (SELECT {', '.join(Q.MOMENT_COLUMNS)}, {part} FROM (SELECT *, {bucket.replace('id_leitura', 'prepared.id_leitura')} AS b "
+        f"FROM prepared) WHERE {' AND '.join(f'{c} IS NOT NULL' for c in Q.MOMENT_COLUMNS)})")
+    o["cv_one_feature"] = with_readings(
+        f"SELECT alpha, {r6('avg(r2)')} AS cv_r2 FROM (SELECT alpha, f, 1 - sum((y - a * x - c) * (y - a * x - c)) / (var_pop(y) * count(*)) AS r2 "
+        "FROM fits JOIN tr ON tr.b < 80 AND tr.b % 5 = f GROUP BY alpha, f) GROUP BY alpha",
+        train + """,
+fits AS (SELECT alpha, f, sxy / (sxx + alpha) AS a, ym - sxy / (sxx + alpha) * xm AS c FROM (
+    SELECT f, avg(x) AS xm, avg(y) AS ym, regr_sxy(y, x) AS sxy, regr_sxx(y, x) AS sxx FROM tr, range(5) AS folds(f) WHERE b < 80 AND b % 5 <> f GROUP BY f),
+  (SELECT unnest([0.0, 0.1, 1.0, 10.0])::DOUBLE AS alpha))""")
     o["stream_ingest"] = with_readings(
         f"SELECT id_leitura, id_pivo, umidade, strftime(capturado_em, {TS}) AS capturado_em FROM feat")
     spoilt = """

@@ -374,10 +374,8 @@ def q_nutrient_argmax(spark, sf_dir):
 # One fit of the original's grid (200 and 400 trees, depth 12 and unlimited) took
 # over ten minutes on four busy cores at sf0.01; DEMO_FOREST took 43 s there and
 # reaches the original's quality limit (R² 0.768 > 0.7 for ``rendimento``).
-# ``cv_select`` makes 25 forest fits and searches a smaller one.  The grid itself
-# is ``learn.default_candidates()``.
+# The grids themselves are searched in ``cv_select`` and ``forest_grid``.
 DEMO_FOREST = {"numTrees": 40, "maxDepth": 12}
-SEARCH_FOREST = {"numTrees": 20, "maxDepth": 8}
 
 
 def _fit_all(spark, sf_dir, family, params):
@@ -421,14 +419,52 @@ def q_train_forest(spark, sf_dir):
 
 @query("cv_select")
 def q_cv_select(spark, sf_dir):
-    """Grid search with 5 hash folds and selection for every target; the
-    forest family uses one small configuration here (the full grid is
-    ``learn.default_candidates()``)."""
-    from campo.operators.learn import RIDGE_ALPHAS, metrics_frame, train_all
-    cands = {"linear_regression": [{}], "ridge": [{"alpha": a} for a in RIDGE_ALPHAS],
-             "random_forest": [SEARCH_FOREST]}
-    res = train_all(processed(spark, sf_dir, noise=True), candidates=cands, parallelism=5)
-    return metrics_frame(spark, res).drop("features")
+    """Grid search with 5 hash folds and selection for every target, over the
+    original's whole grids: least squares, three ridge penalties, forests of 200
+    and 400 trees of depth 12 and unlimited."""
+    from campo.operators.search import search
+    return search(processed(spark, sf_dir, noise=True)).drop("features")
+
+
+@query("forest_grid")
+def q_forest_grid(spark, sf_dir):
+    """The original's extended forest grid (three tree counts, depths and two
+    minimum splits) for the yield: fold R² and hold-out metrics."""
+    from campo.operators import forest
+    return forest.grid_scores(processed(spark, sf_dir, noise=True), ["rendimento"], forest.GRID_EXTENDED)
+
+
+MOMENT_COLUMNS = ["umidade", "temperatura", "volume_irrigacao"]
+
+
+@query("linear_moments")
+def q_linear_moments(spark, sf_dir):
+    """Counts, means and covariances by fold (-1: hold-out) that all linear
+    fits of the irrigation volume on two inputs come from."""
+    from campo.operators.learn import assign_split
+    from campo.operators.moments import moments
+    target, feats = MOMENT_COLUMNS[-1], MOMENT_COLUMNS[:-1]
+    m = moments(assign_split(processed(spark, sf_dir)), [target], {target: feats})[target]
+    rows = []
+    for fold, g in m.by_fold.items():
+        n = g[0, 0]
+        for i, a in enumerate(MOMENT_COLUMNS):
+            for j, b in enumerate(MOMENT_COLUMNS):
+                cov = g[i + 1, j + 1] / n - g[0, i + 1] * g[0, j + 1] / n ** 2
+                rows.append((fold, a, b, int(n), float(m.centre[i] + g[0, i + 1] / n), float(cov)))
+    return round_doubles(spark.createDataFrame(rows, "parte int, var_x string, var_y string, n long, media_x double, cov double"))
+
+
+@query("cv_one_feature")
+def q_cv_one_feature(spark, sf_dir):
+    """Mean fold R² of least squares and every ridge penalty, of the irrigation
+    volume on humidity."""
+    from campo.operators.learn import RIDGE_ALPHAS, assign_split
+    from campo.operators.moments import cross_validated, moments
+    t = "volume_irrigacao"
+    m = moments(assign_split(processed(spark, sf_dir)), [t], {t: ONE_FEATURE})[t]
+    rows = [(float(a), cross_validated(m, a)) for a in (0.0, *RIDGE_ALPHAS)]
+    return round_doubles(spark.createDataFrame(rows, "alpha double, cv_r2 double"))
 
 
 @query("score_multi")
