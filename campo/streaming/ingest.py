@@ -11,7 +11,8 @@
   checkpoint) replaces itself instead of duplicating rows.
 * ST4: optional arrival-time restamp.
 * ST5: per-batch counts with the running total go to a small log, one folder a
-  batch; a batch adds its rows to the total of the batch before it.
+  batch; a batch adds its rows to the total of the batch before it, and counts
+  the earlier batches in the table where that log is gone.
 """
 
 from __future__ import annotations
@@ -47,7 +48,9 @@ def arriving_readings(spark: SparkSession, source: str, schema: T.StructType = R
     return r.format(fmt).load(source)
 
 
-def _total_before(spark: SparkSession, log_path: str, batch_id: int) -> int:
+def _total_before(spark: SparkSession, log_path: str, batch_id: int, table: str) -> int:
+    """The running total of the batch before; where its log is gone, the rows
+    of the earlier batches in the table."""
     if batch_id == 0:
         return 0
     try:
@@ -55,8 +58,16 @@ def _total_before(spark: SparkSession, log_path: str, batch_id: int) -> int:
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return 0
-    return int(row["acumulado"]) if row else 0
+        row = None
+    if row is not None:
+        return int(row["acumulado"])
+    spark.catalog.refreshTable(table)
+    earlier = (F.col(LOTE) >= _lote(0)) & (F.col(LOTE) < _lote(batch_id))
+    return spark.table(table).where(earlier).count()
+
+
+def _lote(batch_id: int) -> str:
+    return f"fluxo-{batch_id:012d}"
 
 
 def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: bool):
@@ -74,15 +85,15 @@ def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: b
         valid = parse_timestamp(valid)
         if restamp:
             valid = _restamp(valid)
-        lote = f"fluxo-{batch_id:012d}"
-        keyed = valid if KEY in valid.columns else with_row_key(spark, valid, table, but=lote)
+        lote = _lote(batch_id)
+        keyed = valid if KEY in valid.columns else with_row_key(spark, valid, table)
         obs = Observation(f"lote_{batch_id}")
         replace_lote(spark, keyed.observe(obs, F.count(F.lit(1)).alias("n")), lote, table)
         n = int(obs.get.get("n", 0) or 0)
         if MALFORMED in batch.columns:
             tagged.unpersist()
         if log_path:
-            total = _total_before(spark, log_path, batch_id) + n
+            total = _total_before(spark, log_path, batch_id, table) + n
             spark.createDataFrame([(n, total)], "linhas long, acumulado long") \
                 .coalesce(1).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
     return write_batch

@@ -156,3 +156,81 @@ def test_damaged_model_is_an_error(spark, tmp):
     with pytest.raises(Exception):
         load_models(tmp)
     assert load_models(os.path.join(tmp, "none"), required=False) == {}
+
+
+def _names(spark, name):
+    return sorted(r[0] for r in spark.table(name).select("id_pivo").collect())
+
+
+def test_a_load_that_fails_leaves_the_old_rows(spark, tmp):
+    from campo.operators.clean import parse_timestamp
+    name = "sensores_troca"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = parse_timestamp(files.read_csv_strict(spark, write_csv(tmp, "a.csv", HEADER, GOOD)))
+    for by_lote in (False, True):
+        tables.create_table(spark, name, path=os.path.join(tmp, f"t{by_lote}"), by_lote=by_lote)
+        assert tables.ingest_once(spark, df, name) == 2
+        before = sorted(map(str, spark.table(name).collect()))
+        bad = df.union(df).withColumn("umidade", F.when(F.rand(1) >= 0, F.raise_error(F.lit("lost")).cast("double")))
+        with pytest.raises(Exception, match="lost"):
+            tables.ingest_once(spark, bad, name)
+        assert sorted(map(str, spark.table(name).collect())) == before
+        assert tables.ingest_once(spark, df.limit(1), name) == 1 and tables.count_rows(spark, name) == 1
+        assert tables.insert_rows(spark, df, name) == 2 and tables.count_rows(spark, name) == 3
+        assert tables.drop_versions(spark, name) >= 1 and tables.count_rows(spark, name) == 3
+        assert tables.ingest_once(spark, df.limit(0), name) == 0 and tables.count_rows(spark, name) == 0
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_count_that_does_not_hold_is_not_shown(spark, tmp, monkeypatch):
+    from campo.operators.clean import parse_timestamp
+    name = "sensores_conta"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = parse_timestamp(files.read_csv_strict(spark, write_csv(tmp, "a.csv", HEADER, GOOD)))
+    assert tables.ingest_once(spark, df, name) == 2
+
+    class Wrong(tables.Observation):
+        @property
+        def get(self):
+            return {"n": 3}
+    monkeypatch.setattr(tables, "Observation", Wrong)
+    with pytest.raises(tables.LoadError):
+        tables.ingest_once(spark, df, name)
+    monkeypatch.undo()
+    assert tables.count_rows(spark, name) == 2
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_writers_side_by_side_never_share_keys(spark, tmp):
+    """Four appends at once, none reads the table, and two that draw the same
+    block."""
+    from concurrent.futures import ThreadPoolExecutor
+    from campo.operators.clean import parse_timestamp
+    name = "sensores_lado"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.create_table(spark, name, path=os.path.join(tmp, "lado"), by_lote=True)
+    df = parse_timestamp(files.read_csv_strict(spark, write_csv(tmp, "a.csv", HEADER, GOOD * 50))).repartition(5)
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(lambda _: tables.insert_rows(spark, df, name), range(4))) == [100] * 4
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).select("id_leitura").distinct().count() == tables.count_rows(spark, name) == 400
+    draws = iter([7, 7, 9])
+    assert tables.reserve_blocks(spark, name, 1, lambda n: next(draws)) == [8]
+    assert tables.reserve_blocks(spark, name, 1, lambda n: next(draws)) == [10]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_an_append_does_not_read_the_table(spark, tmp):
+    """The table's files may even be gone."""
+    from campo.operators.clean import parse_timestamp
+    name, path = "sensores_cega", os.path.join(tmp, "cega")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    tables.create_table(spark, name, path=path)
+    df = parse_timestamp(files.read_csv_strict(spark, write_csv(tmp, "a.csv", HEADER, GOOD)))
+    assert tables.insert_rows(spark, df, name) == 2
+    for f in os.listdir(path):
+        if f.endswith(".parquet"):
+            with open(os.path.join(path, f), "wb") as broken:
+                broken.write(b"not parquet")
+    assert tables.insert_rows(spark, df, name) == 2
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -109,3 +109,19 @@ def test_bad_rows_without_a_quarantine_folder_fail(spark, tmp):
     with pytest.raises(StreamingQueryException, match="no quarantine folder"):
         ingest_stream(arriving_readings(spark, src), table, os.path.join(tmp, "ck")).awaitTermination()
     assert tables.count_rows(spark, table) == 0
+
+
+def test_total_survives_a_lost_log(spark, tmp):
+    src, table, log = os.path.join(tmp, "in"), "leituras_log", os.path.join(tmp, "log")
+    tables.create_table(spark, table, path=os.path.join(tmp, "table"), by_lote=True)
+    assert tables.insert_rows(spark, spark.createDataFrame([], "id_pivo string"
+        ", umidade double, temperatura double, ph double, n int, p int, k int, estado_bomba string, capturado_em timestamp_ntz"), table) == 0
+    for i in range(2):
+        write_csv(src, f"lote_{i}.csv", HEADER, _lines(i))
+    run = lambda: ingest_stream(arriving_readings(spark, src), table, os.path.join(tmp, "ck"), log_path=log).awaitTermination()
+    run()
+    os.rename(os.path.join(log, "batch_id=1"), os.path.join(tmp, "lost"))
+    write_csv(src, "lote_2.csv", HEADER, _lines(2))
+    run()
+    assert [(r["batch_id"], r["acumulado"]) for r in batch_counts(spark, log).orderBy("batch_id").collect()] == [(0, 5), (2, 15)]
+    assert spark.table(table).select("id_leitura").distinct().count() == 15
