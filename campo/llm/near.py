@@ -43,6 +43,7 @@ from campo.llm.common import flagged, keep_rows, key_bitmap, stage, text_hash, t
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5     #: a pair at similarity 0.8 shares no band with probability 3e-6
 TURNS = 3               #: how often a member of a bucket's largest component is compared with the others
+SLICE = 1 << 20         #: bytes of text signed at a time
 BLOCK = 512             #: members of a bucket that meet in a task
 SLACK = 0.2             #: a pair whose estimate is lower than the threshold by this is not verified
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -121,7 +122,7 @@ def prints_of(docs: DataFrame) -> DataFrame:
     """One row a document: row, doc_id, text_hash, bag (hash of its multiset
     of shingles, null without words), its bands and its sketch."""
     def sign(batches):
-        for part, block in slices(batches):
+        for part, block in slices(batches, size=SLICE):
             text, grams, weight = bags(block)
             registers = signatures(text, grams, weight, block.n)
             bands, bytes_ = band_hashes(registers), sketches(registers)
@@ -145,7 +146,7 @@ def shingle_rows(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Multisets of the nodes (bag, text_hash): bag and its sorted shingles
     and multiplicities."""
     def pick(batches):
-        for part, block in slices(batches):
+        for part, block in slices(batches, size=SLICE):
             text, grams, weight = bags(block)
             cut = np.searchsorted(text, np.arange(block.n + 1))
             yield pa.record_batch({"bag": part.column("bag"), "shingles": pa.array(
