@@ -62,11 +62,12 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def encode_block(ids: np.ndarray) -> bytes:
     """Dictionary, control bytes and data bytes of a block of ids."""
-    kinds, place, often = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((kinds, -often))
-    rank = np.empty(len(kinds), np.uint32)
-    rank[order] = np.arange(len(kinds))
-    control, data = encode_values(rank[place])
+    counts = np.bincount(ids)  # ids are numbers of a vocabulary
+    kinds = np.flatnonzero(counts)
+    order = np.lexsort((kinds, -counts[kinds]))
+    rank = np.zeros(len(counts), np.uint32)
+    rank[kinds[order]] = np.arange(len(kinds))
+    control, data = encode_values(rank[ids])
     return struct.pack("<III", len(kinds), len(ids), len(control)) + kinds[order].astype("<u4").tobytes() + control + data
 
 
