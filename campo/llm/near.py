@@ -118,6 +118,20 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
+def _give_back() -> None:
+    """Return a worker's free memory to the system: workers live on, idle, while
+    the joins that follow need the executor's memory."""
+    import ctypes
+
+    from campo.llm import blocks
+    blocks._powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def prints_of(docs: DataFrame) -> DataFrame:
     """One row a document: row, doc_id, text_hash, bag (hash of its multiset
     of shingles, null without words), its bands and its sketch."""
@@ -134,6 +148,7 @@ def prints_of(docs: DataFrame) -> DataFrame:
                 "bag": pa.array(mix64(sums).view(np.int64), mask=empty),
                 "bands": pa.ListArray.from_arrays(pa.array(np.arange(block.n + 1, dtype=np.int32) * BANDS), _long(bands.ravel())),
                 "sketch": pa.array([b.tobytes() for b in bytes_], pa.binary())})
+        _give_back()
 
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            T.StructField("text_hash", T.LongType()), T.StructField("bag", T.LongType()),
