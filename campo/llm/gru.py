@@ -2,10 +2,11 @@
 through time, output softmax factored into classes.
 
 Documents run one after another in parallel lanes; the state is carried from
-window to window and starts anew with each document.  Word 0 stands for all
-words outside the vocabulary, word 1 for the end of a document; both are
-classes of their own, all other words are dealt by frequency to about as many
-classes as each has words."""
+window to window and starts anew with each document.  Windows are cut from the
+texts as they are reached, so memory follows the words held and not the longest
+text.  Word 0 stands for all words outside the vocabulary, word 1 for the end of
+a document; both are classes of their own.  All other words are cut by falling
+frequency into classes, small ones of frequent words and large ones of rare."""
 
 from __future__ import annotations
 
@@ -15,49 +16,54 @@ import math
 import numpy as np
 
 OTHER, END = 0, 1
+STARTS = "starts"  #: key of the classes' first words among the weights
 HIDDEN = 16
 TRAIN_LANES, TRAIN_WINDOW = 512, 16
 SCORE_LANES, SCORE_WINDOW = 512, 32
 _LOG10E = float(np.log10(np.e))
 
 
+def class_starts(counts: np.ndarray) -> np.ndarray:
+    """First word of each class, and the number of words at the end.
+
+    A class of s words with a share p of the tokens costs one output of every
+    token, and s of its own tokens; the sum is least with s near 1 / sqrt(p of
+    one word).  OTHER and END are classes of one word."""
+    p = np.maximum(counts[2:].astype(float), 0.5)
+    depth = np.cumsum(np.sqrt(p / p.sum())) if len(p) else np.empty(0)
+    # class c holds the words whose running sum of sqrt(p) falls into [c, c + 1)
+    cut = np.flatnonzero(np.diff(np.floor(depth).astype(np.int64), prepend=-1)) if len(p) else np.empty(0, np.int64)
+    return np.concatenate([[0, 1], 2 + cut, [2 + len(p)] if len(p) else [2]]).astype(np.int64)
+
+
 def initial(counts: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
     """Weights whose outputs are the words' relative frequencies; ``counts``
-    of OTHER, END and the vocabulary by falling frequency."""
+    of OTHER, END and the vocabulary by falling frequency.  ``starts`` are the
+    classes' first words, which training leaves as they are."""
     rng = np.random.default_rng(seed)
     k = len(counts)
-    classes = 2 + -(-(k - 2) // per_class(k))
+    starts = class_starts(counts)
     p = np.maximum(counts.astype(float), 0.5)
-    of = class_of(k)
-    mass = np.bincount(of, p, classes)
-    words = np.full((classes, per_class(k)), -30.0)
-    words[of, slot_of(k)] = np.log(p / mass[of])
+    of = class_of(starts)
+    mass = np.bincount(of, p, len(starts) - 1)
     small = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
     return {"embed": small(k, HIDDEN), "wx": small(HIDDEN, 3 * HIDDEN), "wh": small(HIDDEN, 3 * HIDDEN),
-            "b": np.zeros(3 * HIDDEN, np.float32), "u": small(HIDDEN, classes) * 0, "bu": np.log(mass / mass.sum()).astype(np.float32),
-            "o": np.zeros((classes, HIDDEN, per_class(k)), np.float32), "bo": words.astype(np.float32)}
-
-
-def per_class(k: int) -> int:
-    """Words of a class: about as many as there are classes."""
-    return max(1, math.ceil(math.sqrt(k - 2)))
-
-
-def class_of(k: int) -> np.ndarray:
-    return np.concatenate([[0, 1], 2 + np.arange(max(0, k - 2)) // per_class(k)])[:k]
+            "b": np.zeros(3 * HIDDEN, np.float32), "u": small(HIDDEN, len(mass)) * 0, "bu": np.log(mass / mass.sum()).astype(np.float32),
+            "o": np.zeros((k, HIDDEN), np.float32), "bo": np.log(p / mass[of]).astype(np.float32), STARTS: starts}
 
 
-def slot_of(k: int) -> np.ndarray:
-    return np.concatenate([[0, 0], np.arange(max(0, k - 2)) % per_class(k)])[:k]
+def class_of(starts: np.ndarray) -> np.ndarray:
+    """Class of each word."""
+    return np.repeat(np.arange(len(starts) - 1), np.diff(starts))
 
 
 def flatten(w: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([w[k].ravel() for k in sorted(w)])
+    return np.concatenate([w[k].ravel() for k in sorted(w) if k != STARTS])
 
 
 def unflatten(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k in sorted(like):
+    out, at = {STARTS: like[STARTS]}, 0
+    for k in sorted(like.keys() - {STARTS}):
         out[k] = flat[at:at + like[k].size].reshape(like[k].shape).astype(np.float32)
         at += like[k].size
     return out
@@ -81,9 +87,9 @@ def _sigmoid(x):
 
 class Model:
     def __init__(self, weights: dict[str, np.ndarray]):
-        self.w = {k: v.copy() for k, v in weights.items()}
-        k = len(self.w["embed"])
-        self.cls, self.slot = class_of(k), slot_of(k)
+        self.w = {k: v.copy() for k, v in weights.items() if k != STARTS}
+        self.starts = weights[STARTS]
+        self.cls = class_of(self.starts)
 
     def _forward(self, h, inputs, fresh, keep):
         """Hidden states of a window (T x B x H), and what backpropagation needs."""
@@ -128,82 +134,82 @@ class Model:
             grads["u"] += flat.T @ p
             grads["bu"] += p.sum(axis=0)
             back = p @ w["u"].T
-        order = np.argsort(cls, kind="stable")
-        order = order[np.searchsorted(cls[order], 2):]  # OTHER and END are all of their class
-        if len(order):
-            cut = np.flatnonzero(np.diff(cls[order])) + 1
-            ones = np.ones(w["o"].shape[2], np.float32)
-            for part in np.split(order, cut):
-                c = cls[part[0]]
-                x = flat[part]
-                q = x @ w["o"][c]
-                q += w["bo"][c]
-                q -= q.max(axis=1, keepdims=True)
-                slot = self.slot[goal[part]]
-                row = at[:len(part)]
-                got = q[row, slot]
-                np.exp(q, out=q)
-                s = q @ ones
-                out[part] += got - np.log(s)
-                if grads is not None:
-                    q /= s[:, None]
-                    q[row, slot] -= 1
-                    grads["o"][c] += x.T @ q
-                    grads["bo"][c] += q.sum(axis=0)
-                    back[part] += q @ w["o"][c].T
+        order = np.argsort(cls.astype(np.uint16), kind="stable")  # a radix sort
+        ends = np.cumsum(np.bincount(cls, minlength=len(self.starts) - 1))
+        for c in range(2, len(ends)):  # OTHER and END are all of their class
+            part = order[ends[c - 1]:ends[c]]
+            begin, end = self.starts[c], self.starts[c + 1]
+            if not len(part) or end - begin == 1:
+                continue
+            x, o = flat[part], w["o"][begin:end]
+            q = x @ o.T
+            q += w["bo"][begin:end]
+            q -= q.max(axis=1, keepdims=True)
+            slot, row = goal[part] - begin, at[:len(part)]
+            got = q[row, slot]
+            np.exp(q, out=q)
+            s = q @ np.ones(end - begin, np.float32)
+            out[part] += got - np.log(s)
+            if grads is not None:
+                q /= s[:, None]
+                q[row, slot] -= 1
+                grads["o"][begin:end] += q.T @ x
+                grads["bo"][begin:end] += q.sum(axis=0)
+                back[part] += q @ o
         return out.reshape(targets.shape), back
 
-    def _grid(self, texts: list[np.ndarray], width: int):
-        """Targets, text numbers (-1: none) and starts, steps x lanes."""
+    def _windows(self, texts: list[np.ndarray], width: int, steps: int):
+        """Windows of ``steps`` words of every lane that goes on: which lanes of
+        the window before, targets, words read, starts of texts, text numbers
+        (-1: none)."""
         sizes = np.array([len(t) for t in texts])
         dealt = lanes(sizes, width)
-        height = max(int(sizes[d].sum()) for d in dealt)
-        target = np.full((height, len(dealt)), END, np.int64)
-        of = np.full((height, len(dealt)), -1, np.int64)
-        fresh = np.zeros((height, len(dealt)), bool)
-        for i, d in enumerate(dealt):
-            target[:sizes[d].sum(), i] = np.concatenate([texts[t] for t in d])
-            of[:sizes[d].sum(), i] = np.repeat(d, sizes[d])
-            fresh[np.cumsum(sizes[d]) - sizes[d], i] = True
-        # each step reads the word before; a text starts after an end
-        read = np.vstack([np.full((1, len(dealt)), END), target[:-1]])
-        read[fresh] = END
-        return target, read, of, fresh
+        order = np.concatenate(dealt).astype(np.int64)
+        words = np.concatenate([texts[t] for t in order])
+        of = np.repeat(order.astype(np.int32), sizes[order])
+        fresh = np.zeros(len(words), bool)
+        fresh[np.cumsum(sizes[order]) - sizes[order]] = True
+        stop = np.cumsum([sizes[d].sum() for d in dealt])
+        at = np.concatenate([[0], stop[:-1]])
+        while len(at):
+            cell = at + np.arange(steps)[:, None]
+            off = cell >= stop
+            cell = np.minimum(cell, stop - 1)
+            target = words[cell].astype(np.int64)
+            begins = fresh[cell] & ~off
+            # each step reads the word before; a text starts after an end
+            read = np.where(begins | off, END, words[cell - 1]).astype(np.int64)
+            target[off] = END
+            text = np.where(off, -1, of[cell])
+            going = at + steps < stop  # a lane that has ended stays so
+            yield target, read, begins, text, going
+            at, stop = (at + steps)[going], stop[going]
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each text's words."""
-        target, read, of, fresh = self._grid(texts, SCORE_LANES)
         out = np.zeros(len(texts))
-        h = np.zeros((target.shape[1], HIDDEN), np.float32)
-        live = np.arange(target.shape[1])
-        for a in range(0, len(target), SCORE_WINDOW):
-            rows = slice(a, a + SCORE_WINDOW)
-            going = of[a][live] >= 0  # a lane that has ended stays so
-            live, h = live[going], h[going]
-            h, states, _ = self._forward(h, read[rows][:, live], fresh[rows][:, live], False)
-            got, _ = self._outputs(states, target[rows][:, live])
-            text = of[rows][:, live]
+        h = None
+        for target, read, begins, text, going in self._windows(texts, SCORE_LANES, SCORE_WINDOW):
+            h = np.zeros((target.shape[1], HIDDEN), np.float32) if h is None else h
+            h, states, _ = self._forward(h, read, begins, False)
+            got, _ = self._outputs(states, target)
             on = text >= 0
             out += np.bincount(text[on], got[on], len(texts))
+            h = h[going]
         return out * _LOG10E
 
     def train(self, texts: list[np.ndarray], seen: dict[str, np.ndarray], rate: float) -> None:
         """One pass of truncated backpropagation with AdaGrad."""
-        target, read, of, fresh = self._grid(texts, TRAIN_LANES)
         w, n = self.w, HIDDEN
-        h = np.zeros((target.shape[1], HIDDEN), np.float32)
-        live = np.arange(target.shape[1])
-        for a in range(0, len(target), TRAIN_WINDOW):
-            rows = slice(a, a + TRAIN_WINDOW)
-            going = of[a][live] >= 0
-            live, h = live[going], h[going]
-            inputs, begins = read[rows][:, live], fresh[rows][:, live]
+        h = None
+        for target, inputs, begins, _, going in self._windows(texts, TRAIN_LANES, TRAIN_WINDOW):
+            h = np.zeros((target.shape[1], HIDDEN), np.float32) if h is None else h
             h, states, saved = self._forward(h, inputs, begins, True)
             grads = {k: np.zeros_like(v) for k, v in w.items()}
-            _, back = self._outputs(states, target[rows][:, live], grads)
+            _, back = self._outputs(states, target, grads)
             back = back.reshape(states.shape)
             dgx = np.empty((*inputs.shape, 3 * n), np.float32)
-            dh = np.zeros_like(h)
+            dh, h = np.zeros_like(h), h[going]
             for t in range(len(inputs) - 1, -1, -1):
                 before, z, r, c, ghc = saved[t]
                 d = back[t] + dh
@@ -223,10 +229,8 @@ class Model:
             grads["b"] += by_word.sum(axis=0)
             grads["embed"][kinds] += by_word @ w["wx"].T
             scale = np.float32(1.0 / max(1, inputs.size))
-            met = np.unique(self.cls[target[rows][:, live]])
-            touched = {"embed": kinds, "o": met, "bo": met}  # all other rows have no gradient
             for k in w:
-                at = touched.get(k, slice(None))
+                at = kinds if k == "embed" else slice(None)  # other words' rows have no gradient
                 g = np.clip(grads[k][at] * scale, -1, 1)
                 seen[k][at] += g * g
                 w[k][at] -= np.float32(rate) * g / np.sqrt(seen[k][at])

@@ -160,18 +160,20 @@ def rare_sums(rows: DataFrame, counts: DataFrame) -> DataFrame:
         F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_log"), F.count("c").alias("rare_known"))
 
 
-def _groups(batches, names):
-    """Texts as arrays of word numbers, some thousands at a time."""
+def _groups(batches):
+    """Rows some thousands at a time, as slices of the batches, with their
+    texts as arrays of word numbers."""
     held, texts, size = [], [], 0
     for batch in batches:
-        values = batch.column("numbers").to_pylist()
-        for r, v in enumerate(values):
-            texts.append(np.frombuffer(v, "<u2").astype(np.int64))
-            held.append([batch.column(n)[r] for n in names])
-            size += len(v) // 2
+        begin = 0
+        for r, v in enumerate(batch.column("numbers")):
+            texts.append(np.frombuffer(v.as_buffer(), "<u2"))
+            size += len(texts[-1])
             if len(texts) >= TEXTS_AT_ONCE or size >= TOKENS_AT_ONCE:
-                yield held, texts
-                held, texts, size = [], [], 0
+                yield [*held, batch.slice(begin, r + 1 - begin)], texts
+                held, texts, size, begin = [], [], 0, r + 1
+        if begin < batch.num_rows:
+            held.append(batch.slice(begin))
     if texts:
         yield held, texts
 
@@ -192,7 +194,7 @@ def train(rows: DataFrame, words: Words, other: int) -> gru.Model:
         def fit(batches):
             model, tokens = gru.Model(shared.value), 0
             seen = {name: np.full_like(v, 1e-6) for name, v in model.w.items()}
-            for _, texts in _groups(batches, []):
+            for _, texts in _groups(batches):
                 model.train(texts, seen, RATE)
                 tokens += sum(map(len, texts))
             if tokens:
@@ -221,13 +223,17 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(train(rows, words, others))
     rare = rare_sums(rows, counts)
 
-    def score(batches):
-        for held, texts in _groups(batches, ["row"]):
-            yield pa.record_batch({"scored": pa.array([h[0].as_py() for h in held], pa.int64()), "model": shared.value.score(texts),
-                                   "others": pa.array([int((t == gru.OTHER).sum()) for t in texts], pa.int64())})
+    narrow = [f for f in rows.schema.fields if f.name not in ("numbers", "rare")]
 
-    model = rows.select("row", "numbers").mapInArrow(score, "scored long, model double, others long")
-    out = rows.drop("numbers", "rare").join(model, F.col("row") == F.col("scored")).join(rare, F.col("row") == F.col("of"), "left")
+    def score(batches):
+        for held, texts in _groups(batches):
+            part = pa.Table.from_batches(held).select([f.name for f in narrow])
+            part = part.append_column("model", pa.array(shared.value.score(texts)))
+            part = part.append_column("others", pa.array([int((t == gru.OTHER).sum()) for t in texts], pa.int64()))
+            yield from part.to_batches()
+
+    schema = T.StructType([*narrow, T.StructField("model", T.DoubleType()), T.StructField("others", T.LongType())])
+    out = rows.drop("rare").mapInArrow(score, schema).join(rare, F.col("row") == F.col("of"), "left")
     rare_log = F.coalesce("rare_log", F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),

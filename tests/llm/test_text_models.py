@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -230,8 +231,9 @@ def test_vocabulary_grows_with_the_counts(spark):
         words = lm.frequent(word_table(spark, [30] * kinds + [4] * 50), 30 * kinds + 207)
         assert len(words.chosen) == kinds
         weights = gru.initial(np.concatenate([[200, words.ends], words.chosen]))
-        classes, _, each = weights["o"].shape
-        assert abs(classes - 2 - kinds ** 0.5) < 2 and abs(each - kinds ** 0.5) < 2
+        each = np.diff(weights[gru.STARTS])
+        assert each.sum() == kinds + 2 == len(weights["o"])
+        assert abs(len(each) - 2 - kinds ** 0.5) < 2 and abs(each.max() - kinds ** 0.5) < 2
     assert len(lm.frequent(word_table(spark, [30] * 600), 65_000 * 30 + 1).chosen) == 0
 
 
@@ -240,6 +242,31 @@ def test_model_beats_counts_on_held_out(spark):
     assert rows[0] > rows[1]
 
 
+def test_classes_of_frequent_words_are_small():
+    counts = np.concatenate([[500, 90], 1_000_000 // np.arange(1, 3001)])
+    starts = gru.class_starts(counts)
+    each = np.diff(starts)
+    assert starts[0] == 0 and starts[-1] == len(counts) and (each > 0).all() and each[:2].tolist() == [1, 1]
+    assert each[2:12].max() < each[-10:].min()
+    # outputs worked out a token: all classes, and the words of its own
+    cost = len(each) + (counts[2:] * np.repeat(each, each)[2:]).sum() / counts[2:].sum()
+    assert cost < 0.75 * 2 * len(counts) ** 0.5
+    assert gru.class_starts(np.array([5, 3])).tolist() == [0, 1, 2]
+
+
+def test_memory_does_not_follow_the_longest_text():
+    """One text of a million words beside 2,000 short ones."""
+    rng = np.random.default_rng(1)
+    texts = [np.append(rng.integers(0, 300, n), gru.END).astype(np.uint16) for n in [1_000_000] + [40] * 2000]
+    model = gru.Model(gru.initial(np.arange(300, 0, -1)))
+    tracemalloc.start()
+    got = model.score(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and np.isfinite(got).all() and got[0] < got[1:].min()
+    assert np.allclose(got[1:6], [model.score([t])[0] for t in texts[1:6]], rtol=1e-4)
+
+
 def test_gru_gradients_and_lanes():
     rng = np.random.default_rng(0)
     counts = rng.integers(1, 50, 70)
