@@ -158,10 +158,10 @@ class Model:
                 back[part] += q @ o
         return out.reshape(targets.shape), back
 
-    def _windows(self, texts: list[np.ndarray], width: int, steps: int):
-        """Windows of ``steps`` words of every lane that goes on: which lanes of
-        the window before, targets, words read, starts of texts, text numbers
-        (-1: none)."""
+    def _windows(self, texts: list[np.ndarray], width: int, steps: int, cells: int = 0):
+        """Windows of ``steps`` words of every lane that goes on, longer ones of
+        ``cells`` words in all where few lanes do: targets, words read, starts of
+        texts, text numbers (-1: none), and the lanes that go on after it."""
         sizes = np.array([len(t) for t in texts])
         dealt = lanes(sizes, width)
         order = np.concatenate(dealt).astype(np.int64)
@@ -172,7 +172,8 @@ class Model:
         stop = np.cumsum([sizes[d].sum() for d in dealt])
         at = np.concatenate([[0], stop[:-1]])
         while len(at):
-            cell = at + np.arange(steps)[:, None]
+            size = max(steps, min(cells // len(at), int((stop - at).max())))
+            cell = at + np.arange(size)[:, None]
             off = cell >= stop
             cell = np.minimum(cell, stop - 1)
             target = words[cell].astype(np.int64)
@@ -181,15 +182,15 @@ class Model:
             read = np.where(begins | off, END, words[cell - 1]).astype(np.int64)
             target[off] = END
             text = np.where(off, -1, of[cell])
-            going = at + steps < stop  # a lane that has ended stays so
+            going = at + size < stop  # a lane that has ended stays so
             yield target, read, begins, text, going
-            at, stop = (at + steps)[going], stop[going]
+            at, stop = (at + size)[going], stop[going]
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each text's words."""
         out = np.zeros(len(texts))
         h = None
-        for target, read, begins, text, going in self._windows(texts, SCORE_LANES, SCORE_WINDOW):
+        for target, read, begins, text, going in self._windows(texts, SCORE_LANES, SCORE_WINDOW, SCORE_LANES * SCORE_WINDOW):
             h = np.zeros((target.shape[1], HIDDEN), np.float32) if h is None else h
             h, states, _ = self._forward(h, read, begins, False)
             got, _ = self._outputs(states, target)

@@ -255,11 +255,16 @@ def test_classes_of_frequent_words_are_small():
 
 
 def test_memory_does_not_follow_the_longest_text():
-    """One text of a million words beside 2,000 short ones."""
+    """One very long text beside 2,000 short ones: a million words cut into
+    windows, 100,000 scored."""
     rng = np.random.default_rng(1)
     texts = [np.append(rng.integers(0, 300, n), gru.END).astype(np.uint16) for n in [1_000_000] + [40] * 2000]
     model = gru.Model(gru.initial(np.arange(300, 0, -1)))
     tracemalloc.start()
+    met = sum(int((text >= 0).sum()) for _, _, _, text, _ in model._windows(texts, 512, 32))
+    assert met == sum(map(len, texts)) and tracemalloc.get_traced_memory()[1] < 100 << 20
+    texts[0] = texts[0][-100_000:]
+    tracemalloc.reset_peak()
     got = model.score(texts)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
