@@ -407,3 +407,40 @@ def scatter_points(df: DataFrame, x: str = "umidade", y: str = "temperatura",
         from campo.functions import hash_bucket
         out = out.where(hash_bucket(key, 1_000_000, seed) < int(fraction * 1_000_000))
     return out
+
+
+def density_cells(df: DataFrame, x: str = "umidade", y: str = "temperatura",
+                  color: str = "estado_bomba", bins: int = 50) -> DataFrame:
+    """A17, large-data form: points per cell of a ``bins`` x ``bins`` grid over
+    the observed ranges, and per colour.  At most ``bins``² rows a colour come
+    back whatever the table.  A row without ``x`` or ``y`` is no point; a range
+    of one value is cell 0.  Two scans: the ranges, then the counts (combined in
+    every task before the shuffle)."""
+    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double")))
+    lo_x, hi_x, lo_y, hi_y = points.agg(F.min(x).cast("double"), F.max(x).cast("double"),
+                                        F.min(y).cast("double"), F.max(y).cast("double")).first()
+
+    def cell(c, lo, hi):
+        if lo is None or hi == lo:
+            return F.lit(0)
+        at = (F.col(c).cast("double") - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))
+        return F.least(F.floor(at), F.lit(bins - 1)).cast("int")
+
+    return (points.groupBy(F.col(color).alias("cor"), cell(x, lo_x, hi_x).alias("celula_x"), cell(y, lo_y, hi_y).alias("celula_y"))
+            .agg(F.count(F.lit(1)).alias("pontos")))
+
+
+def series_extremes(df: DataFrame, ts: str = "capturado_em",
+                    values: Sequence[str] = ("umidade", "temperatura"),
+                    unit: str = "hour", key: str = "id_leitura") -> DataFrame:
+    """A16, large-data form that keeps spikes: first, last, least and greatest
+    value per time bucket and variable, and how many there are.  Equal times go
+    by the key; a missing value is no point.  One partial aggregate."""
+    bucket = F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz").alias("periodo")
+    at = F.struct(ts, key)
+    return (df.where(F.col(ts).isNotNull())
+            .select(ts, key, *[F.col(v).cast("double").alias(v) for v in values])
+            .unpivot([key, ts], list(values), "variavel", "valor").where(F.col("valor").isNotNull())
+            .groupBy(bucket, "variavel")
+            .agg(F.min_by("valor", at).alias("primeiro"), F.max_by("valor", at).alias("ultimo"),
+                 F.min("valor").alias("menor"), F.max("valor").alias("maior"), F.count(F.lit(1)).alias("pontos")))

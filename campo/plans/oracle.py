@@ -8,7 +8,9 @@ Doubles are rounded to 6 places, timestamps rendered as text, counts BIGINT.
 from __future__ import annotations
 
 import math
+import re
 
+from campo.operators.advice import TEXTS
 from campo.plans import queries as Q
 from campo.schema import (K_IDEAL, LIMITES, N_IDEAL, NOISE_SD, NPK_SD, P_IDEAL, PH_OPT,
                           PH_SD, TEMP_OPT, TEMP_SD, UMIDADE_OPT, UMIDADE_SD)
@@ -216,6 +218,21 @@ def positioned(items_cte):
             f"AS posicao, code, round(value, 6) AS value, detail FROM {items_cte} WHERE code IS NOT NULL")
 
 
+def text_sql(template):
+    """An advice text with its value to a fixed number of places (halves of the
+    shortest decimal form up) and its detail."""
+    parts = []
+    for piece in re.split(r"(\{[^}]*\})", template):
+        if piece == "{d}":
+            parts.append("detail")
+        elif piece.startswith("{"):
+            places = piece[4]
+            parts.append(f"CAST(CAST(round(CAST(CAST(value AS VARCHAR) AS DECIMAL(38, 20)), {places}) AS DECIMAL(38, {places})) AS VARCHAR)")
+        elif piece:
+            parts.append("'" + piece.replace("'", "''") + "'")
+    return " || ".join(parts)
+
+
 QUALITY_RULES = (
     [(f"{c}_ausente", f"{c} IS NULL") for c in ("temperatura", "n", "p", "k")]
     + [(f"{c}_fora_da_faixa",
@@ -496,6 +513,61 @@ UNION ALL SELECT id_leitura, 3, CASE WHEN rendimento IS NOT NULL THEN 'PAINEL_RE
     o["nutrient_argmax"] = with_readings(
         f"SELECT id_leitura, {r6(deficit('n', N_IDEAL))} AS deficit_n, {r6(deficit('p', P_IDEAL))} AS deficit_p, "
         f"{r6(deficit('k', K_IDEAL))} AS deficit_k, {NUTRIENT} AS nutriente FROM readings")
+
+    o["stream_trend"] = with_readings(
+        f"SELECT id_pivo, strftime(dia, {TS}) AS periodo, {r6('avg(rendimento)')} AS media, count(*) AS leituras "
+        "FROM (SELECT *, date_trunc('day', capturado_em) AS dia FROM prepared WHERE capturado_em IS NOT NULL) "
+        "WHERE dia + INTERVAL 1 DAY <= (SELECT max(capturado_em) - INTERVAL 1 DAY FROM prepared) GROUP BY id_pivo, dia")
+    o["csv_strict"] = with_readings(
+        f"SELECT id_pivo, {r6('umidade')} AS umidade, {r6('temperatura')} AS temperatura, {r6('ph')} AS ph, n, p, k, estado_bomba, "
+        "capturado_em FROM readings WHERE ph IS NOT NULL")
+    cells = {"umidade": "id_leitura % 43 = 0", "n": "id_leitura % 71 = 0", "k": "id_leitura % 103 = 0", "ph": "ph IS NULL"}
+    whole = " AND ".join(f"NOT ({w})" for w in cells.values())
+    spoilt_cells = f"SELECT 'valida' AS motivo, count(*) AS linhas FROM readings WHERE {whole} HAVING count(*) > 0" + "".join(
+        f" UNION ALL SELECT '{c}', count(*) FROM readings WHERE {w} HAVING count(*) > 0" for c, w in cells.items())
+    o["csv_quarantine"] = with_readings(spoilt_cells)
+    o["stream_csv"] = with_readings(f"{spoilt_cells} UNION ALL SELECT 'acumulado', count(*) FROM readings WHERE {whole}")
+    o["processed_roundtrip"] = with_readings(" UNION ALL ".join(
+        f"SELECT '{f}' AS forma, id_leitura, estado_bomba, {r6('ph')} AS ph, k, hora, estado_bomba_bin, strftime(capturado_em, {TS}) AS capturado_em, "
+        f"{r6('rendimento')} AS rendimento, {r6('necessidade_fertilizacao')} AS necessidade_fertilizacao FROM prepared" for f in ("parquet", "csv")))
+    o["source_fallback"] = with_readings(
+        "SELECT id_pivo, 'csv:/cheio' AS fonte, count(*) AS linhas, count(capturado_em) AS com_hora, "
+        f"{r6('avg(umidade)')} AS umidade_media, CAST(sum(k) AS BIGINT) AS k_total FROM feat GROUP BY id_pivo")
+    o["table_loads"] = with_readings(
+        f"SELECT id_pivo, count(*) AS linhas, count(*) AS chaves, {r6('avg(umidade)')} AS umidade_media, "
+        f"strftime(max(capturado_em), {TS}) AS ultima, count(*) AS escritas FROM feat GROUP BY id_pivo")
+    fitted = ", ".join(
+        f"({r6(f'a_{t} * umidade + c_{t}')}) AS pred_{t}" for t in Q.STORED_TARGETS)
+    sums = ", ".join(f"regr_slope({t}, umidade) AS a_{t}, regr_intercept({t}, umidade) AS c_{t}" for t in Q.STORED_TARGETS)
+    o["stored_model_stream"] = with_readings(
+        "SELECT id_leitura, pred_volume_irrigacao, pred_rendimento, CAST(1 + CAST(pred_rendimento < 40 AS INTEGER) "
+        "+ coalesce(CAST(ph < 6 OR ph > 7 AS INTEGER), 0) AS INTEGER) AS n_sugestoes "
+        f"FROM (SELECT id_leitura, ph, {fitted} FROM readings, line2)",
+        f"line2 AS (SELECT {sums} FROM "
+        f"(SELECT *, {bucket.replace('id_leitura', 'prepared.id_leitura')} AS b FROM prepared) WHERE b < 80)")
+    # all rules one after another: the main list, the service's, the dashboard's
+    sets = [advice_items("prepared"), serv, fb.replace("vol_prev", "volume_irrigacao").replace("nomain", "prepared")]
+    listed = " UNION ALL ".join(f"SELECT id_leitura, {10 * i} + ord AS ord, code, value, detail FROM ({q})" for i, q in enumerate(sets))
+    keep = ("SELECT id_leitura, 15 AS ord, 'SERV_MANTER' AS code, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS detail FROM prepared "
+            "WHERE id_leitura NOT IN (SELECT id_leitura FROM said WHERE ord BETWEEN 10 AND 19 AND code IS NOT NULL) "
+            "UNION ALL SELECT id_leitura, 25, 'PAINEL_SEM_PREVISAO', NULL, NULL FROM prepared "
+            "WHERE id_leitura NOT IN (SELECT id_leitura FROM said WHERE ord >= 20 AND code IS NOT NULL)")
+    words = " ".join(f"WHEN '{code}' THEN {text_sql(text)}" for code, text in TEXTS.items() if code != "ADUBAR_SUFIXO")
+    o["advice_text"] = with_readings(
+        "SELECT id_leitura, CAST(row_number() OVER (PARTITION BY id_leitura ORDER BY ord) - 1 AS INTEGER) AS posicao, code, "
+        f"CASE code {words} END || CASE WHEN code = 'ADUBAR' AND detail IS NOT NULL THEN {text_sql(TEXTS['ADUBAR_SUFIXO'])} ELSE '' END AS text "
+        "FROM (SELECT * FROM said UNION ALL SELECT * FROM quiet) WHERE code IS NOT NULL", f"said AS ({listed}), quiet AS ({keep})")
+    cell = lambda c: (f"CASE WHEN max({c}) OVER () = min({c}) OVER () THEN 0 ELSE CAST(least(floor(({c} - min({c}) OVER ()) "
+                      f"/ (max({c}) OVER () - min({c}) OVER ()) * {d(50)}), 49) AS INTEGER) END")
+    o["density_cells"] = with_readings(
+        "SELECT cor, celula_x, celula_y, count(*) AS pontos FROM (SELECT estado_bomba AS cor, "
+        f"{cell('umidade')} AS celula_x, {cell('temperatura')} AS celula_y FROM readings "
+        "WHERE umidade IS NOT NULL AND temperatura IS NOT NULL) GROUP BY 1, 2, 3")
+    o["series_extremes"] = with_readings(" UNION ALL ".join(
+        f"SELECT strftime(date_trunc('hour', capturado_em), {TS}) AS periodo, '{c}' AS variavel, "
+        f"{r6(f'first({c} ORDER BY capturado_em, id_leitura)')} AS primeiro, {r6(f'last({c} ORDER BY capturado_em, id_leitura)')} AS ultimo, "
+        f"{r6(f'min({c})')} AS menor, {r6(f'max({c})')} AS maior, count(*) AS pontos "
+        f"FROM feat WHERE capturado_em IS NOT NULL AND {c} IS NOT NULL GROUP BY 1" for c in ("umidade", "temperatura")))
     return o
 
 

@@ -603,3 +603,184 @@ def q_stream_score(spark, sf_dir):
          .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{run}/out")
+
+
+@query("stream_trend")
+def q_stream_trend(spark, sf_dir):
+    """Daily yield by pivot of events arriving as files, with a day's watermark:
+    the windows closed when the last file is in (append sink)."""
+    import uuid
+    from campo.session import scratch_path
+    from campo.sources.fixtures import readings_from_events
+    from campo.streaming.score import windowed_trend
+    run = scratch_path(spark, f"stream_trend-{uuid.uuid4().hex}")
+    arriving = targets.prepare(readings_from_events(_events_stream(spark, sf_dir)))
+    q = (windowed_trend(arriving).writeStream.format("parquet").outputMode("append").option("path", f"{run}/out")
+         .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return round_doubles(spark.read.parquet(f"{run}/out").select(
+        "id_pivo", ts_text("janela.start").alias("periodo"), "media", "leituras"))
+
+
+def _spoilt_csv(spark, sf_dir, path):
+    """Readings without keys as text in a CSV folder; some cells don't parse."""
+    from campo.schema import KEY, RAW_COLUMNS
+    i = F.col(KEY)
+    bad = {"umidade": (43, "n/a"), "n": (71, ""), "k": (103, "doze")}
+    text = readings(spark, sf_dir).select(*[
+        (F.when(i % bad[c][0] == 0, F.lit(bad[c][1])).otherwise(F.col(c).cast("string")) if c in bad else F.col(c)).alias(c)
+        for c in RAW_COLUMNS])
+    _write_csv(text, path)
+
+
+def _write_csv(df, path):
+    df.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
+def _by_reason(valid, bad):
+    return (valid.select(F.lit("valida").alias("motivo"))
+            .unionAll(bad.select(F.explode("erros").alias("motivo")))
+            .groupBy("motivo").agg(F.count(F.lit(1)).alias("linhas")))
+
+
+@query("csv_strict")
+def q_csv_strict(spark, sf_dir):
+    """Readings with a pH written as CSV under headers in capitals, and loaded
+    again by a strict scan."""
+    import uuid
+    from campo.schema import RAW_COLUMNS
+    from campo.session import scratch_path
+    from campo.sources.files import read_csv_strict
+    run = scratch_path(spark, f"csv_strict-{uuid.uuid4().hex}")
+    whole = readings(spark, sf_dir).where(F.col("ph").isNotNull())
+    _write_csv(whole.select(*[F.col(c).alias(f" {c.upper()}") for c in reversed(RAW_COLUMNS)]), run)
+    return round_doubles(read_csv_strict(spark, run))
+
+
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    """Valid rows, and bad cells by column, of a CSV folder with spoilt cells."""
+    import uuid
+    from campo.session import scratch_path
+    from campo.sources.files import read_csv_quarantine
+    run = scratch_path(spark, f"csv_quarantine-{uuid.uuid4().hex}")
+    _spoilt_csv(spark, sf_dir, run)
+    return _by_reason(*read_csv_quarantine(spark, run))
+
+
+@query("stream_csv")
+def q_stream_csv(spark, sf_dir):
+    """The same CSV folder arriving as a stream: rows of the readings table, bad
+    cells of the quarantine folder, and the running total."""
+    import uuid
+    from campo.session import scratch_path
+    from campo.sources.tables import read_table
+    from campo.streaming.ingest import arriving_readings, batch_counts, ingest_stream
+    name = f"fluxo_{uuid.uuid4().hex}"
+    run = scratch_path(spark, f"stream_csv-{name}")
+    _spoilt_csv(spark, sf_dir, f"{run}/csv")
+    from campo.sources.tables import create_table
+    create_table(spark, name, path=f"{run}/table", by_lote=True)
+    ingest_stream(arriving_readings(spark, f"{run}/csv", max_files_per_trigger=4), name, f"{run}/ckpt",
+                  quarantine=f"{run}/bad", log_path=f"{run}/log").awaitTermination()
+    total = batch_counts(spark, f"{run}/log").agg(F.max("acumulado").alias("linhas"))
+    return _by_reason(read_table(spark, name), spark.read.parquet(f"{run}/bad")).unionAll(
+        total.select(F.lit("acumulado").alias("motivo"), "linhas"))
+
+
+@query("processed_roundtrip")
+def q_processed_roundtrip(spark, sf_dir):
+    """The processed dataset written as Parquet and as CSV, each read again."""
+    import uuid
+    from campo.session import scratch_path
+    from campo.sources.files import read_processed, save_processed
+    run = scratch_path(spark, f"processed-{uuid.uuid4().hex}")
+    df = processed(spark, sf_dir)
+    parts = []
+    for fmt, path in (("parquet", f"{run}/a.parquet"), ("csv", f"{run}/b.csv")):
+        save_processed(df, path, fmt)
+        back = read_processed(spark, path.replace(".csv", ".parquet"))
+        parts.append(back.select(F.lit(fmt).alias("forma"), "id_leitura", "estado_bomba", "ph", "k", "hora", "estado_bomba_bin",
+                                 ts_text("capturado_em").alias("capturado_em"), "rendimento", "necessidade_fertilizacao"))
+    return round_doubles(parts[0].unionByName(parts[1]))
+
+
+@query("source_fallback")
+def q_source_fallback(spark, sf_dir):
+    """The first source that is there and has rows: no table, no Parquet, an
+    empty CSV folder, then the readings' CSV."""
+    import uuid
+    from campo.schema import RAW_COLUMNS
+    from campo.session import scratch_path
+    from campo.sources.files import load_first_available
+    run = scratch_path(spark, f"fallback-{uuid.uuid4().hex}")
+    df = readings(spark, sf_dir).select(*RAW_COLUMNS)
+    _write_csv(df.where("umidade < 0"), f"{run}/vazio")
+    _write_csv(df, f"{run}/cheio")
+    got, label = load_first_available(spark, [("table", f"t_{uuid.uuid4().hex}"), ("parquet", f"{run}/nada"),
+                                              ("csv", f"{run}/vazio"), ("csv", f"{run}/cheio")])
+    return round_doubles(got.groupBy("id_pivo").agg(
+        F.lit(label.replace(run, "")).alias("fonte"), F.count(F.lit(1)).alias("linhas"), F.count("capturado_em").alias("com_hora"),
+        F.avg("umidade").alias("umidade_media"), F.sum("k").alias("k_total")))
+
+
+@query("table_loads")
+def q_table_loads(spark, sf_dir):
+    """A table made, loaded whole, loaded anew with one pivot and appended to
+    with the others, without keys of their own: rows and keys by pivot."""
+    import uuid
+    from campo.session import scratch_path
+    from campo.sources.tables import create_table, ingest_once, insert_rows, read_table
+    name = f"cargas_{uuid.uuid4().hex}"
+    create_table(spark, name, path=scratch_path(spark, f"table_loads-{name}"), by_lote=True)
+    df = _table(spark, sf_dir).drop("id_leitura")
+    written = [ingest_once(spark, df, name), ingest_once(spark, df.where("id_pivo = 'p1'"), name)]
+    written += [insert_rows(spark, df.where(F.col("id_pivo") == p), name) for p in ("p2", "p3")]
+    of = F.create_map(*[F.lit(x) for p, n in zip(("p1", "p2", "p3"), written[1:]) for x in (p, n)])
+    return round_doubles(read_table(spark, name).groupBy("id_pivo").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct("id_leitura").alias("chaves"), F.avg("umidade").alias("umidade_media"),
+        ts_text(F.max("capturado_em")).alias("ultima")).withColumn("escritas", of[F.col("id_pivo")]))
+
+
+@query("stored_model_stream")
+def q_stored_model_stream(spark, sf_dir):
+    """Two one-input models stored, loaded and applied to readings arriving as
+    files: predictions and the number of advice items."""
+    import uuid
+    from campo.operators.learn import fit_evaluate
+    from campo.session import scratch_path
+    from campo.sources.fixtures import readings_from_events
+    from campo.sources.models import load_models, save_models
+    from campo.streaming.score import score_readings
+    run = scratch_path(spark, f"stored_model-{uuid.uuid4().hex}")
+    df = processed(spark, sf_dir)
+    save_models({t: fit_evaluate(df, t, "linear_regression", {}, features=ONE_FEATURE)[0] for t in STORED_TARGETS}, f"{run}/models")
+    models = load_models(f"{run}/models")
+    scored = score_readings(readings_from_events(_events_stream(spark, sf_dir)), models)
+    q = (scored.select("id_leitura", *[f"pred_{t}" for t in STORED_TARGETS], F.size("sugestoes").alias("n_sugestoes"))
+         .writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return round_doubles(spark.read.parquet(f"{run}/out"))
+
+
+STORED_TARGETS = ["volume_irrigacao", "rendimento"]
+
+
+@query("advice_text")
+def q_advice_text(spark, sf_dir):
+    """Every advice item's words, of the main, the service and the dashboard sets."""
+    df = processed(spark, sf_dir).withColumn("sugestoes", F.concat(
+        adv.advice(), adv.advice_service(), adv.advice_dashboard_fallback()))
+    return adv.advice_long(df).select("id_leitura", "posicao", "code", "text")
+
+
+@query("density_cells")
+def q_density_cells(spark, sf_dir):
+    return stats.density_cells(readings(spark, sf_dir))
+
+
+@query("series_extremes")
+def q_series_extremes(spark, sf_dir):
+    df = stats.series_extremes(_table(spark, sf_dir), unit="hour")
+    return round_doubles(df.withColumn("periodo", ts_text("periodo")))

@@ -59,17 +59,29 @@ class StrictLoadError(ValueError):
 MALFORMED = "_linha_malformada"
 
 
+#: More than any file has: keeps every file of a header scan in a task of its own.
+_ONE_FILE = 1 << 44
+
+
 def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """First line -> files of ``path`` that start with it.  The driver gets one
-    row per file, as it does for Spark's own file listing."""
-    lines = (spark.read.text(path)
-             .select("value", F.col("_metadata.file_path").alias("arquivo"),
-                     F.col("_metadata.file_block_start").alias("inicio"))
-             .where("inicio = 0").withColumn("ordem", F.monotonically_increasing_id()))
-    first = lines.groupBy("arquivo").agg(F.min_by("value", "ordem").alias("cabecalho"))
+    """First line -> files of ``path`` that start with it.  Each file is a task
+    that stops after its first rows, so what is read does not grow with the
+    files' length.  The driver gets one row per file, as it does for Spark's own
+    file listing."""
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    scan = spark.newSession()  # settings of its own
+    scan.conf.set("spark.sql.files.openCostInBytes", _ONE_FILE)
+    scan.conf.set("spark.sql.files.maxPartitionBytes", _ONE_FILE)
+    scan.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    lines = scan.read.text(path).select("value", F.col("_metadata.file_path").alias("arquivo")).mapInArrow(first, "value string, arquivo string")
     out: dict[str, list[str]] = {}
-    for r in first.orderBy("arquivo").collect():
-        out.setdefault(r["cabecalho"], []).append(r["arquivo"])
+    for r in sorted(lines.collect(), key=lambda r: r["arquivo"]):
+        out.setdefault(r["value"], []).append(r["arquivo"])
     return out
 
 
