@@ -182,3 +182,22 @@ def test_tiny_and_huge_values(spark):
     rows = {r["coluna"]: r for r in stats.describe(df, ["a", "b"]).collect()}
     assert rows["a"]["mean"] == pytest.approx(2e-12) and rows["a"]["std"] == pytest.approx(1.4142135e-12)
     assert rows["b"]["mean"] == pytest.approx(2e12) and rows["b"]["q50"] == pytest.approx(2e12)
+
+
+def test_density_cells_nulls_and_one_value(spark):
+    from campo.operators.stats import density_cells
+    schema = "umidade double, temperatura double, estado_bomba string"
+    rows = [(0.0, 5.0, "ON"), (10.0, 5.0, "ON"), (9.99, 5.0, None), (None, 5.0, "ON"), (float("nan"), 5.0, "ON"), (3.0, None, "OFF")]
+    got = density_cells(spark.createDataFrame(rows, schema), bins=10).collect()
+    assert sorted((r["cor"] or "", r["celula_x"], r["celula_y"], r["pontos"]) for r in got) == [("", 9, 0, 1), ("ON", 0, 0, 1), ("ON", 9, 0, 1)]
+    assert density_cells(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_series_extremes_ties_and_spikes(spark):
+    from campo.operators.stats import series_extremes
+    rows = [(2, "2024-01-01 10:00:00", 5.0, None), (1, "2024-01-01 10:00:00", 4.0, 1.0), (3, "2024-01-01 10:30:00", 99.0, 2.0),
+            (4, "2024-01-01 10:59:59", 6.0, 3.0), (5, "2024-01-01 11:00:00", None, 7.0), (6, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "id_leitura long, t string, umidade double, temperatura double").selectExpr(
+        "*", "cast(t as timestamp_ntz) as capturado_em")
+    got = {(r["periodo"].hour, r["variavel"]): tuple(r)[2:] for r in series_extremes(df).collect()}
+    assert got == {(10, "umidade"): (4.0, 6.0, 4.0, 99.0, 4), (10, "temperatura"): (1.0, 3.0, 1.0, 3.0, 3), (11, "temperatura"): (7.0, 7.0, 7.0, 7.0, 1)}
