@@ -28,6 +28,20 @@ def _printable() -> str:
     return "".join(chr(b if b in plain else next(rest)) for b in range(256))
 
 
+class Pieces(dict):
+    """Pre-token -> ids as bytes, a bounded number of them."""
+
+    def __init__(self, ids):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > KEPT_CHUNKS // 8:
+            self.clear()
+        out = self[piece] = self.ids(piece)
+        return out
+
+
 class Chunks(dict):
     """Chunk -> ids as bytes (little-endian); None where it can't stand alone."""
 
@@ -40,36 +54,34 @@ class Chunks(dict):
         self.lead, self.fold, self.table = " " if spaced else "", fold, _printable()
         self.start = self.table[ord(" ")]
         self.pieces = regex.compile(SPACED if spaced else PLAIN).findall
-        self.known: dict[str, list[int]] = {}
-
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of one pre-token."""
-        ids = self.known.get(piece)
-        if ids is None:
-            if len(self.known) > KEPT_CHUNKS // 8:
-                self.known.clear()
-            as_read = codecs.charmap_decode(piece.encode(), "strict", self.table)[0]
-            ids = self.known[piece] = [t.id for t in self.model.tokenize(as_read)]
-        return ids
-
-    def chunk(self, part: str, lead: str = "") -> list[int]:
-        if part.isascii() and part.isalpha():  # a byte of these is read as itself
-            return [t.id for t in self.model.tokenize((self.start if lead else "") + (part.lower() if self.fold else part))]
-        # Latin text up to U+017F is composed already, and all libraries agree
-        # on its case and classes; other chunks go through the tokenizer
-        if max(part, default="") < "ƀ" and "İ" not in part and "<|" not in part:
-            if part.isalpha():
-                part = lead + (part.lower() if self.fold else part)
-                as_read = codecs.charmap_decode(part.encode(), "strict", self.table)[0]
-                return [t.id for t in self.model.tokenize(as_read)]
-            if part.replace("\n", "").isprintable():
-                return [i for p in self.pieces(lead + (part.lower() if self.fold else part)) for i in self._piece(p)]
-        return self.whole.encode(lead + part, add_special_tokens=False).ids
+        self.known = Pieces(lambda piece: self._bytes(self._as_read(piece)))
+
+    def _bytes(self, piece: str) -> bytes:
+        """Ids of one pre-token, written as the vocabulary reads it."""
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _as_read(self, piece: str) -> str:
+        return codecs.charmap_decode(piece.encode(), "strict", self.table)[0]
+
+    def chunk(self, part: str, lead: str = "") -> bytes:
+        if part.isascii():
+            if part.isalpha():  # a byte of these is read as itself
+                return self._bytes((self.start if lead else "") + (part.lower() if self.fold else part))
+            simple = "<|" not in part
+        else:
+            # Latin text up to U+017F is composed already, and all libraries agree
+            # on its case and classes; other chunks go through the tokenizer
+            simple = max(part) < "ƀ" and "İ" not in part and "<|" not in part
+            if simple and part.isalpha():
+                return self._bytes(self._as_read(lead + (part.lower() if self.fold else part)))
+        if simple and (part.isprintable() or part.replace("\n", "").isprintable()):
+            return b"".join(map(self.known.__getitem__, self.pieces(lead + (part.lower() if self.fold else part))))
+        return array(self.code, self.whole.encode(lead + part, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, part: str):
         if len(self) > KEPT_CHUNKS:
             self.clear()
-        out = None if not part or part[-1].isspace() else array(self.code, self.chunk(part, self.lead)).tobytes()
+        out = None if not part or part[-1].isspace() else self.chunk(part, self.lead)
         self[part] = out
         return out
 
@@ -78,9 +90,9 @@ class Chunks(dict):
         parts = text.split(" ")
         try:
             if len(parts) > 1 and not parts[0][-1:].isspace():
-                first = array(self.code, self.chunk(parts[0]) if parts[0] else []).tobytes()
+                first = self.chunk(parts[0]) if parts[0] else b""
                 inner = b"".join(map(self.__getitem__, parts[1:-1]))
-                last = array(self.code, self.chunk(parts[-1], self.lead) if parts[-1] or self.lead else []).tobytes()
+                last = self.chunk(parts[-1], self.lead) if parts[-1] or self.lead else b""
                 return first + inner + last
         except TypeError:  # a chunk that can't stand alone
             pass
