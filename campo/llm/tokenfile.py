@@ -35,13 +35,19 @@ _TOTALS = _WIDTHS.sum(axis=1)
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
     values = values.astype("<u4")
-    width = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    width = 1 + (values > 0xFF).view(np.uint8) + (values > 0xFFFF).view(np.uint8) + (values > 0xFFFFFF).view(np.uint8)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[:len(values)] = width - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < width[:, None]]
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    raw, begins = values.view(np.uint8).reshape(-1, 4), np.cumsum(width, dtype=np.int64) - width
+    data = np.empty(int(width.sum(dtype=np.int64)), np.uint8)
+    data[begins] = raw[:, 0]
+    for k in (1, 2, 3):
+        wide = np.flatnonzero(width > k)
+        if len(wide):
+            data[begins[wide] + k] = raw[wide, k]
+    return control.tobytes(), data.tobytes()
 
 
 def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -62,13 +68,17 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def encode_block(ids: np.ndarray) -> bytes:
     """Dictionary, control bytes and data bytes of a block of ids."""
-    counts = np.bincount(ids)  # ids are numbers of a vocabulary
+    numbers, at = None, ids
+    if len(ids) and int(ids.max()) > 4 * len(ids) + 0xFFFF:  # a table of all numbers would outgrow the block
+        numbers, at = np.unique(ids, return_inverse=True)
+    counts = np.bincount(at)
     kinds = np.flatnonzero(counts)
-    order = np.lexsort((kinds, -counts[kinds]))
+    kinds = kinds[np.lexsort((kinds, -counts[kinds]))]
     rank = np.zeros(len(counts), np.uint32)
-    rank[kinds[order]] = np.arange(len(kinds))
-    control, data = encode_values(rank[ids])
-    return struct.pack("<III", len(kinds), len(ids), len(control)) + kinds[order].astype("<u4").tobytes() + control + data
+    rank[kinds] = np.arange(len(kinds))
+    control, data = encode_values(rank[at])
+    kinds = kinds if numbers is None else numbers[kinds]
+    return struct.pack("<III", len(kinds), len(ids), len(control)) + kinds.astype("<u4").tobytes() + control + data
 
 
 def decode_block(block: bytes) -> np.ndarray:
