@@ -334,6 +334,11 @@ def _build() -> dict[str, str]:
         "count(*) AS contagem FROM (SELECT upper(COALESCE(estado_bomba, 'nan')) AS s FROM readings) GROUP BY 1")
 
     o["describe_readings"] = with_readings(describe_sql("prepared", Q.PROCESSED_NUMERIC))
+    o["describe_stored"] = with_readings("\nUNION ALL\n".join(
+        f"SELECT id_pivo, '{c}' AS coluna, count(x) AS count, {r6(mean_sql('x'))} AS mean, {r6('stddev_samp(x)')} AS std, "
+        f"{r6('min(x)')} AS min, {r6('max(x)')} AS max, CASE WHEN count(x) > 0 THEN true END AS quartis_certos "
+        f"FROM (SELECT id_pivo, CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END AS x FROM prepared) GROUP BY id_pivo"
+        for c in Q.PROCESSED_NUMERIC))
     o["describe_lineitem"] = describe_sql("lineitem", Q.LINEITEM_NUMERIC)
 
     rcols = ["id_pivo", "umidade", "temperatura", "ph", "n", "p", "k", "estado_bomba", "capturado_em"]

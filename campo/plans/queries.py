@@ -206,6 +206,36 @@ def q_describe_lineitem(spark, sf_dir):
     return round_doubles(stats.describe(load_table(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC))
 
 
+@query("describe_stored")
+def q_describe_stored(spark, sf_dir):
+    """Four loads summarised on their own, merged by pivot from what was stored;
+    and whether the stored quartiles' ranks among the readings are within 1 %."""
+    import uuid
+    from campo.operators import sketches
+    from campo.session import scratch_path
+    path = scratch_path(spark, f"summaries-{uuid.uuid4().hex}")
+    df = processed(spark, sf_dir)
+    for part in range(4):
+        sketches.store(df.where(F.pmod("id_leitura", F.lit(4)) == part), path, f"carga-{part}", PROCESSED_NUMERIC)
+    out = sketches.describe_stored(spark.read.parquet(path))
+    ranked = rank_errors(df, out, PROCESSED_NUMERIC)
+    out = out.join(ranked, ["id_pivo", "coluna"], "left").withColumn("quartis_certos", F.col("erro_posto") <= 0.01)
+    return round_doubles(out.drop("q25", "q50", "q75", "erro_posto"))
+
+
+def rank_errors(df, described, cols):
+    """By pivot and column the largest distance of a quartile's place among
+    the readings from the wanted one, as a share of the readings."""
+    quarts = described.select("id_pivo", "coluna", "q25", "q50", "q75")
+    points = df.select("id_pivo", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(["id_pivo"], cols, "coluna", "x")
+    points = points.where(F.col("x").isNotNull() & ~F.isnan("x")).join(quarts, ["id_pivo", "coluna"])
+    off = []
+    for q in (25, 50, 75):
+        below, upto = (F.avg((c).cast("double")) for c in (F.col("x") < F.col(f"q{q}"), F.col("x") <= F.col(f"q{q}")))
+        off.append(F.greatest(below - q / 100, q / 100 - upto, F.lit(0.0)))
+    return points.groupBy("id_pivo", "coluna").agg(F.greatest(*off).alias("erro_posto"))
+
+
 @query("null_counts")
 def q_null_counts(spark, sf_dir):
     df = readings(spark, sf_dir)

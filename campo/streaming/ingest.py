@@ -13,6 +13,9 @@
 * ST5: per-batch counts with the running total go to a small log, one folder a
   batch; a batch adds its rows to the total of the batch before it, and counts
   the earlier batches in the table where that log is gone.
+* With a summaries folder, each batch's rows are summarised by pivot from its
+  partition (:mod:`campo.operators.sketches`); a replayed batch replaces its
+  summaries too.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from campo.operators import sketches
 from campo.operators.clean import parse_timestamp, restamp as _restamp
 from campo.schema import KEY, READINGS_RAW
 from campo.sources.files import MALFORMED, StrictLoadError, split_tagged, tag_readings
@@ -70,7 +74,11 @@ def _lote(batch_id: int) -> str:
     return f"fluxo-{batch_id:012d}"
 
 
-def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: bool):
+#: columns summarised for each batch
+SUMMARISED = ("umidade", "temperatura", "ph", "n", "p", "k")
+
+
+def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: bool, summaries: str | None = None):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         valid = batch
@@ -92,6 +100,9 @@ def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: b
         n = int(obs.get.get("n", 0) or 0)
         if MALFORMED in batch.columns:
             tagged.unpersist()
+        if summaries:
+            spark.catalog.refreshTable(table)
+            sketches.store(spark.table(table).where(F.col(LOTE) == lote), summaries, lote, SUMMARISED)
         if log_path:
             total = _total_before(spark, log_path, batch_id, table) + n
             spark.createDataFrame([(n, total)], "linhas long, acumulado long") \
@@ -101,14 +112,15 @@ def _writer(table: str, quarantine: str | None, log_path: str | None, restamp: b
 
 def ingest_stream(stream: DataFrame, table: str, checkpoint: str, quarantine: str | None = None,
                   log_path: str | None = None, restamp: bool = False,
-                  available_now: bool = True, interval: str = "10 seconds") -> StreamingQuery:
+                  available_now: bool = True, interval: str = "10 seconds",
+                  summaries: str | None = None) -> StreamingQuery:
     """ST1–ST5: start the ingest query into the catalog table ``table`` (made
     with ``lote`` partitions if absent); idempotent per batch."""
     spark = stream.sparkSession
     create_table(spark, table, by_lote=True)
     if LOTE not in spark.table(table).columns:
         raise ValueError(f"table {table!r} has no {LOTE!r} partitions to replace a batch in")
-    w = (stream.writeStream.foreachBatch(_writer(table, quarantine, log_path, restamp))
+    w = (stream.writeStream.foreachBatch(_writer(table, quarantine, log_path, restamp, summaries))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
