@@ -3,7 +3,9 @@
 The pieces are those of a fixed public vocabulary plus every single byte.  Each
 language has a probability for each piece; a word's probability is the sum over
 all ways to cut it into pieces, from a forward pass over its bytes; the sums are
-carried on from block to block of a long run of letters.  The probabilities are
+carried on from window to window of a long run of letters.  Runs end at every
+code point that is no letter or mark, of any script, so that text without
+spaces is cut at its punctuation.  The probabilities are
 fitted by expectation-maximisation (forward and backward passes) on the words
 of a bounded sample of each language's documents; there alone, a run of more
 than ``BLOCK`` bytes is taken in parts, cut between characters.  A
@@ -28,11 +30,19 @@ from campo.llm.common import remainder, stage, text_of
 SAMPLE_PER_LANGUAGE = 400   #: documents of a language to learn from, about
 ROUNDS = 3                  #: EM rounds
 BLOCK = 24                  #: bytes of a run of letters summed before the sums are scaled
+LANES = 4000                #: runs of letters summed side by side
+CELLS = 100_000             #: positions of runs whose pieces are looked up at once, about
 SMOOTHING = 0.02            #: expected count given to every piece
 KEPT_WORDS = 400_000        #: scored words a worker keeps
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def letters_of(text: Column) -> Column:
+    """The text in lower case, one space for each stretch of anything but
+    letters and the marks that belong to them."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")
+
+
 def vocabulary(path: str) -> list[bytes]:
     """Pieces of letters, with a leading space where they start a word, and
     all single bytes."""
@@ -49,16 +59,6 @@ def vocabulary(path: str) -> list[bytes]:
     return sorted(out)
 
 
-def _window(data: np.ndarray, starts: np.ndarray, size: np.ndarray, begin: int, stop: int) -> np.ndarray:
-    """Bytes ``begin`` to ``stop`` of words with a leading space (``size``
-    bytes in all), one row a word."""
-    at = np.arange(begin, stop)
-    inside = (at > 0) & (at < size[:, None])
-    rows = np.where(at == 0, np.uint8(32), np.uint8(0)) * np.ones((len(starts), 1), np.uint8)
-    rows[inside] = data[(starts[:, None] + at - 1)[inside]]
-    return rows
-
-
 def _matrix(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Words as rows of bytes, and their lengths."""
     size = np.array([len(w) for w in words])
@@ -125,10 +125,56 @@ def piece_hashes(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out[order], order.astype(np.int32)
 
 
+class Trie:
+    """Pieces as a tree of bytes: sorted keys (256 * node + byte), the node each
+    leads to, and the piece that ends there, or -1."""
+
+    def __init__(self, pieces: list[bytes]):
+        child, piece = {}, [-1]
+        for number, raw in enumerate(pieces):
+            node = 0
+            for byte in raw:
+                key = 256 * node + byte
+                if key not in child:
+                    child[key] = len(piece)
+                    piece.append(-1)
+                node = child[key]
+            piece[node] = number
+        self.keys = np.array(sorted(child), np.int64)
+        self.child = np.array([child[k] for k in self.keys.tolist()], np.int32)
+        self.piece = np.array(piece, np.int32)
+
+    def edges(self, data, starts, size, first, done, stop):
+        """The pieces found in words (``size`` bytes with a leading space) that
+        begin at ``first`` or later and end after ``done`` and at ``stop`` at
+        most, by end and word: ends, words, begins, pieces, and where the edges
+        of each end begin.  Only starts where a piece can go on are followed."""
+        width = np.maximum(np.minimum(size, stop) - first, 0)
+        word = np.repeat(np.arange(len(starts)), width)
+        at = first + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+        byte = np.where(at == 0, np.uint8(32), data[np.repeat(starts, width) + np.maximum(at, 1) - 1])
+        until = np.cumsum(width)[word]  # cell after the word's last
+        cell, node, found = np.arange(len(byte)), np.zeros(len(byte), np.int64), []
+        length = 0
+        while len(cell):
+            key = 256 * node + byte[cell + length]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = np.flatnonzero(self.keys[place] == key)
+            cell, node, length = cell[on], self.child[place[on]].astype(np.int64), length + 1
+            ends = (self.piece[node] >= 0) & (at[cell] + length > done)
+            found.append((at[cell[ends]] + length, word[cell[ends]], at[cell[ends]], self.piece[node[ends]]))
+            on = np.flatnonzero(cell + length < until[cell])
+            cell, node = cell[on], node[on]
+        ends, rows, begins, pieces = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 4
+        order = np.argsort(ends * (len(starts) + 1) + rows, kind="stable")
+        ends, rows, begins, pieces = ends[order], rows[order], begins[order], pieces[order]
+        return ends, rows, begins, pieces, np.searchsorted(ends, np.arange(done + 1, stop + 2))
+
+
 class Model:
     def __init__(self, languages: list[str], pieces: list[bytes], table: np.ndarray):
         self.languages, self.table = languages, table
-        self.hashes, self.numbers = piece_hashes(pieces)
+        self.pieces = Trie(pieces)
         self.longest = max(map(len, pieces))
         self.known = np.empty(0, np.uint64)
         self.scores = np.empty((0, len(languages)))
@@ -138,27 +184,43 @@ class Model:
         size = ends - starts + 1
         out = np.empty((len(starts), len(self.languages)))
         order = np.argsort(size, kind="stable")
-        for part in np.array_split(order, max(1, len(order) // 4000)):
+        for part in np.array_split(order, max(1, len(order) // LANES)):
             if len(part):
                 out[part] = self._sums(data, starts[part], size[part])
         return out
 
     def _sums(self, data, starts, size) -> np.ndarray:
-        """Log-probability of words, block by block: each block takes on the
-        sums at the last positions before it, scaled to 1 at its start."""
+        """Log-probability of words side by side, shorter ones first, window by
+        window: the sums at the last positions are carried to the next, and are
+        scaled to 1 every ``BLOCK`` positions."""
         out = np.empty((len(starts), len(self.languages)))
-        scale, live, start, done = np.zeros_like(out), np.arange(len(starts)), None, 0
+        scale, live, done = np.zeros_like(out), np.arange(len(starts)), 0
+        sums = np.ones((1, len(starts), len(self.languages)))  # at positions up to done
         while len(live):
-            begin = done - (0 if start is None else len(start) - 1)
-            stop = min(done + BLOCK, int(size[live].max()))
-            rows = _window(data, starts[live], size[live], begin, stop)
-            ahead = Lattice(rows, self.hashes, self.numbers, self.longest).forward(self.table, start)
-            over = size[live] <= stop
-            at = np.flatnonzero(over)
-            out[live[at]] = scale[live[at]] + np.log(ahead[size[live[at]] - begin, at])
-            live, start, done = live[~over], ahead[-self.longest:, ~over], stop
-            scale[live] += np.log(start[-1])
-            start = start / start[-1]
+            stop = min(int(size[live].max()), done + max(2 * BLOCK, CELLS // len(live)))
+            first = done - len(sums) + 1  # position of the sums' first row
+            ends, rows, begins, pieces, cuts = self.pieces.edges(data, starts[live], size[live], first, done, stop)
+            ahead = np.zeros((stop - first + 1, len(live), len(self.languages)))
+            ahead[:len(sums)] = sums
+            over = np.searchsorted(size[live], np.arange(first, stop + 1))  # lanes that ended before a position
+            group = np.flatnonzero(np.append(True, (ends[1:] != ends[:-1]) | (rows[1:] != rows[:-1]))) if len(ends) else np.empty(0, np.int64)
+            bounds = np.searchsorted(group, cuts)
+            for j in range(done + 1, stop + 1):
+                at = slice(cuts[j - done - 1], cuts[j - done])
+                to = group[bounds[j - done - 1]:bounds[j - done]]
+                if len(to):
+                    terms = ahead[begins[at] - first, rows[at]] * self.table[pieces[at]]
+                    ahead[j - first, rows[to]] = np.add.reduceat(terms, to - at.start) if len(to) < len(terms) else terms
+                ended = slice(over[j - first], over[j - first + 1] if j < stop else int(np.searchsorted(size[live], stop, "right")))
+                if ended.start < ended.stop:
+                    with np.errstate(divide="ignore"):
+                        out[live[ended]] = scale[live[ended]] + np.log(ahead[j - first, ended])
+                if j % BLOCK == 0 and ended.stop < len(live):
+                    low, here = max(0, j - first - self.longest), ahead[j - first, ended.stop:].copy()
+                    ahead[low:j - first + 1, ended.stop:] /= here
+                    scale[live[ended.stop:]] += np.log(here)
+            left = int(np.searchsorted(size[live], stop, "right"))
+            live, sums, done = live[left:], ahead[-self.longest:, left:], stop
         return out
 
     def text_scores(self, block) -> np.ndarray:
@@ -211,7 +273,7 @@ def train(docs: DataFrame, vocabulary_path: str, per_language: int = SAMPLE_PER_
         return None
     chance = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
     sample = known.join(F.broadcast(sizes), F.col("lang") == F.col("l")).where(chance * F.col("n") < per_language)
-    sample = sample.select("l", F.lower("text").alias("text"))
+    sample = sample.select("l", letters_of(F.col("text")).alias("text"))
 
     def count(batches):
         for part, block in slices(batches):
@@ -281,7 +343,7 @@ def predict(docs: DataFrame, model: Model | None, held: Column | None = None) ->
                            T.StructField("score", T.DoubleType())])
     text = text_of(docs)
     held = held_out(docs) if held is None else held
-    return docs.select(docs["doc_id"].alias("doc_id"), held.alias("held_out"), F.lower(text).alias("text"), text.rlike(r"\p{L}").alias("letters")).mapInArrow(run, schema)
+    return docs.select(docs["doc_id"].alias("doc_id"), held.alias("held_out"), letters_of(text).alias("text"), text.rlike(r"\p{L}").alias("letters")).mapInArrow(run, schema)
 
 
 def held_out(docs: DataFrame):

@@ -127,6 +127,29 @@ def test_long_runs_and_pieces_are_summed_whole():
         assert np.allclose(got, [direct(b" " + word), direct(b" ab")])
 
 
+def test_sums_of_many_words_side_by_side():
+    """Words of all lengths in small windows score as each does alone."""
+    rng = np.random.default_rng(2)
+    pieces = [bytes([b]) for b in range(256)] + [b"ab", b"ba", b" ab", b"abab", b"bbbbbbb"]
+    model = langid.Model(["x", "y"], pieces, np.vstack([rng.random((len(pieces), 2)) * 1e-2, np.zeros(2)]))
+    words = [bytes(rng.choice([97, 98], int(n)).astype(np.uint8)) for n in [*rng.integers(1, 90, 80), 1, 24, 25, 47, 48, 400]]
+    ends = np.cumsum([len(w) for w in words])
+    starts, data = ends - [len(w) for w in words], np.frombuffer(b"".join(words), np.uint8)
+    alone = [model.word_scores(data, starts[i:i + 1], ends[i:i + 1])[0] for i in range(len(words))]
+    cells, langid.CELLS = langid.CELLS, 1
+    try:
+        assert np.allclose(model.word_scores(data, starts, ends), alone)
+        assert np.allclose(model.word_scores(data, starts[-1:], ends[-1:]), alone[-1:])
+    finally:
+        langid.CELLS = cells
+
+
+def test_runs_end_at_what_is_no_letter(spark):
+    texts = ["日本語。日本「語」", "don’t — stop", "ÀB1c", "ไทย ๆ๑", "e\u0301a", "", "…!"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(langid.letters_of(F.col("text"))).collect()
+    assert [r[0].split() for r in rows] == [["日本語", "日本", "語"], ["don", "t", "stop"], ["àb", "c"], ["ไทย", "ๆ"], ["e\u0301a"], [], []]
+
+
 def test_language_vocabulary_and_parts(vocabularies):
     import pyarrow as pa
     assert max(map(len, langid.vocabulary(f"{vocabularies}/piece_bpe_32k.model"))) > 10
