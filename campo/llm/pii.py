@@ -3,19 +3,25 @@
 Generators (regular expressions) propose overlapping spans of several kinds.
 Base kinds are settled by their format: an e-mail address, an IP address with
 parts up to 255, a card number that passes the Luhn test, a phone number of 9
-to 15 digits.  All candidates get format and context features; boosted trees
-learn which of them are confirmed (a base span, or a token that its context or
-prefix gives away as a secret), on about ``SAMPLE`` distinct matches with
-context of each kind, so that a rare kind is learnt beside a frequent one.
-Candidates of the other kinds are added where the trees' probability reaches
-their kind's threshold, calibrated for precision on all candidates of the
-matches that are held back from fitting (a quarter of them, by hash).
+to 15 digits.  Candidates of the other kinds (``contact``: masked address,
+``number``, ``secret``) are seen in two views that share no feature: the format
+of the match, and the words and marks around it.  Each view settles some
+candidates on its own (a secret's word before it, a known key prefix), and
+boosted trees on the features of the other view learn from these: the format
+trees from what the context settles, the context trees from what the format
+settles; valid and failed matches of the base kinds are examples for both.  The
+trees fit on about ``SAMPLE`` distinct matches with context of each kind, so
+that a rare kind is learnt beside a frequent one.
+
+A candidate is added if a view settles it, or if one of the two trees'
+probabilities reaches its kind's threshold.  Thresholds are calibrated for
+precision against the other view's labels, on all candidates of the matches held
+back from fitting (a quarter, by hash).
 
 Offsets count code points, the end is exclusive.  Null text counts as empty and
 has no spans.  Added spans that touch a base span are left out.  A kind without
-held candidates, and every kind where all candidates to fit are of one class,
-has no threshold: its confirmed candidates are added.  A kind whose held
-candidates reach the precision at no threshold adds nothing.
+a threshold, and every kind where all candidates to fit are of one class, adds
+the candidates that a view settles and no others.
 
 The patterns take each run of characters once (possessive parts, and a start
 only at a run's start or where the last match ended), so that their time grows
@@ -36,7 +42,7 @@ from pyspark.sql import functions as F
 from campo.llm.common import stage, text_of
 
 SAMPLE = 20_000        #: distinct matches with context of a kind the trees are trained on, about
-PRECISION = 0.97       #: of confirmed candidates above a kind's threshold
+PRECISION = 0.97       #: of candidates above a kind's threshold, by the other view's labels
 NEVER = 2.0            #: threshold that no probability reaches
 BINS = 50
 BEFORE, AFTER = 24, 8  #: characters of context
@@ -107,23 +113,38 @@ def _share(text: str, members: str) -> Column:
     return F.regexp_count(text, F.lit(members)) / F.greatest(F.length(text), F.lit(1))
 
 
+VIEWS = ("format", "context")
+
+
 def featured(each: DataFrame) -> DataFrame:
-    """Format and context features as doubles, and the training label."""
-    features = {
-        "f_length": F.least(F.length("match"), F.lit(200)), "f_digits": _share("match", "[0-9]"), "f_upper": _share("match", "[A-Z]"),
-        "f_lower": _share("match", "[a-z]"), "f_hex": _share("match", "[0-9a-f]"), "f_marks": _share("match", "[^0-9A-Za-z]"),
-        "f_changes": F.regexp_count("match", F.lit("[0-9][A-Za-z]|[A-Za-z][0-9]")) / F.greatest(F.length("match"), F.lit(1)),
-        "f_groups": F.regexp_count("match", F.lit("[0-9]+")), "f_plus": F.col("match").startswith("+"),
-        "f_space": (F.col("before") == "") | F.col("before").rlike(r"[\s\"'(]$"), "f_assign": F.col("before").rlike(r"[=:]\s*[\"']?$") | F.contains("match", F.lit("=")),
-        "f_secret_word": F.concat("before", "match").rlike(SECRET_WORDS), "f_contact_word": F.col("before").rlike(CONTACT_WORDS),
-        "f_key_prefix": F.col("match").rlike(r"^(?:AKIA|ASIA|ghp_|sk-|xox)"), "f_stop": F.col("after").rlike(r"^[\s.,;:)\"']|^$"),
-        **{f"f_{k}": F.col("kind") == k for k in KINDS}}
-    confirmed = F.when(F.col("kind").isin(BASE), F.col("valid")).when(
-        F.col("kind") == "secret", (F.concat("before", "match").rlike(SECRET_WORDS + r"\W{0,6}\w+$") & (F.length("match") >= 12))
-        | F.col("match").rlike(r"^(?:AKIA|ASIA)[0-9A-Z]{16}$")).when(
-        F.col("kind") == "contact", True).otherwise(
-        (F.regexp_count("match", F.lit("[0-9]")) >= 9) & F.col("before").rlike(CONTACT_WORDS + r"\W{0,4}$"))
-    return each.select("*", *[v.cast("double").alias(k) for k, v in features.items()], confirmed.cast("double").alias("label"))
+    """Features of both views as doubles (``format_*`` of the match, ``context_*``
+    of what is around it), ``by_format`` and ``by_context`` (whether the view
+    settles the candidate), and each view's training label: what the other one
+    says, for a base kind whether the match is valid."""
+    # a word and '=' in front of a secret are its context
+    core = F.when(F.col("kind") == "secret", F.regexp_replace("match", r"^[A-Za-z_-]{2,}=(?=[^=])", "")).otherwise(F.col("match"))
+    each = each.withColumn("core", core).withColumn("lead", F.concat("before", F.expr("left(match, length(match) - length(core))")))
+    kinds = {k: F.col("kind") == k for k in KINDS}
+    format_view = {
+        "length": F.least(F.length("core"), F.lit(200)), "digits": _share("core", "[0-9]"), "upper": _share("core", "[A-Z]"),
+        "lower": _share("core", "[a-z]"), "hex": _share("core", "[0-9a-f]"), "marks": _share("core", "[^0-9A-Za-z]"),
+        "changes": F.regexp_count("core", F.lit("[0-9][A-Za-z]|[A-Za-z][0-9]")) / F.greatest(F.length("core"), F.lit(1)),
+        "groups": F.regexp_count("core", F.lit("[0-9]+")), "plus": F.col("core").startswith("+"), **kinds}
+    context_view = {
+        "space": (F.col("lead") == "") | F.col("lead").rlike(r"[\s\"'(]$"), "assign": F.col("lead").rlike(r"[=:]\s*[\"']?$"),
+        "secret_word": F.col("lead").rlike(SECRET_WORDS), "contact_word": F.col("before").rlike(CONTACT_WORDS),
+        "stop": F.col("after").rlike(r"^[\s.,;:)\"']|^$"), **kinds}
+    secret, contact, number = kinds["secret"], kinds["contact"], kinds["number"]
+    by_format = (secret & F.col("core").rlike(r"^(?:AKIA|ASIA)[0-9A-Z]{16}$")) | contact
+    by_context = (secret & F.concat("before", "match").rlike(SECRET_WORDS + r"\W{0,6}\w+$")) | (
+        contact & F.col("before").rlike(CONTACT_WORDS + r"\W{0,4}$")) | (
+        number & F.col("before").rlike(CONTACT_WORDS + r"\W{0,4}$") & (F.regexp_count("match", F.lit("[0-9]")) >= 9))
+    base = F.col("kind").isin(BASE)
+    double = lambda view, name: [v.cast("double").alias(f"{name}_{k}") for k, v in view.items()]
+    return each.select("*", *double(format_view, "format"), *double(context_view, "context"),
+                       by_format.alias("by_format"), by_context.alias("by_context"),
+                       F.when(base, F.col("valid")).otherwise(by_context).cast("double").alias("label_format"),
+                       F.when(base, F.col("valid")).otherwise(by_format).cast("double").alias("label_context"))
 
 
 def _held() -> Column:
@@ -145,16 +166,18 @@ def sampled(each: DataFrame) -> DataFrame:
     return fit.where(F.shiftrightunsigned(example, 11) * 2.0 ** -53 < share).select("kind", "match", "before", "after", "valid").distinct()
 
 
-def train(each: DataFrame):
-    """Boosted trees; None without two classes."""
+def train(each: DataFrame) -> dict:
+    """Boosted trees of each view that has two classes to learn."""
     sample = stage(featured(sampled(each)), "pii-sample")
-    seen = {r["label"] for r in sample.select("label").distinct().collect()}
-    if len(seen) < 2:
-        return None
-    names = [c for c in sample.columns if c.startswith("f_")]
-    assemble = VectorAssembler(inputCols=names, outputCol="features")
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=12, maxDepth=4, seed=5).fit(assemble.transform(sample))
-    return assemble, trees
+    out = {}
+    for view in VIEWS:
+        if sample.select(f"label_{view}").distinct().count() < 2:
+            continue
+        names = [c for c in sample.columns if c.startswith(view + "_")]
+        assemble = VectorAssembler(inputCols=names, outputCol="features")
+        trees = GBTClassifier(featuresCol="features", labelCol=f"label_{view}", maxIter=12, maxDepth=4, seed=5)
+        out[view] = assemble, trees.fit(assemble.transform(sample))
+    return out
 
 
 def thresholds(held: DataFrame) -> dict[str, float]:
@@ -174,18 +197,25 @@ def thresholds(held: DataFrame) -> dict[str, float]:
 
 def added(each: DataFrame) -> DataFrame:
     """The candidates of the kinds not settled by format that are spans."""
-    model = train(each)
+    models = train(each)
     others = featured(each.where(~F.col("kind").isin(BASE)))
-    if not model:
-        return others.where("label = 1")
-    others = stage(scored(others, model).select("row", "kind", "start", "end", "p", "label", _held().alias("held")), "pii-scores")
-    limits = thresholds(others.where("held"))
-    return others.where(_by_kind({k: F.col("p") >= t for k, t in limits.items()}, F.col("label") == 1))
+    chances = [F.col(f"p_{v}") for v in models]
+    others = stage(scored(others, models).select(
+        "row", "kind", "start", "end", *chances, *[f"label_{v}" for v in VIEWS], (F.col("by_format") | F.col("by_context")).alias("settled"),
+        _held().alias("held")), "pii-scores")
+    reached = F.col("settled")
+    for view in models:
+        limits = thresholds(others.where("held").select("kind", F.col(f"p_{view}").alias("p"), F.col(f"label_{view}").alias("label")))
+        reached = reached | _by_kind({k: F.col(f"p_{view}") >= t for k, t in limits.items()}, F.lit(False))
+    return others.where(reached)
 
 
-def scored(features: DataFrame, model) -> DataFrame:
-    assemble, trees = model
-    return trees.transform(assemble.transform(features)).withColumn("p", vector_to_array("probability")[1])
+def scored(features: DataFrame, models: dict) -> DataFrame:
+    """``features`` with p_format and p_context, as far as there are trees."""
+    for view, (assemble, trees) in models.items():
+        features = trees.transform(assemble.transform(features)).withColumn(f"p_{view}", vector_to_array("probability")[1])
+        features = features.drop("features", "rawPrediction", "probability", "prediction")
+    return features
 
 
 def _joined(array: Column) -> Column:
@@ -198,7 +228,8 @@ def _is(kind: str):
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone,
-    base_sha256, spans."""
+    base_sha256, spans, and the counts of added spans n_contact, n_number,
+    n_secret."""
     found = stage(candidates(docs), "pii-hits")
     each = stage(spans(found), "pii-spans")
     rank = reduce(lambda c, k: c.when(F.col("kind") == k, KINDS.index(k)), KINDS[1:], F.when(F.col("kind") == KINDS[0], 0))
@@ -214,5 +245,6 @@ def personal_data(docs: DataFrame) -> DataFrame:
     empty = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,end:bigint>>)")
     base, extra = F.coalesce("base", empty), F.coalesce("extra", empty)
     counts = [F.size(F.filter(base, _is(k))).cast("long").alias(f"n_{k}") for k in BASE]
+    more = [F.size(F.filter(extra, _is(k))).cast("long").alias(f"n_{k}") for k in KINDS if k not in BASE]
     return out.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"),
-                      _joined(F.array_sort(F.concat(base, extra))).alias("spans"))
+                      _joined(F.array_sort(F.concat(base, extra))).alias("spans"), *more)
