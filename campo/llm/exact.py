@@ -17,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campo.llm import fuse
 from campo.llm.common import flagged, keep_rows, key_bitmap, lower_ascii, partitions, stage, text_hash, text_of
@@ -124,11 +125,13 @@ def assign(docs: DataFrame, snapshot: Column) -> DataFrame:
 
 
 def older_half(docs: DataFrame) -> Column:
-    """Snapshot rows of one table: doc_ids up to the middle of their range."""
+    """Snapshot rows of one table: integer doc_ids up to the middle of their
+    range, about half of the doc_ids of any other type, by hash.  Rows without
+    a doc_id are in the snapshot."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return F.xxhash64(docs["doc_id"]) >= 0
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if low is None or isinstance(low, str):
-        return F.lit(True)
-    return docs["doc_id"] <= F.lit((low + high) // 2)
+    return docs["doc_id"] <= F.lit(0 if low is None else (low + high) // 2)
 
 
 def dedup(docs: DataFrame, snapshot: Column | None = None) -> DataFrame:

@@ -169,3 +169,16 @@ def test_blocks_find_words(texts):
     assert [raw[a:b].decode() for a, b in zip(starts, ends)] == [w for x in expect for w in x]
     assert words.tolist() == [len(x) for x in expect]
     assert block.hashes(starts, ends, True).tolist() == [blocks.hash_text(w, True) for x in expect for w in x]
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "timestamp_ntz", "int"])
+def test_exact_dedup_screens_ids_of_any_type(spark, kind):
+    """Both halves have rows, copies across them are met, and nothing else changes."""
+    texts = [f"text {k % 40}" for k in range(100)] + [None, "", "Text 3"]
+    value = {"timestamp_ntz": "timestamp_seconds(id)"}.get(kind, "id")
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").selectExpr(f"cast({value} as {kind}) AS doc_id", "text")
+    docs = docs.union(spark.sql(f"SELECT cast(NULL AS {kind}), 'text 1'"))
+    halves = {r[0] for r in docs.where("doc_id is not null").select(exact.older_half(docs)).collect()}
+    assert halves == {True, False}
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert collected(exact.dedup(docs), "doc_id", "keep_id", "group_size", "kept", "text_sha256") == brute_exact(rows)
