@@ -166,3 +166,15 @@ def test_ridge_reg_param():
     assert learn.ridge_reg_param(10.0, 2.0, 100) == pytest.approx(0.2)
     assert learn.ridge_reg_param(1.0, 0.0, 10) == 0.0
     assert len(learn.grid(learn.FOREST_GRID_EXTENDED)) == 18
+
+
+def test_kept_nodes_and_large_groups_give_the_same_forest(spark, small):
+    t, features = "volume_irrigacao", ["umidade", "temperatura", "ph"]
+    train = learn.training_frame(small, t, features).where("_valido and conjunto = 'treino'").repartition(4, "id_leitura").sortWithinPartitions("id_leitura").cache()
+    pipe = learn.forest(t, features, numTrees=3, maxDepth=7)
+    rf = pipe.getStages()[-1]
+    assert rf.getCacheNodeIds() and rf.getMaxMemoryInMB() == learn.NODES_MB
+    ours = pipe.fit(train).stages[-1].toDebugString
+    rf.setCacheNodeIds(False).setMaxMemoryInMB(1)
+    plain = pipe.fit(train).stages[-1].toDebugString
+    assert ours.split("\n")[1:] == plain.split("\n")[1:]
