@@ -98,10 +98,13 @@ def select_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
     ``text_hash`` is :func:`text_hash`.  Null doc_ids match each other."""
     pre = "__llm_"
+    # plain keys without nulls: the window below then takes the join's partitions
+    # as they are, and texts are shuffled once
+    key = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
     named = decisions.where("copies > 0").select(
-        F.col("doc_id").alias(pre + "id"), F.col("text_hash").alias(pre + "of"), F.col("copies").cast("int").alias(pre + "copies"))
-    joined = docs.withColumn(pre + "hash", text_hash(docs)).join(
-        named, F.col(pre + "id").eqNullSafe(docs["doc_id"]) & (F.col(pre + "of") == F.col(pre + "hash")), "inner")
+        key(F.col("doc_id")).alias(pre + "id"), F.col("text_hash").alias(pre + "of"), F.col("copies").cast("int").alias(pre + "copies"))
+    joined = docs.withColumns({pre + "key": key(docs["doc_id"]), pre + "hash": text_hash(docs)}).join(
+        named, (F.col(pre + "id") == F.col(pre + "key")) & (F.col(pre + "of") == F.col(pre + "hash")), "inner")
     nth = F.row_number().over(Window.partitionBy(pre + "id", pre + "of").orderBy(F.lit(0)))
     return (joined.withColumn(pre + "nth", nth).where(F.col(pre + "nth") == 1)
             .withColumn(pre + "copy", F.explode(F.sequence(F.lit(1), F.col(pre + "copies"))))

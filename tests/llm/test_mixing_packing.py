@@ -122,3 +122,21 @@ def test_patterns_fill_a_sequence():
     uniform = {x: 200 for x in range(1, 64)}
     fitted = packing.fit(uniform, 64)
     assert sum(len(p) * n for p, n in fitted) > 0.8 * sum(uniform.values())
+
+
+def test_selected_texts_are_shuffled_once(spark):
+    from campo.llm.common import select_rows, text_hash
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c"), (2, None), (3, "d")], "doc_id long, text string")
+    asked = docs.distinct().select("doc_id", text_hash(docs).alias("text_hash"), F.when(F.col("text") == "d", 0).otherwise(2).alias("copies"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = select_rows(docs, asked)
+        got = sorted([tuple(r) for r in found.collect()], key=repr)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == sorted([(1, "a"), (1, "b"), (None, "c"), (2, None)] * 2, key=repr)
+    final = plan.split("Initial Plan")[0]
+    window = final[final.index("Window ["):]
+    assert "Exchange" not in window[:window.index("SortMergeJoin")]
