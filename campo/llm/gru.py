@@ -206,7 +206,7 @@ class Model:
         for target, inputs, begins, _, going in self._windows(texts, TRAIN_LANES, TRAIN_WINDOW):
             h = np.zeros((target.shape[1], HIDDEN), np.float32) if h is None else h
             h, states, saved = self._forward(h, inputs, begins, True)
-            grads = {k: np.zeros_like(v) for k, v in w.items()}
+            grads = {k: np.zeros_like(v) for k, v in w.items() if k != "embed"}
             _, back = self._outputs(states, target, grads)
             back = back.reshape(states.shape)
             dgx = np.empty((*inputs.shape, 3 * n), np.float32)
@@ -223,15 +223,18 @@ class Model:
                 dh = d * z + dgh @ w["wh"].T
                 dh[begins[t]] = 0
             flat, ids = dgx.reshape(-1, 3 * n), inputs.ravel()
-            order = np.argsort(ids, kind="stable")
+            order = np.argsort(ids.astype(np.uint16), kind="stable")  # a radix sort
             kinds, begin = np.unique(ids[order], return_index=True)
             by_word = np.add.reduceat(flat[order], begin, axis=0)
             grads["wx"] += w["embed"][kinds].T @ by_word
             grads["b"] += by_word.sum(axis=0)
-            grads["embed"][kinds] += by_word @ w["wx"].T
+            grads["embed"] = by_word @ w["wx"].T  # of these words; the others have no gradient
             scale = np.float32(1.0 / max(1, inputs.size))
-            for k in w:
-                at = kinds if k == "embed" else slice(None)  # other words' rows have no gradient
-                g = np.clip(grads[k][at] * scale, -1, 1)
+            for k, g in grads.items():
+                g *= scale
+                np.clip(g, -1, 1, out=g)
+                at = kinds if k == "embed" else slice(None)
                 seen[k][at] += g * g
-                w[k][at] -= np.float32(rate) * g / np.sqrt(seen[k][at])
+                g *= np.float32(rate)
+                g /= np.sqrt(seen[k][at])
+                w[k][at] -= g
