@@ -295,6 +295,60 @@ def test_memory_does_not_follow_the_longest_text():
     assert np.allclose(got[1:6], [model.score([t])[0] for t in texts[1:6]], rtol=1e-4)
 
 
+def test_outputs_are_worked_out_in_cache_sized_runs():
+    """A scoring window's outputs over all classes were held whole: 5.6 MB of
+    16,384 words, each pass of them out of a core's cache."""
+    rng = np.random.default_rng(2)
+    counts = np.sort(rng.integers(1, 50, 6000))[::-1]
+    model = gru.Model(gru.initial(counts))
+    model.w["o"] += rng.standard_normal(model.w["o"].shape).astype(np.float32)
+    model.w["u"] += rng.standard_normal(model.w["u"].shape).astype(np.float32)
+    states = rng.standard_normal((32, 512, gru.HIDDEN)).astype(np.float32)
+    goal = rng.integers(0, 6000, (32, 512))
+    tracemalloc.start()
+    got, _ = model._outputs(states, goal)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4.5e6
+    # against plain sums of some words
+    w, cls = model.w, gru.class_of(model.starts)
+    for t, b in zip(rng.integers(0, 32, 50), rng.integers(0, 512, 50)):
+        h, k = states[t, b].astype(float), goal[t, b]
+        part = slice(*model.starts[cls[k]:cls[k] + 2])
+        over, inside = h @ w["u"] + w["bu"], w["o"][part] @ h + w["bo"][part]
+        plain = over[cls[k]] - np.log(np.exp(over).sum()) + inside[k - part.start] - np.log(np.exp(inside).sum())
+        assert abs(got[t, b] - plain) < 1e-3
+
+
+def test_gradients_against_differences():
+    """One training step goes down the slope of the score, for every kind of weight."""
+    rng = np.random.default_rng(4)
+    counts = np.sort(rng.integers(1, 50, 40))[::-1]
+    texts = [np.append(rng.integers(0, 40, gru.TRAIN_WINDOW - 1), gru.END) for _ in range(5)]  # one full window
+    start = gru.initial(counts)
+    for k in ("u", "o"):
+        start[k] = (rng.standard_normal(start[k].shape) * 0.5).astype(np.float32)
+    seen = {k: np.full_like(v, 1e12) for k, v in start.items() if k != gru.STARTS}
+    model = gru.Model(start)
+    model.train(texts, seen, 1e6)  # a step of the mean gradient itself
+    for k in seen:
+        moved = (model.w[k] - start[k]).astype(float)
+        way = moved / np.linalg.norm(moved)
+        scores = []
+        for side in (1, -1):
+            there = dict(start)
+            there[k] = (start[k] + side * 0.01 * way).astype(np.float32)
+            scores.append(gru.Model(there).score(texts).sum() * np.log(10))
+        assert np.isclose((scores[0] - scores[1]) / 0.02, np.linalg.norm(moved) * sum(map(len, texts)), rtol=0.05), k
+
+
+def test_row_max():
+    rng = np.random.default_rng(3)
+    for shape in ((1, 1), (5, 1), (1, 7), (300, 58)):
+        x = rng.standard_normal(shape).astype(np.float32)
+        assert np.array_equal(gru._row_max(x), x.max(axis=1, keepdims=True))
+
+
 def test_gru_gradients_and_lanes():
     rng = np.random.default_rng(0)
     counts = rng.integers(1, 50, 70)
