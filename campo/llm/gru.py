@@ -20,7 +20,7 @@ STARTS = "starts"  #: key of the classes' first words among the weights
 HIDDEN = 16
 TRAIN_LANES, TRAIN_WINDOW = 512, 16
 SCORE_LANES, SCORE_WINDOW = 512, 32
-CELLS = 4096  #: words worked on at once, few enough for a core's cache
+CELLS = 4096  #: about as many words are worked on at once, few enough for a core's cache
 _LOG10E = float(np.log10(np.e))
 
 
@@ -139,8 +139,10 @@ class Model:
         back = probs = None
         if grads is not None:
             back, probs = np.empty_like(flat), np.empty((len(goal), len(w["bu"])), np.float32)
-        for a in range(0, len(goal), CELLS):
-            part = slice(a, a + CELLS)
+        # no small rest and no odd sizes, which BLAS would round in another way
+        size = -(-len(goal) // (len(goal) // CELLS) // 64) * 64 if len(goal) > CELLS else CELLS
+        for a in range(0, len(goal), size):
+            part = slice(a, a + size)
             p = np.matmul(flat[part], w["u"], out=None if probs is None else probs[part])
             p += w["bu"]
             p -= _row_max(p)

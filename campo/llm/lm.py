@@ -37,6 +37,7 @@ LEAST, SHARE = 5, 65_000  #: occurrences, and one of so many tokens (16-bit numb
 ROUNDS = 2
 RATE = 0.1
 TEXTS_AT_ONCE, TOKENS_AT_ONCE = 4096, 1 << 21
+HASHED_AT_ONCE, COUNTED_AT_ONCE = 1 << 19, 8 << 20  #: bytes of text; those hashed have room in a core's cache
 CHUNK = 1024
 STEPS = 4096  #: levels a pass of the search for the least count
 END_HASH = np.uint64(hash_text("\n"))  # no word holds white space
@@ -54,11 +55,20 @@ def _tokens(block) -> tuple[np.ndarray, np.ndarray]:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) of all tokens of ``docs``, the end included."""
+    def counted(held, texts):
+        kinds, often = np.unique(np.concatenate(held), return_counts=True)
+        return pa.record_batch({"word": pa.array(np.append(kinds, END_HASH).view(np.int64)), "c": pa.array(np.append(often, texts))})
+
     def count(batches):
-        for _, block in slices(batches, size=8 << 20):
-            hashes, _ = _tokens(block)
-            kinds, often = np.unique(hashes, return_counts=True)
-            yield pa.record_batch({"word": pa.array(np.append(kinds, END_HASH).view(np.int64)), "c": pa.array(np.append(often, block.n))})
+        held, size, texts = [], 0, 0
+        for _, block in slices(batches, size=HASHED_AT_ONCE):
+            held.append(_tokens(block)[0])
+            size, texts = size + len(block.data), texts + block.n
+            if size >= COUNTED_AT_ONCE:
+                yield counted(held, texts)
+                held, size, texts = [], 0, 0
+        if held:
+            yield counted(held, texts)
 
     return docs.select(text_of(docs).alias("text")).mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -126,7 +136,7 @@ def encoded(docs: DataFrame, words: Words) -> DataFrame:
         log = np.log10(w.count + 0.5)
         end, has_end = w.find(np.array([END_HASH]))
         end_log = float(log[end[0]]) if has_end[0] else float(np.log10(0.5))
-        for part, block in slices(batches):
+        for part, block in slices(batches, size=HASHED_AT_ONCE):
             hashes, n = _tokens(block)
             text = per_text(n)
             at, known = w.find(hashes)
