@@ -104,34 +104,34 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         from campo.llm.tokens import chunks
         coder = chunks(tokenizer, "H", spaced=False, fold=True)
         shard, block, before = TaskContext.get().partitionId(), 0, 0
-        held, ids_of, counts = [], [], []
+        held, ids_of, counts, size = [], [], [], 0
 
         def close():
-            ids = np.frombuffer(b"".join(held), "<u2")
+            ids, number = np.concatenate(held), np.concatenate(counts)
             return pa.record_batch({
                 "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "before": pa.array([before], pa.int64()),
                 "n_ids": pa.array([len(ids)], pa.int64()),
-                "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.concat_arrays(ids_of)),
-                "counts": pa.array([counts], pa.list_(pa.int64())), "bytes": pa.array([encode_block(ids)], pa.binary())}), len(ids)
+                "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(number)], pa.int32()), pa.concat_arrays(ids_of)),
+                "counts": pa.ListArray.from_arrays(pa.array([0, len(number)], pa.int32()), pa.array(number, pa.int64())),
+                "bytes": pa.array([encode_block(ids)], pa.binary())})
 
-        size = 0
         for batch in batches:
-            first = 0
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                got = coder.encode(text) + end
-                held.append(got)
-                counts.append(len(got) // 2)
-                size += len(got) // 2
-                if size >= BLOCK_IDS:
-                    ids_of.append(batch.column("doc_id").slice(first, k + 1 - first))
-                    out, n = close()
-                    yield out
-                    first, block, before, size = k + 1, block + 1, before + n, 0
-                    held, ids_of, counts = [], [], []
-            if first < batch.num_rows:
-                ids_of.append(batch.column("doc_id").slice(first))
+            for row, ids, number in coder.batches(batch.column("text"), end):
+                ends, first = np.cumsum(number), 0
+                while first < len(number):
+                    begin = int(ends[first - 1]) if first else 0
+                    stop = min(int(np.searchsorted(ends, begin + BLOCK_IDS - size)) + 1, len(number))
+                    held.append(ids[begin:ends[stop - 1]])
+                    counts.append(number[first:stop])
+                    ids_of.append(batch.column("doc_id").slice(row + first, stop - first))
+                    size += len(held[-1])
+                    if size >= BLOCK_IDS:
+                        yield close()
+                        block, before = block + 1, before + size
+                        held, ids_of, counts, size = [], [], [], 0
+                    first = stop
         if counts:
-            yield close()[0]
+            yield close()
 
     ordered = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text")).repartitionByRange(
         partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")

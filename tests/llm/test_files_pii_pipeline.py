@@ -5,12 +5,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from campo.llm import exact, mixing, near, pii, quality, tokenfile
+from campo.llm import exact, mixing, near, pii, quality, tokenfile, tokens
 from campo.llm.common import stage
 from tests.llm.conftest import SF_SMALL, table
 
@@ -49,6 +50,42 @@ def test_files_round_trip(spark, odd, none, vocabularies, tmp_path, monkeypatch,
         assert ids == {w[1]: w[4] for w in want}
 
 
+PARTS = st.sampled_from([
+    *" \n\t\r\v\f\x1c\x1f\x85\xa0\u2003\u2028\u200b\0", *".,-'<|>_0٣½", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", *"aZéÀßµªſŉİıǅﬁΣ日ั😀’“",
+    "H\u0331", "I\u0307", "\u0301", "\u212a", "Word", "word", "word,", "don't"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(PARTS, max_size=12).map("".join), min_size=1, max_size=6), st.integers(0, 40), st.sampled_from([pa.string(), pa.large_string()]))
+def test_texts_at_once_as_whole_texts(vocabularies, texts, at_once, kind):
+    coder = tokens.chunks(f"{vocabularies}/word_bpe_49k.json", "H", spaced=False, fold=True)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokens, "AT_ONCE", at_once)
+        got = list(coder.batches(pa.array(["cut off", *texts], kind).slice(1), b"\1\0"))
+    want = [[*coder.whole.encode(text, add_special_tokens=False).ids, 1] for text in texts]
+    assert np.concatenate([ids for _, ids, _ in got]).tolist() == sum(want, [])
+    assert np.concatenate([counts for *_, counts in got]).tolist() == list(map(len, want))
+    assert [row for row, *_ in got] == np.cumsum([0, *(len(counts) for *_, counts in got)])[:-1].tolist()
+
+
+def test_words_go_to_the_merge_model_together(vocabularies):
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def tokenize(self, piece):
+            self.calls += 1
+            return self.model.tokenize(piece)
+
+    words = ["".join("aeioubdg"[n >> 3 * k & 7] for k in range(4)) for n in range(2000)]
+    text = "".join(f"{w} {w.title()}\n{w.upper()},\n{w}. " for w in words)
+    coder = tokens.Words(f"{vocabularies}/word_bpe_49k.json", "H", False, True)
+    coder.model = Counted(coder.model)
+    (_, ids, _), = coder.batches(pa.array([text]), b"\1\0")
+    assert ids.tolist() == [*coder.whole.encode(text, add_special_tokens=False).ids, 1]
+    assert coder.model.calls <= 2  # the comma and the full stop; a call a chunk before
+
+
 def luhn(digits):
     total = 0
     for k, c in enumerate(reversed(digits)):
